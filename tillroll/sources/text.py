@@ -40,7 +40,7 @@ def _measure(raw: Column, mode: str) -> Column:
 
 
 def _sale_year(sale_date: Column, mode: str) -> Column:
-    readable = F.try_to_date(sale_date, F.lit(DATE_FORMAT)).isNotNull()
+    readable = F.try_to_date(sale_date, DATE_FORMAT).isNotNull()
     bad = (
         F.raise_error(F.concat(F.lit("unreadable sale date: "), sale_date))
         if mode == "strict"
