@@ -18,8 +18,9 @@ from pyspark.sql import types as T
 
 
 def run_timestamp() -> dt.datetime:
-    """One instant per run (UTC, second precision), taken on the driver."""
-    return dt.datetime.now(dt.timezone.utc).replace(microsecond=0, tzinfo=None)
+    """One instant per run (UTC, millisecond precision), taken on the driver."""
+    now = dt.datetime.now(dt.timezone.utc)
+    return now.replace(microsecond=now.microsecond // 1000 * 1000, tzinfo=None)
 
 
 def stamp(report: DataFrame, run_ts: dt.datetime) -> DataFrame:

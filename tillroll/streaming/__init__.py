@@ -1 +1,5 @@
 """Incremental runs over sales text files arriving in a folder."""
+
+from tillroll.streaming.ingest import STREAMABLE, start_report_stream, streaming_sales
+
+__all__ = ["STREAMABLE", "start_report_stream", "streaming_sales"]
