@@ -104,3 +104,27 @@ def test_text_lines_of_a_literal_frame(spark):
     line = to_sales_lines(frame(spark, sale())).collect()[0]["value"]
     parts = line.split(",")
     assert len(parts) == 29 and parts[1] == "01-01-2017" and parts[17] == "1" and parts[3] == ""
+
+
+def test_rejected_lines_name_their_reason(spark, scratch):
+    from tillroll.sources import rejected_lines
+
+    path = os.path.join(scratch, "sales.csv")
+    base = [""] * 15
+    _write_lines(
+        path,
+        [
+            header_line(),
+            ",".join(["1", "01-02-2017"] + base + ["abc", "12"]),
+            ",".join(["2", "32-01-2017"] + base + ["4", "x"]),
+            ",".join(["3", "01-02-2017"] + base + ["4", "5"]),
+        ],
+    )
+    got = sorted(
+        (r["value"].split(",")[0], r["reason"])
+        for r in rejected_lines(spark.read.text(path), header_line()).collect()
+    )
+    assert got == [
+        ("1", "quantity is not a number"),
+        ("2", "amount is not a number; sale_date is not dd-MM-yyyy"),
+    ]

@@ -7,6 +7,7 @@ from tillroll.sources.text import (
     header_line,
     parse_sales_lines,
     read_sales_text,
+    rejected_lines,
     to_sales_lines,
 )
 
@@ -16,6 +17,7 @@ __all__ = [
     "read_sales_fact",
     "read_sales_text",
     "read_table",
+    "rejected_lines",
     "run_timestamp",
     "sales_from_tables",
     "stamp",

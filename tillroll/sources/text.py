@@ -90,6 +90,30 @@ def read_sales_text(
     return parse_sales_lines(lines, header, mode)
 
 
+def rejected_lines(lines: DataFrame, header: str | None) -> DataFrame:
+    """Lines the lenient mode would keep with a ``null`` in place of a bad value.
+
+    Returns ``value, reason`` rows (a non-numeric measure, or a date that is not
+    ``dd-MM-yyyy``), so a run can count or store its rejects next to its
+    reports. Distributed like the parse itself; nothing is collected.
+    """
+    value = F.col("value")
+    kept = lines.filter(value != "")
+    if header is not None:
+        kept = kept.filter(value != header)
+    parts = F.split(value, ",", -1)
+    reasons = []
+    for name in MEASURES:
+        raw = _field(parts, FIELD_POSITIONS[name])
+        bad = (raw != "") & raw.try_cast(T.LongType()).isNull()
+        reasons.append(F.when(bad, F.lit(f"{name} is not a number")))
+    sale_date = _field(parts, FIELD_POSITIONS["sale_date"])
+    bad_date = (sale_date != "") & F.try_to_date(sale_date, DATE_FORMAT).isNull()
+    reasons.append(F.when(bad_date, F.lit("sale_date is not dd-MM-yyyy")))
+    reason = F.concat_ws("; ", *reasons)
+    return kept.select(value, reason.alias("reason")).filter(F.col("reason") != "")
+
+
 def header_line() -> str:
     """A header naming every position (unused positions as ``unused_N``)."""
     names = {p: n for n, p in FIELD_POSITIONS.items()}
