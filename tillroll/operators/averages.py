@@ -10,8 +10,15 @@ city/state/zone). Two aggregates and one equi-join:
 * ``totals``: ``sum(quantity)`` per (pair, dims), map-side combined.
 * ``totals`` join ``days`` on the pair: ``days`` has one row per pair. No
   broadcast hint: AQE broadcasts ``days`` when its measured size is under the
-  threshold, otherwise a sort-merge join runs and AQE's skew-join split takes
-  care of a pair with very many dimension combinations.
+  threshold; otherwise a sort-merge join runs.
+* Salting: a pair holding a large share of the rows can have very many
+  dimension combinations, and all of them would meet in one join task (AQE's
+  skew split does not reach this join: one side arrives through an aggregate,
+  not straight from a shuffle). So each ``totals`` row gets a salt from a hash
+  of its dims, and ``days`` (one row per pair) is repeated once per salt value;
+  the join runs on (pair, salt) and spreads a hot pair over ``salt_buckets``
+  tasks. Pass ``salt_buckets=1`` when the dims are fixed by the site (one
+  combination per pair): there is nothing to spread.
 
 Without extra dims both measures come from one aggregate and no join is
 needed.
@@ -21,11 +28,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillroll.functions import float_ratio, int_ratio
 
 SITE_KEY = ("pos_code", "source_site")
 RATIO_MODES = ("int", "float")
+DEFAULT_SALT_BUCKETS = 16
 
 
 def _ratio(mode: str):
@@ -39,6 +48,7 @@ def avg_per_day(
     dims: list[str] | tuple[str, ...] = (),
     mode: str = "int",
     alias: str = "QtnPerDay",
+    salt_buckets: int = DEFAULT_SALT_BUCKETS,
 ) -> DataFrame:
     """O6: columns ``pos_code, source_site, *dims, <alias>``."""
     ratio = _ratio(mode)
@@ -49,5 +59,13 @@ def avg_per_day(
         return both.select(*SITE_KEY, ratio.alias(alias))
     days = sales.groupBy(*SITE_KEY).agg(F.countDistinct("sale_date").alias("days"))
     totals = sales.groupBy(*SITE_KEY, *dims).agg(F.sum("quantity").alias("qty"))
-    joined = totals.join(days, list(SITE_KEY), "inner")
+    key = list(SITE_KEY)
+    if salt_buckets > 1:
+        buckets = F.lit(salt_buckets).cast(T.LongType())
+        totals = totals.withColumn("salt", F.pmod(F.xxhash64(*dims), buckets))
+        days = days.withColumn(
+            "salt", F.explode(F.sequence(F.lit(0).cast(T.LongType()), buckets - 1))
+        )
+        key.append("salt")
+    joined = totals.join(days, key, "inner")
     return joined.select(*SITE_KEY, *dims, ratio.alias(alias))

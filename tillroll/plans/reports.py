@@ -155,7 +155,8 @@ def _avg_quantity_per_day(rows):
 @_report("zone_avg_quantity_per_day", "quantity per trading day, by point of sale and place",
          ("pos_code", "sale_date", "source_site", "quantity", "city", "state", "zone"))
 def _zone_avg_quantity_per_day(rows):
-    out = avg_per_day(rows, ("city", "state", "zone"), "int")
+    # City, state and zone are fixed by the site: one combination per pair, no salt.
+    out = avg_per_day(rows, ("city", "state", "zone"), "int", salt_buckets=1)
     return _named(out, POS, SITE, ("QtnPerDay", "QtnPerDay"), CITY, STATE, ZONE)
 
 
