@@ -97,3 +97,49 @@ def test_average_join_spreads_a_hot_pair_over_salts(spark, skewed):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_fact_build_splits_a_hot_supplier(spark, tmp_path):
+    import duckdb
+
+    from tillroll.plans.oracle import SALES_CTE
+    from tillroll.sources.tables import read_table, sales_from_tables
+
+    src = "/root/testdata/sf0.01"
+    out = str(tmp_path / "tables")
+    for name in ("orders", "customer", "part", "supplier", "nation", "region"):
+        read_table(spark, src, name).write.parquet(f"{out}/{name}.parquet")
+    li = read_table(spark, src, "lineitem")
+    hot = F.pmod(F.xxhash64("l_orderkey", "l_linenumber"), F.lit(3)) == 0
+    li.withColumn("l_suppkey", F.when(hot, F.lit(7).cast("bigint")).otherwise(F.col("l_suppkey"))) \
+        .write.parquet(f"{out}/lineitem.parquet")
+
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16KB",
+    }
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        sales = sales_from_tables(spark, out)
+        sales.collect()
+        final = plan_text(sales, "simple")
+        assert "SortMergeJoin(skew=true)" in final
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+    con = duckdb.connect()
+    for name in ("lineitem", "orders", "customer", "part", "supplier", "nation", "region"):
+        con.execute(f"create view {name} as select * from read_parquet('{out}/{name}.parquet/*.parquet')")
+    assert compare(sales.drop("sale_year"), con, SALES_CTE + "select * from sales") is None
+    per_site = [r[1] for r in con.execute(
+        SALES_CTE + "select source_site, count(*) from sales group by 1").fetchall()]
+    assert max(per_site) > 0.3 * sum(per_site)
