@@ -2,8 +2,9 @@
 
 ``start_report_stream`` reads the folder with the Structured Streaming file
 source, parses lines with the same rules as the batch text source (O1), runs a
-report's plan as a streaming aggregation, and appends each trigger's result to
-the sink with that trigger's ``TimeStamp`` (O12) through ``foreachBatch``.
+report's plan as a streaming aggregation, and writes each trigger's result to
+the sink with that trigger's ``TimeStamp`` (O12) through ``foreachBatch``, one
+``batch_id=<n>`` folder per trigger (a replayed trigger overwrites its folder).
 
 Running totals live in the state store under the checkpoint location, so a
 restarted query or a lost executor resumes from the last committed batch
@@ -104,7 +105,10 @@ def start_report_stream(
     report = REPORTS[report_name].run(sales, excluded_year)
 
     def emit(batch: DataFrame, epoch_id: int) -> None:
-        write_report(batch, sink_dir, run_timestamp(), fmt=fmt)
+        # A batch replayed after a failure rewrites its own folder instead of
+        # appending a second copy, so the sink holds each batch exactly once.
+        target = f"{sink_dir.rstrip('/')}/batch_id={epoch_id}"
+        write_report(batch, target, run_timestamp(), fmt=fmt, mode="overwrite")
 
     writer = (
         report.writeStream.outputMode(output_mode)
