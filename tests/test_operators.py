@@ -220,3 +220,20 @@ def test_pos_target_sum_per_site_and_target(spark):
     assert rows_of(out, "source_site", "pos_target", "t") == [
         ("S1", 10, 20), ("S1", 20, 20), ("S2", -3, -3)
     ]
+
+
+def test_monthly_by_quarter_rollup_sums_each_quarter(spark):
+    rows = [sale(sale_date=f"15-{m:02d}-2017", quantity=m) for m in range(1, 13)]
+    out = monthly_by_quarter(frame(spark, *rows), "quantity", "Quantity", rollup=True)
+    assert rows_of(out, "Quarter", "Quantity") == [
+        ("Qtr1", "6"), ("Qtr2", "15"), ("Qtr3", "24"), ("Qtr4", "33")
+    ]
+
+
+def test_top_items_with_n_plans_a_top_k(spark):
+    from tillroll.plans.inspect import plan_text
+
+    df = frame(spark, *[sale(item_code=f"I{i % 5}") for i in range(20)])
+    plan = plan_text(top_items(df, n=3), "simple")
+    assert "TakeOrderedAndProject" in plan
+    assert "TakeOrderedAndProject" not in plan_text(top_items(df), "simple")

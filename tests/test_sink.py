@@ -48,3 +48,12 @@ def test_run_all_writes_every_report(spark, oracle_sales, scratch):
         )
     assert len(stamps) == 1
     assert spark.read.parquet(targets["daily_value"]).filter(F.col("Amount") <= 0).count() == 0
+
+
+def test_write_report_to_json(spark, oracle_sales, scratch):
+    target = os.path.join(scratch, "json")
+    report = REPORTS["quarter_value"].run(oracle_sales, "1998")
+    write_report(report, target, fmt="json")
+    back = spark.read.json(target)
+    assert sorted(back.columns) == sorted(["TimeStamp", "Quarter", "Amount"])
+    assert back.count() == 12

@@ -37,14 +37,21 @@ def measure_by(
     return out
 
 
-def monthly_by_quarter(sales: DataFrame, measure: str, alias: str) -> DataFrame:
+def monthly_by_quarter(
+    sales: DataFrame, measure: str, alias: str, rollup: bool = False
+) -> DataFrame:
     """O5: one row per month number (all kept years together), labelled with its
     quarter; the sum is returned as text (``Quarter``, ``alias``).
+
+    ``rollup=True`` sums the months of each quarter into one row instead (the
+    source reports never do this; it is off by default).
     """
     by_month = sales.groupBy(month_text("sale_date").alias("sale_month")).agg(
         F.sum(measure).alias("total")
     )
-    return by_month.select(
-        quarter_label(F.col("sale_month").cast(T.IntegerType())).alias("Quarter"),
-        F.col("total").cast(T.StringType()).alias(alias),
+    labelled = by_month.select(
+        quarter_label(F.col("sale_month").cast(T.IntegerType())).alias("Quarter"), "total"
     )
+    if rollup:
+        labelled = labelled.groupBy("Quarter").agg(F.sum("total").alias("total"))
+    return labelled.select("Quarter", F.col("total").cast(T.StringType()).alias(alias))
