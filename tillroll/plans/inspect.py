@@ -30,3 +30,20 @@ def plan_summary(df: DataFrame) -> dict[str, int]:
         "sorts": sum(op == "Sort" for op in ops),
         "scans": len(re.findall(r"Scan parquet", tree)),
     }
+
+
+def scan_digest(df: DataFrame) -> list[dict[str, str]]:
+    """Per parquet scan of the plan: pushed filters, partition filters, read schema."""
+    text = plan_text(df, "formatted")
+    scans = []
+    for block in text.split("\n\n"):
+        block = block.strip()
+        if "Scan parquet" not in block.split("\n", 1)[0]:
+            continue
+        entry = {}
+        for line in block.splitlines():
+            for key in ("PushedFilters", "PartitionFilters", "ReadSchema"):
+                if line.startswith(key + ":"):
+                    entry[key] = line.split(":", 1)[1].strip()
+        scans.append(entry)
+    return scans
