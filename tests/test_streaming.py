@@ -82,6 +82,20 @@ def test_replayed_batch_is_not_duplicated(spark, scratch):
     assert {r["batch_id"] for r in out.select("batch_id").collect()} == {0}
 
 
+def test_backlog_in_several_triggers_gives_the_batch_result(spark, scratch):
+    source, sink, ckpt = (os.path.join(scratch, d) for d in ("in", "out", "ckpt"))
+    os.makedirs(source)
+    for i in range(3):
+        _drop(spark, frame(spark, sale(amount=10 + i, sale_date=f"0{i + 1}-01-2017")), source, f"{i}.csv")
+    q = start_report_stream(spark, source, "daily_value", sink, ckpt, available_now=True,
+                            max_files_per_trigger=1)
+    q.awaitTermination(120)
+    out = spark.read.parquet(sink)
+    assert {r["batch_id"] for r in out.select("batch_id").distinct().collect()} == {0, 1, 2}
+    batch = REPORTS["daily_value"].run(read_sales_text(spark, source, header=header_line()))
+    assert _same(_latest(spark, sink), batch)
+
+
 def test_non_streamable_report_is_refused(spark, scratch):
     with pytest.raises(ValueError):
         start_report_stream(spark, scratch, "avg_quantity_per_day", scratch)

@@ -88,12 +88,15 @@ def start_report_stream(
     fmt: str = "parquet",
     available_now: bool = False,
     processing_time: str | None = None,
+    max_files_per_trigger: int | None = None,
 ) -> StreamingQuery:
     """Start keeping one report current; returns the running query.
 
     ``output_mode="complete"`` appends the whole report at every trigger (the
     same shape as a batch run); ``"update"`` appends only the groups that
     changed. ``available_now=True`` processes the files present now and stops.
+    ``max_files_per_trigger`` bounds the input of one trigger when a large
+    backlog of files is waiting.
     """
     if report_name not in STREAMABLE:
         raise ValueError(f"report {report_name!r} cannot run as a stream; use a batch run")
@@ -101,7 +104,7 @@ def start_report_stream(
         raise ValueError("output_mode must be 'complete' or 'update'")
     if report_name in ("item_ranking", "zone_item_ranking") and output_mode != "complete":
         raise ValueError("rankings are sorted, which a stream supports only in complete mode")
-    sales = streaming_sales(spark, source_dir, header, mode)
+    sales = streaming_sales(spark, source_dir, header, mode, max_files_per_trigger)
     report = REPORTS[report_name].run(sales, excluded_year)
 
     def emit(batch: DataFrame, epoch_id: int) -> None:
