@@ -42,7 +42,7 @@ def test_run_all_writes_every_report(spark, oracle_sales, scratch):
         written = spark.read.parquet(target)
         stamps |= {r[0] for r in written.select("TimeStamp").distinct().collect()}
         expected = REPORTS[name].run(oracle_sales, "1998")
-        got = written.drop("TimeStamp")
+        got = written.drop("TimeStamp", "run_id")
         assert normalised_rows(got.columns, [tuple(r) for r in got.collect()]) == normalised_rows(
             expected.columns, [tuple(r) for r in expected.collect()]
         )
@@ -50,6 +50,21 @@ def test_run_all_writes_every_report(spark, oracle_sales, scratch):
     assert spark.read.parquet(targets["daily_value"]).filter(F.col("Amount") <= 0).count() == 0
 
 
+def test_run_all_retry_replaces_and_runs_accumulate(spark, oracle_sales, scratch):
+    from tillroll.sources import run_timestamp
+
+    sink = os.path.join(scratch, "sink")
+    names = ["quarter_quantity"]
+    ts = run_timestamp()
+    run_all(oracle_sales, sink, names, "1998", fact_path=os.path.join(scratch, "f1"), run_ts=ts)
+    run_all(oracle_sales, sink, names, "1998", fact_path=os.path.join(scratch, "f2"), run_ts=ts)
+    once = spark.read.parquet(os.path.join(sink, "quarter_quantity"))
+    assert once.count() == 12  # the retried run replaced itself
+    run_all(oracle_sales, sink, names, "1998", fact_path=os.path.join(scratch, "f3"))
+    both = spark.read.parquet(os.path.join(sink, "quarter_quantity"))
+    assert both.count() == 24 and both.select("run_id").distinct().count() == 2
+
+
 def test_write_report_to_json(spark, oracle_sales, scratch):
     target = os.path.join(scratch, "json")
     report = REPORTS["quarter_value"].run(oracle_sales, "1998")

@@ -1,4 +1,4 @@
-"""Run a set of reports over one sales input and append them to a sink.
+"""Run a set of reports over one sales input and write them to a sink.
 
 The raw derivation of the sale lines (a text parse, or a star join) is done
 once: the lines are written as a year-partitioned parquet table under the
@@ -18,6 +18,11 @@ from tillroll.sources.fact import read_sales_fact, write_sales_fact
 from tillroll.sources.sink import run_timestamp, write_report
 
 
+def run_id_of(run_ts: dt.datetime) -> str:
+    """Folder-safe id of a run timestamp, e.g. ``20261202T171500123``."""
+    return run_ts.strftime("%Y%m%dT%H%M%S%f")[:-3]
+
+
 def run_all(
     sales: DataFrame,
     sink_root: str,
@@ -27,15 +32,22 @@ def run_all(
     fmt: str = "parquet",
     run_ts: dt.datetime | None = None,
 ) -> dict[str, str]:
-    """Write the fact once, run each named report over it, append each to
-    ``sink_root/<name>``. Returns ``{name: target}``."""
+    """Write the fact once, run each named report over it, and write each to
+    ``sink_root/<name>/run_id=<id>``. Returns ``{name: target}``.
+
+    Runs accumulate side by side (reading ``sink_root/<name>`` gives every run,
+    with ``TimeStamp`` and ``run_id`` columns). Each run writes its own folder
+    in overwrite mode, so re-running a failed run with the same ``run_ts``
+    replaces what it had written instead of adding a second copy.
+    """
     spark = sales.sparkSession
     path = write_sales_fact(sales, fact_path)
     fact = read_sales_fact(spark, path)
     ts = run_ts or run_timestamp()
+    run_id = run_id_of(ts)
     targets = {}
     for name in names or list(REPORTS):
-        target = f"{sink_root.rstrip('/')}/{name}"
-        write_report(REPORTS[name].run(fact, excluded_year), target, ts, fmt=fmt)
+        target = f"{sink_root.rstrip('/')}/{name}/run_id={run_id}"
+        write_report(REPORTS[name].run(fact, excluded_year), target, ts, fmt=fmt, mode="overwrite")
         targets[name] = target
     return targets
