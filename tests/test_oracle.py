@@ -12,7 +12,12 @@ SQL = entry.oracle_sql()
 
 
 def test_every_report_has_a_query_and_an_oracle():
-    assert set(entry.queries()) == set(REPORTS) == set(SQL)
+    assert set(entry.queries()) == set(SQL) == set(REPORTS) | {"parsed_sales_lines"}
+
+
+def test_parsed_sales_lines_match_oracle(spark, duck):
+    df = entry.queries()["parsed_sales_lines"](spark, "/root/testdata/sf0.01")
+    assert compare(df, duck, SQL["parsed_sales_lines"]) is None
 
 
 @pytest.mark.parametrize("name", list(REPORTS))
