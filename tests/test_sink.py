@@ -35,7 +35,7 @@ def test_fact_is_partitioned_by_year_and_equal_to_input(spark, oracle_sales, scr
 def test_run_all_writes_every_report(spark, oracle_sales, scratch):
     names = ["daily_value", "rep_avg_quantity_per_day", "site_catalog", "zone_mobile_completeness"]
     targets = run_all(oracle_sales, os.path.join(scratch, "sink"), names, "1998",
-                      fact_path=os.path.join(scratch, "fact"))
+                      fact_path=os.path.join(scratch, "fact"), parallelism=3)
     assert set(targets) == set(names)
     stamps = set()
     for name, target in targets.items():

@@ -33,6 +33,7 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--header", help="header line of the text input (default: its first line)")
     p.add_argument("--format", default="parquet", help="sink writer format")
     p.add_argument("--fact-path", help="where to write the typed sale lines (default: shared folder)")
+    p.add_argument("--parallel", type=int, default=4, help="report jobs submitted at once (default 4)")
     p.add_argument("--list", action="store_true", help="list report names and exit")
     return p
 
@@ -54,7 +55,10 @@ def main(argv: list[str] | None = None) -> int:
         sales = read_sales_text(spark, args.text, mode=args.mode, header=args.header)
     else:
         sales = sales_from_tables(spark, args.tables)
-    targets = run_all(sales, args.sink, names, args.excluded_year, args.fact_path, args.format)
+    targets = run_all(
+        sales, args.sink, names, args.excluded_year, args.fact_path, args.format,
+        parallelism=args.parallel,
+    )
     for name, target in targets.items():
         print(f"{name}\t{target}")
     return 0
