@@ -10,7 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillroll.schema import DATE_FORMAT, VALID_MOBILE_LENGTHS
+from tillroll.schema import DATE_FORMAT, MOBILE_LABELS, QUARTER_LABELS, VALID_MOBILE_LENGTHS
 
 ColumnOrName = Column | str
 
@@ -37,11 +37,12 @@ def day_of(sale_date: ColumnOrName) -> Column:
 def quarter_label(month: ColumnOrName) -> Column:
     """Quarter label of a month number: 10-12 Qtr4, 7-9 Qtr3, 4-6 Qtr2, else Qtr1."""
     m = _col(month)
+    q1, q2, q3, q4 = QUARTER_LABELS
     return (
-        F.when(m > 9, F.lit("Qtr4"))
-        .when(m > 6, F.lit("Qtr3"))
-        .when(m > 3, F.lit("Qtr2"))
-        .otherwise(F.lit("Qtr1"))
+        F.when(m > 9, F.lit(q4))
+        .when(m > 6, F.lit(q3))
+        .when(m > 3, F.lit(q2))
+        .otherwise(F.lit(q1))
     )
 
 
@@ -52,7 +53,8 @@ def mobile_filled(mobile: ColumnOrName) -> Column:
 
 def mobile_label(filled: ColumnOrName) -> Column:
     """``Yes`` / ``No`` from a boolean flag."""
-    return F.when(_col(filled), F.lit("Yes")).otherwise(F.lit("No"))
+    yes, no = MOBILE_LABELS
+    return F.when(_col(filled), F.lit(yes)).otherwise(F.lit(no))
 
 
 def int_ratio(numerator: str, denominator: str) -> Column:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillroll.functions import day_of, mobile_filled, mobile_label
+from tillroll.schema import SCORECARD_COUNT
 
 
 def mobile_completeness(
@@ -48,5 +49,5 @@ def daily_category_scorecard(sales: DataFrame) -> DataFrame:
         F.col("qty").cast(T.StringType()).alias("Quantity"),
         F.col("amt").cast(T.StringType()).alias("Amount"),
         mobile_label("any_mobile").alias("CustomerMobile"),
-        F.lit("1").alias("Count"),
+        F.lit(SCORECARD_COUNT).alias("Count"),
     )

@@ -72,7 +72,8 @@ def _named(df: DataFrame, *pairs: tuple[str, str]) -> DataFrame:
     return df.select(*cols)
 
 
-# Output-name pairs shared by several reports.
+# The sink field names of the reports, as (source column, field
+# name) pairs shared by several reports.
 DATE = ("sale_date", "date")
 SITE = ("source_site", "SourceSite")
 CITY = ("city", "City")

@@ -46,6 +46,13 @@ DEFAULT_EXCLUDED_YEAR = "2016"
 # Mobile-number lengths counted as "filled in".
 VALID_MOBILE_LENGTHS = (10, 11, 12)
 
+# Labels written into the reports. Quarters in order (months
+# 1-3, 4-6, 7-9, 10-12); the mobile flag as (filled in, not filled in); the
+# constant count of the daily scorecard.
+QUARTER_LABELS = ("Qtr1", "Qtr2", "Qtr3", "Qtr4")
+MOBILE_LABELS = ("Yes", "No")
+SCORECARD_COUNT = "1"
+
 MEASURES = ("quantity", "amount", "measure_19", "pos_target")
 
 SALES_SCHEMA = T.StructType(
