@@ -11,9 +11,13 @@ from tillroll.sources.text import (
     to_sales_lines,
 )
 
+# O1 under its catalogue name.
+read_sales = read_sales_text
+
 __all__ = [
     "header_line",
     "parse_sales_lines",
+    "read_sales",
     "read_sales_fact",
     "read_sales_text",
     "read_table",
