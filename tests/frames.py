@@ -32,7 +32,7 @@ def sale(**fields) -> dict:
     row = dict(DEFAULTS)
     row.update(fields)
     date = row["sale_date"]
-    row["sale_year"] = date[6:10] if date else ""
+    row["sale_year"] = date[6:10] if date else None
     return row
 
 

@@ -128,3 +128,19 @@ def test_rejected_lines_name_their_reason(spark, scratch):
         ("1", "quantity is not a number"),
         ("2", "amount is not a number; sale_date is not dd-MM-yyyy"),
     ]
+
+
+def test_empty_date_has_no_year_in_both_paths(spark, scratch):
+    from tillroll.plans.reports import REPORTS
+    from tillroll.sources import read_sales_fact, write_sales_fact
+
+    path = os.path.join(scratch, "sales.csv")
+    base = [""] * 15
+    _write_lines(path, [header_line(), ",".join(["1", ""] + base + ["4"]),
+                        ",".join(["2", "01-02-2017", "B2"] + base[1:] + ["5"])])
+    direct = read_sales_text(spark, path)
+    assert rows_of(direct, "pos_code", "sale_year") == [("1", None), ("2", "2017")]
+    fact = read_sales_fact(spark, write_sales_fact(direct, os.path.join(scratch, "fact")))
+    for sales in (direct, fact):
+        out = REPORTS["mobile_completeness"].run(sales, "2016")
+        assert sum(r["Count"] for r in out.collect()) == 1
