@@ -29,6 +29,7 @@ def test_fact_is_partitioned_by_year_and_equal_to_input(spark, oracle_sales, scr
     assert years == [f"sale_year={y}" for y in range(1995, 2002)]
     fact = read_sales_fact(spark, path)
     assert fact.columns == oracle_sales.columns
+    assert fact.dtypes == oracle_sales.dtypes
     assert fact.exceptAll(oracle_sales).count() == 0 and oracle_sales.exceptAll(fact).count() == 0
 
 

@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.schema import SALES_COLUMNS
+from tillroll.schema import SALES_COLUMNS, SALES_SCHEMA
 from tillroll.session import scratch_path
 
 
@@ -50,5 +50,10 @@ def write_sales_fact(
 
 
 def read_sales_fact(spark: SparkSession, path: str) -> DataFrame:
-    """Read a table written by :func:`write_sales_fact` with the canonical column order."""
-    return spark.read.parquet(path).select(*SALES_COLUMNS)
+    """Read a table written by :func:`write_sales_fact` with the canonical columns.
+
+    The schema is given, not inferred: ``sale_year`` stays text (inference
+    would make the partition column an integer) and no footer has to be read
+    to plan a scan.
+    """
+    return spark.read.schema(SALES_SCHEMA).parquet(path).select(*SALES_COLUMNS)
