@@ -5,8 +5,9 @@ from __future__ import annotations
 from tillroll.session import RECOMMENDED_CONF, scratch_path, shared_dir
 
 
-def test_shared_dir_is_the_sessions_checkpoint_dir(spark):
-    assert shared_dir(spark) == spark.sparkContext.getCheckpointDir()
+def test_shared_dir_comes_from_the_session(spark):
+    configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    assert shared_dir(spark) == (configured or spark.sparkContext.getCheckpointDir())
 
 
 def test_scratch_paths_are_unique_and_under_the_shared_dir(spark):
