@@ -73,3 +73,10 @@ def test_write_report_to_json(spark, oracle_sales, scratch):
     back = spark.read.json(target)
     assert sorted(back.columns) == sorted(["TimeStamp", "Quarter", "Amount"])
     assert back.count() == 12
+
+
+def test_write_report_without_a_path(spark, oracle_sales):
+    # Formats addressed by options only (connectors) are saved without a path.
+    report = REPORTS["site_catalog"].run(oracle_sales, "1998")
+    ts = write_report(report, None, fmt="noop", mode="overwrite")
+    assert ts is not None

@@ -30,18 +30,25 @@ def stamp(report: DataFrame, run_ts: dt.datetime) -> DataFrame:
 
 def write_report(
     report: DataFrame,
-    target: str,
+    target: str | None,
     run_ts: dt.datetime | None = None,
     fmt: str = "parquet",
     mode: str = "append",
     options: dict[str, str] | None = None,
 ) -> dt.datetime:
-    """Append one report under ``target``; returns the timestamp used."""
+    """Append one report under ``target``; returns the timestamp used.
+
+    ``target=None`` is for formats addressed by options rather than a path
+    (a document-store or JDBC connector, e.g. ``options={"collection": ...}``).
+    """
     ts = run_ts or run_timestamp()
     writer = stamp(report, ts).write.format(fmt).mode(mode)
     for key, value in (options or {}).items():
         writer = writer.option(key, value)
-    writer.save(target)
+    if target is None:
+        writer.save()
+    else:
+        writer.save(target)
     return ts
 
 
