@@ -96,6 +96,20 @@ def test_backlog_in_several_triggers_gives_the_batch_result(spark, scratch):
     assert _same(_latest(spark, sink), batch)
 
 
+def test_restart_without_explicit_checkpoint_resumes(spark, scratch):
+    source, sink = (os.path.join(scratch, d) for d in ("in", "out"))
+    os.makedirs(source)
+    _drop(spark, frame(spark, sale(amount=3)), source, "a.csv")
+    start_report_stream(spark, source, "daily_value", sink, available_now=True).awaitTermination(120)
+    _drop(spark, frame(spark, sale(amount=4, sale_date="02-01-2017")), source, "b.csv")
+    start_report_stream(spark, source, "daily_value", sink, available_now=True).awaitTermination(120)
+    out = spark.read.parquet(sink)
+    # The second start resumed: one new batch for the new file, not a rerun from batch 0.
+    assert sorted(r["batch_id"] for r in out.select("batch_id").distinct().collect()) == [0, 1]
+    assert _same(_latest(spark, sink), REPORTS["daily_value"].run(
+        read_sales_text(spark, source, header=header_line())))
+
+
 def test_non_streamable_report_is_refused(spark, scratch):
     with pytest.raises(ValueError):
         start_report_stream(spark, scratch, "avg_quantity_per_day", scratch)

@@ -19,12 +19,14 @@ need. Those stay batch reports.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from tillroll.plans.reports import REPORTS
 from tillroll.schema import DEFAULT_EXCLUDED_YEAR
-from tillroll.session import scratch_path
+from tillroll.session import shared_dir
 from tillroll.sources.sink import run_timestamp, write_report
 from tillroll.sources.text import header_line, parse_sales_lines
 
@@ -75,6 +77,13 @@ def streaming_sales(
     return parse_sales_lines(lines, header if header is not None else header_line(), mode)
 
 
+def default_checkpoint(spark: SparkSession, report_name: str, source_dir: str, sink_dir: str) -> str:
+    """A stable checkpoint folder for one (report, source, sink) under the shared
+    folder, so a restarted stream resumes where it stopped."""
+    key = hashlib.sha1(f"{report_name}|{source_dir}|{sink_dir}".encode()).hexdigest()[:16]
+    return f"{shared_dir(spark).rstrip('/')}/stream-{report_name}-{key}"
+
+
 def start_report_stream(
     spark: SparkSession,
     source_dir: str,
@@ -116,7 +125,10 @@ def start_report_stream(
     writer = (
         report.writeStream.outputMode(output_mode)
         .foreachBatch(emit)
-        .option("checkpointLocation", checkpoint_dir or scratch_path(spark, f"stream-{report_name}"))
+        .option(
+            "checkpointLocation",
+            checkpoint_dir or default_checkpoint(spark, report_name, source_dir, sink_dir),
+        )
         .queryName(f"tillroll_{report_name}")
     )
     if available_now:
