@@ -80,3 +80,14 @@ def test_write_report_without_a_path(spark, oracle_sales):
     report = REPORTS["site_catalog"].run(oracle_sales, "1998")
     ts = write_report(report, None, fmt="noop", mode="overwrite")
     assert ts is not None
+
+
+def test_run_all_default_fact_path_follows_the_run(spark, oracle_sales, scratch):
+    from tillroll.plans.run import run_id_of
+    from tillroll.session import shared_dir
+    from tillroll.sources import run_timestamp
+
+    ts = run_timestamp()
+    run_all(oracle_sales, os.path.join(scratch, "sink"), ["pos_target"], "1998", run_ts=ts)
+    fact = f"{shared_dir(spark).rstrip('/')}/sales_fact-{run_id_of(ts)}"
+    assert read_sales_fact(spark, fact).count() == oracle_sales.count()

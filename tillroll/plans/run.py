@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 
 from tillroll.plans.reports import REPORTS
 from tillroll.schema import DEFAULT_EXCLUDED_YEAR
+from tillroll.session import shared_dir
 from tillroll.sources.fact import read_sales_fact, write_sales_fact
 from tillroll.sources.sink import run_timestamp, write_report
 
@@ -49,10 +50,12 @@ def run_all(
     collected.
     """
     spark = sales.sparkSession
-    path = write_sales_fact(sales, fact_path)
-    fact = read_sales_fact(spark, path)
     ts = run_ts or run_timestamp()
     run_id = run_id_of(ts)
+    # The fact of a run lives at a path derived from its id: a retried run
+    # overwrites its own copy instead of leaving another one behind.
+    path = write_sales_fact(sales, fact_path or f"{shared_dir(spark).rstrip('/')}/sales_fact-{run_id}")
+    fact = read_sales_fact(spark, path)
     targets = {
         name: f"{sink_root.rstrip('/')}/{name}/run_id={run_id}" for name in names or list(REPORTS)
     }
