@@ -37,3 +37,22 @@ def test_cli_runs_reports_over_text(spark, oracle_sales, scratch, capsys):
 def test_cli_lists_reports(capsys):
     assert main(["--list"]) == 0
     assert len(capsys.readouterr().out.strip().splitlines()) == len(REPORTS)
+
+
+def test_cli_writes_rejects_in_lenient_mode(spark, scratch):
+    text_dir = os.path.join(scratch, "text")
+    os.makedirs(text_dir)
+    base = [""] * 15
+    with open(os.path.join(text_dir, "sales.csv"), "w") as fh:
+        fh.write("\n".join([
+            header_line(),
+            ",".join(["1", "01-02-2017"] + base + ["abc", "12"]),
+            ",".join(["2", "02-02-2017"] + base + ["4", "5"]),
+        ]) + "\n")
+    rejects = os.path.join(scratch, "rejects")
+    code = main(["--text", text_dir, "--sink", os.path.join(scratch, "sink"), "--mode", "lenient",
+                 "--reports", "daily_value", "--rejects", rejects, "--excluded-year", "2016",
+                 "--fact-path", os.path.join(scratch, "fact")])
+    assert code == 0
+    got = [(r["reason"]) for r in spark.read.parquet(rejects).collect()]
+    assert got == ["quantity is not a number"]

@@ -18,7 +18,8 @@ from tillroll.plans.run import run_all
 from tillroll.schema import DEFAULT_EXCLUDED_YEAR
 from tillroll.session import build_session
 from tillroll.sources.tables import sales_from_tables
-from tillroll.sources.text import read_sales_text
+from tillroll.sources.sink import write_report
+from tillroll.sources.text import parse_sales_lines, rejected_lines
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -34,6 +35,7 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--format", default="parquet", help="sink writer format")
     p.add_argument("--fact-path", help="where to write the typed sale lines (default: shared folder)")
     p.add_argument("--parallel", type=int, default=4, help="report jobs submitted at once (default 4)")
+    p.add_argument("--rejects", help="with --text: also write unreadable lines (value, reason) here")
     p.add_argument("--list", action="store_true", help="list report names and exit")
     return p
 
@@ -50,9 +52,18 @@ def main(argv: list[str] | None = None) -> int:
     unknown = [n for n in names if n not in REPORTS]
     if unknown:
         _parser().error(f"unknown reports: {', '.join(unknown)}")
+    if args.rejects and not args.text:
+        _parser().error("--rejects needs --text")
     spark = build_session(app_name="tillroll-reports")
     if args.text:
-        sales = read_sales_text(spark, args.text, mode=args.mode, header=args.header)
+        lines = spark.read.text(args.text)
+        header = args.header
+        if header is None:
+            first = lines.first()
+            header = first[0] if first is not None else None
+        sales = parse_sales_lines(lines, header, args.mode)
+        if args.rejects:
+            write_report(rejected_lines(lines, header), args.rejects, fmt=args.format)
     else:
         sales = sales_from_tables(spark, args.tables)
     targets = run_all(
