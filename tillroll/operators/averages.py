@@ -35,6 +35,7 @@ from tillroll.functions import float_ratio, int_ratio
 SITE_KEY = ("pos_code", "source_site")
 RATIO_MODES = ("int", "float")
 DEFAULT_SALT_BUCKETS = 16
+SALT_CONF = "spark.tillroll.saltBuckets"
 
 
 def _ratio(mode: str):
@@ -48,10 +49,16 @@ def avg_per_day(
     dims: list[str] | tuple[str, ...] = (),
     mode: str = "int",
     alias: str = "QtnPerDay",
-    salt_buckets: int = DEFAULT_SALT_BUCKETS,
+    salt_buckets: int | None = None,
 ) -> DataFrame:
-    """O6: columns ``pos_code, source_site, *dims, <alias>``."""
+    """O6: columns ``pos_code, source_site, *dims, <alias>``.
+
+    ``salt_buckets`` defaults to the session setting ``spark.tillroll.saltBuckets``
+    (16 when unset), so a cluster can size it without a code change.
+    """
     ratio = _ratio(mode)
+    if salt_buckets is None:
+        salt_buckets = int(sales.sparkSession.conf.get(SALT_CONF, str(DEFAULT_SALT_BUCKETS)))
     if not dims:
         both = sales.groupBy(*SITE_KEY).agg(
             F.sum("quantity").alias("qty"), F.countDistinct("sale_date").alias("days")
