@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -55,21 +56,43 @@ def build_session(
     return spark
 
 
+def is_single_machine(master: str) -> bool:
+    """Whether driver and tasks share one process, and so one disk."""
+    return re.fullmatch(r"local(\[.*\])?", master) is not None
+
+
+def configured_shared_dir(spark: SparkSession) -> str | None:
+    """``spark.checkpoint.dir``, or else the session's checkpoint folder."""
+    configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    return configured or spark.sparkContext.getCheckpointDir()
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder for lineage cuts and written tables.
 
-    Read from ``spark.checkpoint.dir``. Only when it is unset (local runs and
-    tests) a fresh local folder is created and registered for the session.
+    Read from ``spark.checkpoint.dir``. Only when it is unset and the session
+    runs in one process (tests, local runs) is a fresh local folder created and
+    registered. On a cluster a folder of the driver's own disk would hold only
+    part of what executors write, so an unset folder is an error there.
     """
-    configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = spark.sparkContext.getCheckpointDir()
+    configured = configured_shared_dir(spark)
     if not configured:
+        if not is_single_machine(spark.sparkContext.master):
+            raise RuntimeError(
+                "no shared folder: set spark.checkpoint.dir to one that the driver and all "
+                "executors can reach, or give explicit paths (fact_path, checkpoint_dir)"
+            )
         configured = tempfile.mkdtemp(prefix="tillroll-ckpt-")
         spark.sparkContext.setCheckpointDir(configured)
     return configured
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared file system (used for tables of this run only)."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique path under the shared folder."""
     return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex[:12]}")
