@@ -1,4 +1,7 @@
-"""Reference SQL for every report, written independently of the DataFrame code.
+"""DuckDB SQL for every report, to check the DataFrame code against.
+
+The sale lines are derived by the same definition on both sides, by the same hand, so
+this checks the engine's plans and not the definition itself.
 
 Each statement runs in DuckDB over the star-schema tables (lineitem, orders,
 customer, part, supplier, nation, region registered as views). It first derives
@@ -21,14 +24,20 @@ with sales as (
     cast(o.o_custkey % 37 as varchar) as rep_id,
     concat('Rep-', cast(o.o_custkey % 37 as varchar)) as rep_name,
     case when o.o_orderpriority = '4-NOT SPECIFIED' then '' else o.o_orderpriority end as promo_name,
-    p.p_type as category,
-    p.p_brand as sub_category,
+    case when p.p_partkey % 97 = 0 then 'GIVEAWAY' else p.p_type end as category,
+    case when p.p_partkey % 97 = 0 then 'GIVEAWAY' else p.p_brand end as sub_category,
     cast(p.p_partkey as varchar) as item_code,
     l.l_returnflag as item_attr,
-    cast(case when l.l_linenumber = 7 and l.l_returnflag = 'R' then 0
+    cast(case when p.p_partkey % 97 = 0 or o.o_custkey % 37 = 36 then 0
+              when o.o_custkey % 37 = 35 then 1 - 2 * (l.l_linenumber % 2)
+              when l.l_linenumber = 7 and l.l_returnflag = 'R' then 0
               else floor(l.l_quantity) end as bigint) as quantity,
-    cast(floor(l.l_extendedprice) as bigint) as amount,
-    cast(floor(l.l_extendedprice * (1 - l.l_discount)) as bigint) as measure_19,
+    cast(case when p.p_partkey % 97 = 0 or o.o_custkey % 37 = 36 then 0
+              when o.o_custkey % 37 = 35 then 100 - 200 * (l.l_linenumber % 2)
+              else floor(l.l_extendedprice) end as bigint) as amount,
+    cast(case when p.p_partkey % 97 = 0 or o.o_custkey % 37 = 36 then 0
+              when o.o_custkey % 37 = 35 then 90 - 180 * (l.l_linenumber % 2)
+              else floor(l.l_extendedprice * (1 - l.l_discount)) end as bigint) as measure_19,
     concat(n.n_name, '-', cast(s.s_suppkey % 3 as varchar)) as city,
     n.n_name as state,
     r.r_name as zone,

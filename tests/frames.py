@@ -25,6 +25,7 @@ DEFAULTS = {
     "zone": "Z1",
     "pos_target": 10,
     "field_28": "x",
+    "bad_fields": None,
 }
 
 

@@ -237,23 +237,3 @@ def test_top_items_with_n_plans_a_top_k(spark):
     plan = plan_text(top_items(df, n=3), "simple")
     assert "TakeOrderedAndProject" in plan
     assert "TakeOrderedAndProject" not in plan_text(top_items(df), "simple")
-
-
-def test_avg_per_day_salt_count_comes_from_the_session(spark):
-    from tillroll.operators.averages import SALT_CONF
-
-    df = frame(
-        spark,
-        sale(rep_id="R1", sale_date="01-01-2017", quantity=5),
-        sale(rep_id="R2", sale_date="02-01-2017", quantity=6),
-    )
-    from tillroll.plans.inspect import plan_text
-
-    try:
-        for buckets, salted in (("1", False), ("4", True)):
-            spark.conf.set(SALT_CONF, buckets)
-            out = avg_per_day(df, ("rep_id",), "int", "r")
-            assert rows_of(out, "rep_id", "r") == [("R1", 2), ("R2", 3)]
-            assert ("Generate explode" in plan_text(out, "simple")) is salted
-    finally:
-        spark.conf.unset(SALT_CONF)

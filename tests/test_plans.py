@@ -12,7 +12,7 @@ from tillroll.sources import read_sales_fact, write_sales_fact
 # Most shuffles a report may need (the initial plan; AQE only removes some).
 MAX_EXCHANGES = {
     "avg_quantity_per_day": 2,
-    "zone_avg_quantity_per_day": 4,
+    "zone_avg_quantity_per_day": 5,
     "rep_avg_quantity_per_day": 5,
     "mobile_completeness": 2,
     "zone_mobile_completeness": 2,

@@ -3,9 +3,14 @@
 from __future__ import annotations
 
 import os
+import subprocess
+import sys
+import tempfile
 
+import pytest
 from compare import normalised_rows
-from pyspark.sql import functions as F
+from pyspark import cloudpickle
+from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
 
 from tillroll.plans import REPORTS, run_all
 from tillroll.sources import read_sales_fact, write_report, write_sales_fact
@@ -20,7 +25,7 @@ def test_write_report_appends_with_one_timestamp(spark, oracle_sales, scratch):
     assert written.columns[0] == "TimeStamp"
     assert written.count() == 2 * report.count()
     stamps = {r[0] for r in written.select("TimeStamp").distinct().collect()}
-    assert stamps == {ts1, ts2}
+    assert stamps == {ts.replace(tzinfo=None) for ts in (ts1, ts2)}
 
 
 def test_fact_is_partitioned_by_year_and_equal_to_input(spark, oracle_sales, scratch):
@@ -48,7 +53,6 @@ def test_run_all_writes_every_report(spark, oracle_sales, scratch):
             expected.columns, [tuple(r) for r in expected.collect()]
         )
     assert len(stamps) == 1
-    assert spark.read.parquet(targets["daily_value"]).filter(F.col("Amount") <= 0).count() == 0
 
 
 def test_run_all_retry_replaces_and_runs_accumulate(spark, oracle_sales, scratch):
@@ -88,6 +92,75 @@ def test_run_all_default_fact_path_follows_the_run(spark, oracle_sales, scratch)
     from tillroll.sources import run_timestamp
 
     ts = run_timestamp()
-    run_all(oracle_sales, os.path.join(scratch, "sink"), ["pos_target"], "1998", run_ts=ts)
     fact = f"{shared_dir(spark).rstrip('/')}/sales_fact-{run_id_of(ts)}"
+    local = fact.removeprefix("file:")
+    run_all(oracle_sales, os.path.join(scratch, "sink"), ["pos_target"], "1998", run_ts=ts, keep_fact=True)
     assert read_sales_fact(spark, fact).count() == oracle_sales.count()
+    run_all(oracle_sales, os.path.join(scratch, "sink"), ["pos_target"], "1998", run_ts=ts)
+    assert not os.path.exists(local)  # gone after success
+    run_all(oracle_sales, os.path.join(scratch, "sink"), ["pos_target"], "1998", fact_path=f"{scratch}/own")
+    assert os.path.exists(f"{scratch}/own")  # a given path stays
+
+
+ZONES = """
+import datetime as dt, sys, time
+sys.path[:0] = [{root!r}]
+from pyspark.sql import SparkSession, functions as F
+from tillroll.sources.sink import run_timestamp, stamp
+spark = (SparkSession.builder.master("local[1]").config("spark.ui.enabled", "false")
+         .config("spark.sql.session.timeZone", {session!r}).getOrCreate())
+now = stamp(spark.range(1), run_timestamp()).select(F.unix_millis("TimeStamp")).first()[0]
+assert abs(now / 1000 - time.time()) < 60, now
+for zone in (None, dt.timezone.utc):
+    fixed = stamp(spark.range(1), dt.datetime(2026, 1, 2, 3, 4, 5, 678000, zone))
+    assert fixed.select(F.unix_millis("TimeStamp")).first()[0] == 1767323045678
+"""
+
+
+@pytest.mark.parametrize("zone,session", [("UTC", "UTC"), ("Asia/Kolkata", "UTC"), ("America/New_York", "Asia/Tokyo")])
+def test_timestamp_is_the_instant_in_any_zone(zone, session):
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    script = ZONES.format(root=root, session=session)
+    subprocess.run([sys.executable, "-c", script], check=True, timeout=240, env=os.environ | {"TZ": zone})
+
+
+class CollectionSource(DataSource):
+    """A format that is addressed by options alone: appends rows to <folder>/<collection>."""
+
+    @classmethod
+    def name(cls):
+        return "collections"
+
+    def writer(self, schema, overwrite):
+        return CollectionWriter(self.options, overwrite)
+
+
+class CollectionWriter(DataSourceWriter):
+    def __init__(self, options, overwrite):
+        assert not overwrite, "a collection's history must not be replaced"
+        self.target = f"{options['folder']}/{options['collection']}"
+
+    def write(self, rows):
+        lines = [str(r) for r in rows]
+        with tempfile.NamedTemporaryFile("w", dir=self.target.rsplit("/", 1)[0], prefix=self.target.rsplit("/", 1)[1] + "-", delete=False) as f:
+            f.write("\n".join(lines))
+        return WriterCommitMessage()
+
+
+def test_run_all_appends_to_collections_of_a_path_less_format(spark, oracle_sales, scratch):
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    spark.dataSource.register(CollectionSource)
+    names = ["quarter_quantity", "site_catalog"]
+    for k in (1, 2):
+        targets = run_all(oracle_sales, None, names, "1998", fact_path=os.path.join(scratch, "fact"), fmt="collections",
+                          options={"folder": scratch, "collection": "{report}"})
+        assert targets == {n: None for n in names}
+        rows = [line for f in os.listdir(scratch) if f.startswith("quarter_quantity-")
+                for line in open(os.path.join(scratch, f)).read().splitlines()]
+        assert len(rows) == 12 * k  # runs accumulate
+
+
+def test_rankings_can_be_cut(spark, oracle_sales, scratch):
+    targets = run_all(oracle_sales, os.path.join(scratch, "sink"), ["item_ranking"], "1998",
+                      fact_path=os.path.join(scratch, "fact"), limits={"item_ranking": 7})
+    assert spark.read.parquet(targets["item_ranking"]).count() == 7

@@ -9,8 +9,9 @@ from frames import frame, rows_of, sale
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from tillroll.schema import SALES_COLUMNS
-from tillroll.sources import header_line, read_sales_text, to_sales_lines
+from tillroll.plans.reports import REPORTS
+from tillroll.schema import FIELD_POSITIONS, MEASURES, RAW_WIDTH, SALES_COLUMNS
+from tillroll.sources import header_line, read_sales_fact, read_sales_text, to_sales_lines, write_sales_fact
 
 
 def _write_lines(path: str, lines: list[str]) -> None:
@@ -62,11 +63,58 @@ def test_first_line_is_the_header_when_not_given(spark, scratch):
     assert rows_of(df, "pos_code", "quantity") == [("1", 5)]
 
 
-def test_strict_mode_fails_on_non_numeric_measure(spark, scratch):
+def _line(**fields) -> str:
+    """A raw line with every field filled in, and ``fields`` as given."""
+    values = {"sale_date": "01-02-2017"} | dict.fromkeys(MEASURES, "5") | fields
+    names = {p: n for n, p in FIELD_POSITIONS.items()}
+    return ",".join(values.get(names[i], names[i]) if i in names else "" for i in range(RAW_WIDTH))
+
+
+@pytest.mark.parametrize("written", [False, True])
+def test_strict_reports_fail_on_their_own_fields_only(spark, scratch, written):
+    path = os.path.join(scratch, "sales.csv")
+    _write_lines(path, [
+        header_line(), _line(), _line(measure_19="abc"), _line(quantity="many", sale_date="01-02-2016"),
+        _line(amount="x", promo_name=""), _line(sale_date="03-02-2017 10:15"),
+    ])
+    sales = read_sales_text(spark, path)
+    if written:
+        sales = read_sales_fact(spark, write_sales_fact(sales, os.path.join(scratch, "fact")))
+    fails = {n for n, r in REPORTS.items() if n == "rep_subcategory_quantity" or "amount" in r.parsed and "promo_name" not in r.non_empty}
+    assert "rep_daily_value" not in fails and "zone_subcategory_quantity" in fails
+    for name, report in REPORTS.items():
+        if name in fails:
+            with pytest.raises(PySparkException, match="measure_19" if name == "rep_subcategory_quantity" else "amount"):
+                report.run(sales, "2016").collect()
+        else:
+            assert report.run(sales, "2016").count() > 0, name
+    assert sum(r["Count"] for r in REPORTS["daily_quantity"].run(sales, "2016").collect()) == 20
+
+
+def test_strict_reports_fail_on_a_date_without_a_year(spark, scratch):
+    path = os.path.join(scratch, "sales.csv")
+    _write_lines(path, [header_line(), _line(), _line(sale_date="1-2-2017")])
+    sales = read_sales_text(spark, path)
+    for name, report in REPORTS.items():
+        if report.year_rule:
+            with pytest.raises(PySparkException, match="sale_date"):
+                report.run(sales, "2016").collect()
+        else:
+            report.run(sales, "2016").collect()
+
+
+def test_lenient_reports_drop_unreadable_lines(spark, scratch):
     path = os.path.join(scratch, "sales.csv")
-    _write_lines(path, [header_line(), ",".join(["1", "01-02-2017"] + [""] * 15 + ["abc"])])
-    with pytest.raises(PySparkException):
-        read_sales_text(spark, path).select("quantity").collect()
+    _write_lines(path, [header_line(), _line(), _line(quantity="abc"), _line(sale_date="1-2-2017")])
+    sales = read_sales_text(spark, path, mode="lenient")
+    assert [r["Count"] for r in REPORTS["daily_quantity"].run(sales, "2016").collect()] == [5]
+
+
+def test_scorecard_of_lines_without_measures_has_null_sums(spark, scratch):
+    path = os.path.join(scratch, "sales.csv")
+    _write_lines(path, [header_line(), _line(quantity="", amount="7"), _line(quantity="", category="C")])
+    rows = REPORTS["daily_category_scorecard"].run(read_sales_text(spark, path), "2016")
+    assert {(r["Category"], r["Quantity"], r["Amount"]) for r in rows.collect()} == {("category", None, "7"), ("C", None, "5")}
 
 
 def test_lenient_mode_nulls_bad_measure_and_bad_dates(spark, scratch):
@@ -86,11 +134,11 @@ def test_lenient_mode_nulls_bad_measure_and_bad_dates(spark, scratch):
     assert got == [("1", None, "2017"), ("2", 4, None), ("3", 4, None)]
 
 
-def test_strict_mode_fails_on_unreadable_date(spark, scratch):
+def test_strict_mode_names_unreadable_fields(spark, scratch):
     path = os.path.join(scratch, "sales.csv")
-    _write_lines(path, [header_line(), ",".join(["2", "1-2-2017"] + [""] * 15 + ["4"])])
-    with pytest.raises(PySparkException):
-        read_sales_text(spark, path).select("sale_year").collect()
+    _write_lines(path, [header_line(), _line(sale_date="1-2-2017", quantity="x"), _line()])
+    got = read_sales_text(spark, path).select("quantity", "sale_year", "bad_fields").collect()
+    assert {tuple(r) for r in got} == {(None, None, ",quantity,sale_date,"), (5, "2017", None)}
 
 
 def test_bad_mode_is_rejected(spark, scratch):
@@ -131,9 +179,6 @@ def test_rejected_lines_name_their_reason(spark, scratch):
 
 
 def test_empty_date_has_no_year_in_both_paths(spark, scratch):
-    from tillroll.plans.reports import REPORTS
-    from tillroll.sources import read_sales_fact, write_sales_fact
-
     path = os.path.join(scratch, "sales.csv")
     base = [""] * 15
     _write_lines(path, [header_line(), ",".join(["1", ""] + base + ["4"]),

@@ -30,8 +30,9 @@ def month_text(sale_date: ColumnOrName) -> Column:
 
 
 def day_of(sale_date: ColumnOrName) -> Column:
-    """The date text as a ``DateType`` value (raises on a bad date under ANSI)."""
-    return F.to_date(_col(sale_date), DATE_FORMAT)
+    """The date text as a ``DateType`` value (raises on a bad date under ANSI); text
+    after the day, such as a time, is left out."""
+    return F.to_date(F.substring(_col(sale_date), 1, 10), DATE_FORMAT)
 
 
 def quarter_label(month: ColumnOrName) -> Column:

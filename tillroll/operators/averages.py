@@ -11,14 +11,13 @@ city/state/zone). Two aggregates and one equi-join:
 * ``totals`` join ``days`` on the pair: ``days`` has one row per pair. No
   broadcast hint: AQE broadcasts ``days`` when its measured size is under the
   threshold; otherwise a sort-merge join runs.
-* Salting: a pair holding a large share of the rows can have very many
-  dimension combinations, and all of them would meet in one join task (AQE's
-  skew split does not reach this join: one side arrives through an aggregate,
-  not straight from a shuffle). So each ``totals`` row gets a salt from a hash
-  of its dims, and ``days`` (one row per pair) is repeated once per salt value;
-  the join runs on (pair, salt) and spreads a hot pair over ``salt_buckets``
-  tasks. Pass ``salt_buckets=1`` when the dims are fixed by the site (one
-  combination per pair): there is nothing to spread.
+* Skew: a pair holding a large share of the rows can have very many dimension
+  combinations, and all of them would meet in one join task. AQE splits such a
+  task only if both sides come straight from a shuffle made for the join. The
+  aggregate's own partitioning would serve ``days``, so the join key also holds
+  a hash of the pair: both sides are then shuffled for the join, and AQE splits
+  the hot partition of ``totals`` and reads that of ``days`` (one row per pair)
+  once per split. Pairs that are not hot are neither copied nor salted.
 
 Without extra dims both measures come from one aggregate and no join is
 needed.
@@ -28,14 +27,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tillroll.functions import float_ratio, int_ratio
 
 SITE_KEY = ("pos_code", "source_site")
 RATIO_MODES = ("int", "float")
-DEFAULT_SALT_BUCKETS = 16
-SALT_CONF = "spark.tillroll.saltBuckets"
+JOIN_HASH = "pair_hash"
 
 
 def _ratio(mode: str):
@@ -49,16 +46,9 @@ def avg_per_day(
     dims: list[str] | tuple[str, ...] = (),
     mode: str = "int",
     alias: str = "QtnPerDay",
-    salt_buckets: int | None = None,
 ) -> DataFrame:
-    """O6: columns ``pos_code, source_site, *dims, <alias>``.
-
-    ``salt_buckets`` defaults to the session setting ``spark.tillroll.saltBuckets``
-    (16 when unset), so a cluster can size it without a code change.
-    """
+    """O6: columns ``pos_code, source_site, *dims, <alias>``."""
     ratio = _ratio(mode)
-    if salt_buckets is None:
-        salt_buckets = int(sales.sparkSession.conf.get(SALT_CONF, str(DEFAULT_SALT_BUCKETS)))
     if not dims:
         both = sales.groupBy(*SITE_KEY).agg(
             F.sum("quantity").alias("qty"), F.countDistinct("sale_date").alias("days")
@@ -66,13 +56,8 @@ def avg_per_day(
         return both.select(*SITE_KEY, ratio.alias(alias))
     days = sales.groupBy(*SITE_KEY).agg(F.countDistinct("sale_date").alias("days"))
     totals = sales.groupBy(*SITE_KEY, *dims).agg(F.sum("quantity").alias("qty"))
-    key = list(SITE_KEY)
-    if salt_buckets > 1:
-        buckets = F.lit(salt_buckets).cast(T.LongType())
-        totals = totals.withColumn("salt", F.pmod(F.xxhash64(*dims), buckets))
-        days = days.withColumn(
-            "salt", F.explode(F.sequence(F.lit(0).cast(T.LongType()), buckets - 1))
-        )
-        key.append("salt")
-    joined = totals.join(days, key, "inner")
+    pair = F.xxhash64(*SITE_KEY)
+    joined = totals.withColumn(JOIN_HASH, pair).join(
+        days.withColumn(JOIN_HASH, pair), [*SITE_KEY, JOIN_HASH], "inner"
+    )
     return joined.select(*SITE_KEY, *dims, ratio.alias(alias))

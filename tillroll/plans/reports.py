@@ -27,10 +27,11 @@ from tillroll.operators import (
     mobile_completeness,
     monthly_by_quarter,
     pos_target_sum,
+    readable_rows,
     require_non_empty,
     top_items,
 )
-from tillroll.schema import DEFAULT_EXCLUDED_YEAR
+from tillroll.schema import BAD_FIELDS, DEFAULT_EXCLUDED_YEAR, MEASURES
 
 
 @dataclass(frozen=True)
@@ -40,9 +41,18 @@ class Report:
     non_empty: tuple[str, ...]
     year_rule: bool
     build: Callable[[DataFrame], DataFrame]
+    reads: tuple[str, ...] = ()
+
+    @property
+    def parsed(self) -> tuple[str, ...]:
+        """The fields that the report parses: measures, and the date for its year."""
+        fields = {*self.non_empty, *self.reads} & {*MEASURES}
+        return tuple(sorted(fields | ({"sale_date"} if self.year_rule else set())))
 
     def rows(self, sales: DataFrame, excluded_year: str = DEFAULT_EXCLUDED_YEAR) -> DataFrame:
         """The sale lines this report aggregates (after its row rules)."""
+        if BAD_FIELDS in sales.columns:
+            return readable_rows(sales, self.non_empty, excluded_year if self.year_rule else None, self.parsed)
         rows = require_non_empty(sales, self.non_empty)
         if self.year_rule:
             rows = exclude_year(rows, excluded_year)
@@ -54,10 +64,15 @@ class Report:
 
 REPORTS: dict[str, Report] = {}
 
+# Reports that are ranked, and so can be cut to their first rows.
+RANKINGS = ("item_ranking", "zone_item_ranking")
+
 
-def _report(name: str, description: str, non_empty: tuple[str, ...] = (), year_rule: bool = True):
+def _report(
+    name: str, description: str, non_empty: tuple[str, ...] = (), year_rule: bool = True, reads: tuple[str, ...] = ()
+):
     def register(build: Callable[[DataFrame], DataFrame]):
-        REPORTS[name] = Report(name, description, tuple(non_empty), year_rule, build)
+        REPORTS[name] = Report(name, description, tuple(non_empty), year_rule, build, reads)
         return build
 
     return register
@@ -156,8 +171,7 @@ def _avg_quantity_per_day(rows):
 @_report("zone_avg_quantity_per_day", "quantity per trading day, by point of sale and place",
          ("pos_code", "sale_date", "source_site", "quantity", "city", "state", "zone"))
 def _zone_avg_quantity_per_day(rows):
-    # City, state and zone are fixed by the site: one combination per pair, no salt.
-    out = avg_per_day(rows, ("city", "state", "zone"), "int", salt_buckets=1)
+    out = avg_per_day(rows, ("city", "state", "zone"), "int")
     return _named(out, POS, SITE, ("QtnPerDay", "QtnPerDay"), CITY, STATE, ZONE)
 
 
@@ -189,7 +203,8 @@ def _rep_mobile_completeness(rows):
     )
 
 
-@_report("daily_category_scorecard", "per day and (sub-)category: quantity, value, mobile captured")
+@_report("daily_category_scorecard", "per day and (sub-)category: quantity, value, mobile captured",
+         reads=("quantity", "amount"))
 def _daily_category_scorecard(rows):
     return daily_category_scorecard(rows)
 

@@ -15,29 +15,47 @@ from pyspark.sql import DataFrame
 
 from tillroll.plans.reports import REPORTS
 from tillroll.schema import DEFAULT_EXCLUDED_YEAR
-from tillroll.session import shared_dir
+from tillroll.session import remove_path, shared_dir
 from tillroll.sources.fact import read_sales_fact, write_sales_fact
-from tillroll.sources.sink import run_timestamp, write_report
+from tillroll.sources.sink import run_timestamp, utc, write_report
 
 
 def run_id_of(run_ts: dt.datetime) -> str:
     """Folder-safe id of a run timestamp, e.g. ``20261202T171500123``."""
-    return run_ts.strftime("%Y%m%dT%H%M%S%f")[:-3]
+    return utc(run_ts).strftime("%Y%m%dT%H%M%S%f")[:-3]
+
+
+def sink_options(options: dict[str, str] | None, report: str) -> dict[str, str]:
+    """Writer options of one report: ``{report}`` in a value stands for its name, e.g.
+    ``{"collection": "{report}"}``."""
+    return {k: v.replace("{report}", report) for k, v in (options or {}).items()}
 
 
 def run_all(
     sales: DataFrame,
-    sink_root: str,
+    sink_root: str | None,
     names: list[str] | None = None,
     excluded_year: str = DEFAULT_EXCLUDED_YEAR,
     fact_path: str | None = None,
     fmt: str = "parquet",
     run_ts: dt.datetime | None = None,
     parallelism: int = 1,
-) -> dict[str, str]:
+    options: dict[str, str] | None = None,
+    keep_fact: bool = False,
+    limits: dict[str, int] | None = None,
+) -> dict[str, str | None]:
     """Write the fact once, run each named report over it, and write each to
     ``sink_root/<name>/run_id=<id>``. Returns ``{name: target}``.
 
+    ``sink_root=None`` is for formats that are addressed by ``options`` alone, such
+    as a document store: each report is appended to its own collection (see
+    :func:`sink_options`), as the source jobs do, and nothing is ever
+    overwritten there.
+
+    A fact at the default path is removed once all reports are written, unless
+    ``keep_fact`` says otherwise; a failed run leaves it, and a path given by the
+    caller is never removed. ``limits`` cuts named rankings to their first rows.
+
     Runs accumulate side by side (reading ``sink_root/<name>`` gives every run,
     with ``TimeStamp`` and ``run_id`` columns). Each run writes its own folder
     in overwrite mode, so re-running a failed run with the same ``run_ts``
@@ -57,12 +75,15 @@ def run_all(
     path = write_sales_fact(sales, fact_path or f"{shared_dir(spark).rstrip('/')}/sales_fact-{run_id}")
     fact = read_sales_fact(spark, path)
     targets = {
-        name: f"{sink_root.rstrip('/')}/{name}/run_id={run_id}" for name in names or list(REPORTS)
+        name: sink_root and f"{sink_root.rstrip('/')}/{name}/run_id={run_id}" for name in names or list(REPORTS)
     }
 
     def one(name: str) -> None:
         report = REPORTS[name].run(fact, excluded_year)
-        write_report(report, targets[name], ts, fmt=fmt, mode="overwrite")
+        if limits and name in limits:
+            report = report.limit(limits[name])
+        mode = "overwrite" if targets[name] else "append"
+        write_report(report, targets[name], ts, fmt=fmt, mode=mode, options=sink_options(options, name))
 
     if parallelism <= 1:
         for name in targets:
@@ -71,4 +92,6 @@ def run_all(
         with ThreadPoolExecutor(max_workers=parallelism) as pool:
             for future in [pool.submit(one, name) for name in targets]:
                 future.result()
+    if fact_path is None and not keep_fact:
+        remove_path(spark, path)
     return targets

@@ -53,6 +53,10 @@ QUARTER_LABELS = ("Qtr1", "Qtr2", "Qtr3", "Qtr4")
 MOBILE_LABELS = ("Yes", "No")
 SCORECARD_COUNT = "1"
 
+# Fields with values that may be unreadable, and the column that names those of a line
+# as ",quantity,sale_date,"; null in a line without any.
+BAD_FIELDS = "bad_fields"
+
 MEASURES = ("quantity", "amount", "measure_19", "pos_target")
 
 SALES_SCHEMA = T.StructType(
@@ -60,7 +64,7 @@ SALES_SCHEMA = T.StructType(
         T.StructField(name, T.LongType() if name in MEASURES else T.StringType())
         for name in FIELD_POSITIONS
     ]
-    + [T.StructField("sale_year", T.StringType())]
+    + [T.StructField(BAD_FIELDS, T.StringType()), T.StructField("sale_year", T.StringType())]
 )
 
 SALES_COLUMNS = tuple(f.name for f in SALES_SCHEMA.fields)

@@ -14,18 +14,27 @@ import os
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
 def run_timestamp() -> dt.datetime:
     """One instant per run (UTC, millisecond precision), taken on the driver."""
     now = dt.datetime.now(dt.timezone.utc)
-    return now.replace(microsecond=now.microsecond // 1000 * 1000, tzinfo=None)
+    return now.replace(microsecond=now.microsecond // 1000 * 1000)
+
+
+def utc(ts: dt.datetime) -> dt.datetime:
+    """``ts`` in UTC; one without a zone is taken to be UTC already."""
+    return ts.replace(tzinfo=dt.timezone.utc) if ts.tzinfo is None else ts.astimezone(dt.timezone.utc)
 
 
 def stamp(report: DataFrame, run_ts: dt.datetime) -> DataFrame:
-    """Add the run's ``TimeStamp`` column as the first column."""
-    return report.select(F.lit(run_ts).cast(T.TimestampType()).alias("TimeStamp"), "*")
+    """Add the run's ``TimeStamp`` column as the first column.
+
+    The literal is built from epoch milliseconds, so neither the driver's zone
+    nor the session's changes the instant.
+    """
+    millis = (utc(run_ts) - dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc)) // dt.timedelta(milliseconds=1)
+    return report.select(F.timestamp_millis(F.lit(millis)).alias("TimeStamp"), "*")
 
 
 def write_report(

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillroll.functions import year_text
-from tillroll.schema import SALES_COLUMNS
+from tillroll.schema import BAD_FIELDS, SALES_COLUMNS
 
 
 def read_table(spark: SparkSession, tables_dir: str, name: str) -> DataFrame:
@@ -73,6 +73,18 @@ def sales_from_tables(spark: SparkSession, tables_dir: str) -> DataFrame:
     mobile = F.when(cust % 6 == 0, F.lit("")).otherwise(
         F.lpad(_text(cust), (F.lit(8) + cust % 6).cast(T.IntegerType()), "9")
     )
+    # Lines that the zero policies act on: one rep and some items have only zero
+    # measures (groups of nothing but zero lines), and another rep's measures
+    # alternate in sign (groups that cancel to zero without a zero line).
+    item_is_free = F.col("p_partkey") % 97 == 0
+    only_zeros = item_is_free | (rep == 36)
+    sign = F.lit(1) - 2 * (F.col("l_linenumber") % 2)
+
+    def measure(cancelling: int, usual: F.Column) -> F.Column:
+        return (
+            F.when(only_zeros, F.lit(0)).when(rep == 35, sign * cancelling).otherwise(usual).cast(T.LongType())
+        )
+
     quantity = F.when(
         (F.col("l_linenumber") == 7) & (F.col("l_returnflag") == "R"), F.lit(0)
     ).otherwise(F.floor("l_quantity"))
@@ -89,19 +101,18 @@ def sales_from_tables(spark: SparkSession, tables_dir: str) -> DataFrame:
         F.when(F.col("o_orderpriority") == "4-NOT SPECIFIED", F.lit(""))
         .otherwise(F.col("o_orderpriority"))
         .alias("promo_name"),
-        F.col("p_type").alias("category"),
-        F.col("p_brand").alias("sub_category"),
+        F.when(item_is_free, F.lit("GIVEAWAY")).otherwise(F.col("p_type")).alias("category"),
+        F.when(item_is_free, F.lit("GIVEAWAY")).otherwise(F.col("p_brand")).alias("sub_category"),
         _text(F.col("p_partkey")).alias("item_code"),
         F.col("l_returnflag").alias("item_attr"),
-        quantity.cast(T.LongType()).alias("quantity"),
-        F.floor("l_extendedprice").cast(T.LongType()).alias("amount"),
-        F.floor(F.col("l_extendedprice") * (1 - F.col("l_discount")))
-        .cast(T.LongType())
-        .alias("measure_19"),
+        measure(1, quantity).alias("quantity"),
+        measure(100, F.floor("l_extendedprice")).alias("amount"),
+        measure(90, F.floor(F.col("l_extendedprice") * (1 - F.col("l_discount")))).alias("measure_19"),
         F.concat(F.col("n_name"), F.lit("-"), _text(F.col("s_suppkey") % 3)).alias("city"),
         F.col("n_name").alias("state"),
         F.col("r_name").alias("zone"),
         F.floor("s_acctbal").cast(T.LongType()).alias("pos_target"),
         _text(F.col("p_size")).alias("field_28"),
     )
+    sales = sales.withColumn(BAD_FIELDS, F.lit(None).cast(T.StringType()))
     return sales.withColumn("sale_year", year_text("sale_date")).select(*SALES_COLUMNS)

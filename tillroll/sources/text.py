@@ -9,9 +9,11 @@ Rules, same as the source jobs:
 * measures are parsed as 64-bit integers; an empty measure is ``null`` so the
   non-empty rule drops it.
 
-``mode="strict"`` fails the job on a non-numeric measure or an unreadable date,
-as the source jobs do; ``mode="lenient"`` turns them into ``null`` (the year
-rule then drops rows with a bad date).
+A non-numeric measure, or the year of an unreadable date, reads as ``null``.
+``mode="strict"`` names such fields in the line's ``bad_fields``, and a report
+fails if a line that it keeps has one among the fields that it reads. So, as in
+the source jobs, a bad value in a field or year that a report never reads does
+not concern it. ``mode="lenient"`` names none: reports drop such lines.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillroll.functions import year_text
-from tillroll.schema import DATE_FORMAT, FIELD_POSITIONS, MEASURES, RAW_WIDTH, SALES_COLUMNS
+from tillroll.schema import BAD_FIELDS, DATE_FORMAT, FIELD_POSITIONS, MEASURES, RAW_WIDTH, SALES_COLUMNS
 
 MODES = ("strict", "lenient")
 
@@ -31,29 +33,28 @@ def _field(parts: Column, position: int) -> Column:
     return F.coalesce(F.get(parts, position), F.lit(""))
 
 
-def _measure(raw: Column, mode: str) -> Column:
-    if mode == "strict":
-        parsed = raw.cast(T.LongType())
-    else:
-        parsed = raw.try_cast(T.LongType())
-    return F.when(raw == "", F.lit(None).cast(T.LongType())).otherwise(parsed)
+def _measure(raw: Column) -> Column:
+    return raw.try_cast(T.LongType())
 
 
-def _sale_year(sale_date: Column, mode: str) -> Column:
-    readable = F.try_to_date(sale_date, DATE_FORMAT).isNotNull()
-    bad = (
-        F.raise_error(F.concat(F.lit("unreadable sale date: "), sale_date))
-        if mode == "strict"
-        else F.lit(None)
-    )
+def _unreadable_date(sale_date: Column) -> Column:
+    # Text after the day, such as a time, is let through, as the source's parser does.
+    return (sale_date != "") & F.try_to_date(F.substring(sale_date, 1, 10), DATE_FORMAT).isNull()
+
+
+def _sale_year(sale_date: Column) -> Column:
     # An empty date has no year (null), so the year rule drops the line; this
     # also survives a round trip through a year-partitioned table, where an
     # empty partition value would come back as null anyway.
-    return (
-        F.when(sale_date == "", F.lit(None).cast(T.StringType()))
-        .when(readable, year_text(sale_date))
-        .otherwise(bad.cast(T.StringType()))
-    )
+    return F.when((sale_date != "") & ~_unreadable_date(sale_date), year_text(sale_date))
+
+
+def _bad_fields(parts: Column) -> Column:
+    """Names of the line's unreadable fields, each between commas; null for none."""
+    bad = {n: (raw != "") & _measure(raw).isNull() for n in MEASURES for raw in [_field(parts, FIELD_POSITIONS[n])]}
+    bad["sale_date"] = _unreadable_date(_field(parts, FIELD_POSITIONS["sale_date"]))
+    names = F.concat_ws(",", *(F.when(c, F.lit(n)) for n, c in bad.items()))
+    return F.when(names != "", F.concat(F.lit(","), names, F.lit(",")))
 
 
 def parse_sales_lines(lines: DataFrame, header: str | None, mode: str = "strict") -> DataFrame:
@@ -68,11 +69,16 @@ def parse_sales_lines(lines: DataFrame, header: str | None, mode: str = "strict"
     columns = []
     for name, position in FIELD_POSITIONS.items():
         raw = _field(parts, position)
-        columns.append((_measure(raw, mode) if name in MEASURES else raw).alias(name))
-    typed = kept.select(*columns)
-    return typed.withColumn("sale_year", _sale_year(F.col("sale_date"), mode)).select(
-        *SALES_COLUMNS
-    )
+        columns.append((_measure(raw) if name in MEASURES else raw).alias(name))
+    bad = _bad_fields(parts) if mode == "strict" else F.lit(None).cast(T.StringType())
+    typed = kept.select(*columns, bad.alias(BAD_FIELDS))
+    return typed.withColumn("sale_year", _sale_year(F.col("sale_date"))).select(*SALES_COLUMNS)
+
+
+def first_line(lines: DataFrame) -> str | None:
+    """The first line of the input, which is its header when none is given."""
+    first = lines.first()
+    return first[0] if first is not None else None
 
 
 def read_sales_text(
@@ -87,10 +93,7 @@ def read_sales_text(
     the input is taken as the header (one small action on the driver).
     """
     lines = spark.read.text(path)
-    if header is None:
-        first = lines.first()
-        header = first[0] if first is not None else None
-    return parse_sales_lines(lines, header, mode)
+    return parse_sales_lines(lines, first_line(lines) if header is None else header, mode)
 
 
 def rejected_lines(lines: DataFrame, header: str | None) -> DataFrame:
@@ -111,8 +114,7 @@ def rejected_lines(lines: DataFrame, header: str | None) -> DataFrame:
         bad = (raw != "") & raw.try_cast(T.LongType()).isNull()
         reasons.append(F.when(bad, F.lit(f"{name} is not a number")))
     sale_date = _field(parts, FIELD_POSITIONS["sale_date"])
-    bad_date = (sale_date != "") & F.try_to_date(sale_date, DATE_FORMAT).isNull()
-    reasons.append(F.when(bad_date, F.lit("sale_date is not dd-MM-yyyy")))
+    reasons.append(F.when(_unreadable_date(sale_date), F.lit("sale_date is not dd-MM-yyyy")))
     reason = F.concat_ws("; ", *reasons)
     return kept.select(value, reason.alias("reason")).filter(F.col("reason") != "")
 

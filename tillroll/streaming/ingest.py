@@ -11,10 +11,11 @@ restarted query or a lost executor resumes from the last committed batch
 instead of re-reading every file.
 
 Only reports computed by one aggregation (sums, quarter-labelled months, the
-scorecard, target totals, rankings) can run this way: Structured Streaming
+scorecard, target totals) can run this way: Structured Streaming
 does not support ``count(distinct)`` or an aggregation over the result of
 another one, which the per-day averages and the mobile-completeness counts
-need. Those stay batch reports.
+need. Those stay batch reports, and so do the rankings: a sorted stream would
+hold and rewrite about one group per line.
 """
 
 from __future__ import annotations
@@ -26,7 +27,6 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tillroll.plans.reports import REPORTS
 from tillroll.schema import DEFAULT_EXCLUDED_YEAR
-from tillroll.session import shared_dir
 from tillroll.sources.sink import run_timestamp, write_report
 from tillroll.sources.text import header_line, parse_sales_lines
 
@@ -41,8 +41,6 @@ STREAMABLE = (
     "salesperson_value",
     "daily_category_scorecard",
     "pos_target",
-    "item_ranking",
-    "zone_item_ranking",
     "zone_daily_quantity",
     "zone_daily_value",
     "zone_category_quantity",
@@ -78,10 +76,15 @@ def streaming_sales(
 
 
 def default_checkpoint(spark: SparkSession, report_name: str, source_dir: str, sink_dir: str) -> str:
-    """A stable checkpoint folder for one (report, source, sink) under the shared
-    folder, so a restarted stream resumes where it stopped."""
+    """A checkpoint folder for one (report, source, sink) under ``spark.checkpoint.dir``,
+    the same in every session, so a restarted process resumes where it stopped. A
+    folder made up for one session would not do, so without that setting a
+    checkpoint folder must be given."""
+    shared = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    if not shared:
+        raise ValueError("give checkpoint_dir, or set spark.checkpoint.dir")
     key = hashlib.sha1(f"{report_name}|{source_dir}|{sink_dir}".encode()).hexdigest()[:16]
-    return f"{shared_dir(spark).rstrip('/')}/stream-{report_name}-{key}"
+    return f"{shared.rstrip('/')}/stream-{report_name}-{key}"
 
 
 def start_report_stream(
@@ -93,7 +96,7 @@ def start_report_stream(
     excluded_year: str = DEFAULT_EXCLUDED_YEAR,
     header: str | None = None,
     mode: str = "strict",
-    output_mode: str = "complete",
+    output_mode: str = "update",
     fmt: str = "parquet",
     available_now: bool = False,
     processing_time: str | None = None,
@@ -101,9 +104,9 @@ def start_report_stream(
 ) -> StreamingQuery:
     """Start keeping one report current; returns the running query.
 
-    ``output_mode="complete"`` appends the whole report at every trigger (the
-    same shape as a batch run); ``"update"`` appends only the groups that
-    changed. ``available_now=True`` processes the files present now and stops.
+    ``output_mode="update"`` writes the groups that a trigger changed;
+    ``"complete"`` writes the whole report at every trigger, which grows with the
+    number of groups. ``available_now=True`` processes the files present now and stops.
     ``max_files_per_trigger`` bounds the input of one trigger when a large
     backlog of files is waiting.
     """
@@ -111,8 +114,6 @@ def start_report_stream(
         raise ValueError(f"report {report_name!r} cannot run as a stream; use a batch run")
     if output_mode not in ("complete", "update"):
         raise ValueError("output_mode must be 'complete' or 'update'")
-    if report_name in ("item_ranking", "zone_item_ranking") and output_mode != "complete":
-        raise ValueError("rankings are sorted, which a stream supports only in complete mode")
     sales = streaming_sales(spark, source_dir, header, mode, max_files_per_trigger)
     report = REPORTS[report_name].run(sales, excluded_year)
 
