@@ -3,6 +3,8 @@ the head/tail split of per-document lookups."""
 
 from __future__ import annotations
 
+import re
+from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -23,12 +25,22 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Spark's setting to delete a query's shuffle files at its end.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read back: a lineage cut that survives
-    lost executors."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    lost executors. The shuffle files behind it are of no more use and go at once."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def fold_remainder(doc_id: Column | str, n: int) -> Column:
@@ -44,21 +56,11 @@ def byte_texts(column: pa.Array | pa.ChunkedArray) -> list[bytes]:
     return [b or b"" for b in column.cast(pa.large_binary()).to_pylist()]
 
 
-class WordHashes(dict):
-    """64-bit hash of each word, remembered; emptied beyond ``bound`` words."""
-
-    def __init__(self, seed: int = 0, bound: int = 400_000) -> None:
-        super().__init__()
-        self.seed, self.bound = seed, bound
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.bound:
-            self.clear()
-        h = self[word] = xxhash.xxh3_64_intdigest(word, self.seed)
-        return h
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
+def slices(batches: Iterable[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.RecordBatch]:
+    """Smaller batches, which bound what a task builds from one of them."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -68,14 +70,89 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+#: Bytes of text that are hashed at once; longer words have a hash of their own kind.
+PIECE = 1 << 15
+ODD = 0x9E3779B97F4A7C15
+_TABLES: list[np.ndarray] = []
+
+
+def _tables() -> list[np.ndarray]:
+    """White space, values of bytes (0 for white space), powers of ODD and their inverses."""
+    if not _TABLES:
+        space = np.zeros(256, bool)
+        space[[9, 10, 11, 12, 13, 32]] = True
+        values = np.where(space, np.uint64(0), mixed(np.arange(1, 257, dtype=np.uint64)))
+        powers = np.full((2, PIECE), 1, np.uint64)
+        powers[:, 1:] = np.array([[ODD], [pow(ODD, -1, 1 << 64)]], np.uint64)
+        _TABLES.extend([space, values, *np.cumprod(powers, axis=1, dtype=np.uint64)])
+    return _TABLES
+
+
+def word_hashes(text: bytes) -> np.ndarray:
+    """A 64-bit hash of each word of ``text.split()``: a polynomial in its bytes' values."""
+    if len(text) <= PIECE:
+        return _piece_hashes(text)
+    out, begin = [], 0
+    while begin < len(text):
+        end = min(len(text), begin + PIECE)
+        if end < len(text):
+            last = max(text.rfind(s, begin, end) for s in (b" ", b"\n", b"\t", b"\r", b"\x0b", b"\x0c"))
+            if last < 0:  # one word goes on over the whole piece
+                space = re.compile(rb"[ \t-\r]").search(text, end)
+                end = space.start() if space else len(text)
+                if end - begin > PIECE:
+                    out.append(np.array([xxhash.xxh3_64_intdigest(text[begin:end])], np.uint64))
+                    begin = end
+                    continue
+            else:
+                end = last + 1
+        out.append(_piece_hashes(text[begin:end]))
+        begin = end
+    return np.concatenate(out)
+
+
+def _piece_hashes(text: bytes) -> np.ndarray:
+    spaces, values, powers, inverses = _tables()
+    b = np.frombuffer(text, np.uint8)
+    # Padded by a space on either side, a word begins and ends where this changes.
+    space = np.ones(len(b) + 2, bool)
+    np.take(spaces, b, out=space[1:-1])
+    turn = np.flatnonzero(space[1:] != space[:-1])
+    if not len(turn):
+        return np.empty(0, np.uint64)
+    starts, ends = turn[::2], turn[1::2]
+    total = np.add.reduceat(values[b] * powers[: len(b)], starts)
+    return mixed(total * inverses[starts] + (ends - starts).astype(np.uint64))
+
+
 def shingle_hashes(words: np.ndarray, n: int) -> np.ndarray:
-    """A 64-bit hash of each run of ``n`` consecutive word hashes; none if fewer."""
-    if len(words) < n:
+    """A 64-bit hash of each run of ``n`` consecutive word hashes, the polynomial in them;
+    none if there are fewer. Runs of twice the length are made from two runs."""
+    size = len(words) - n + 1
+    if size < 1:
         return np.empty(0, np.uint64)
-    out = np.zeros(len(words) - n + 1, np.uint64)
-    for i in range(n):
-        out = out * np.uint64(0x9E3779B97F4A7C15) + words[i : i + len(out)]
-    return mixed(out)
+    out, done, run, length = None, 0, words, 1
+    while True:
+        if n & length:
+            if out is None:
+                out = run[:size]
+            else:
+                out = out * np.uint64(pow(ODD, length, 1 << 64)) + run[done : done + size]
+            done += length
+        if 2 * length > n:
+            return out
+        run = run[:-length] * np.uint64(pow(ODD, length, 1 << 64)) + run[length:]
+        length *= 2
+
+
+def least_of_each(values: np.ndarray, n: int) -> np.ndarray:
+    """The least of each run of ``n`` consecutive values."""
+    size = len(values) - n + 1
+    length = 1
+    while 2 * length <= n:
+        values = np.minimum(values[:-length], values[length:])
+        length *= 2
+    return np.minimum(values[:size], values[n - length : n - length + size])
 
 
 def word_shingles(words: list[bytes], n: int) -> list[bytes]:
@@ -92,35 +169,25 @@ def with_row_key(df: DataFrame, name: str = "__row") -> DataFrame:
     return df.withColumn(name, F.monotonically_increasing_id())
 
 
-def count_rows(parts: Iterator[pa.RecordBatch], items, most: int = 400_000) -> Iterator[pa.RecordBatch]:
-    """(key binary, n long) rows with the counts of ``items(batch)``, an iterable of
-    (key, n), combined inside the task; a table of at most about ``most`` keys is held."""
-    held: dict[bytes, int] = {}
+def count_rows(parts: Iterable[pa.RecordBatch], lists, emit=None, most: int = 120_000) -> Iterator[pa.RecordBatch]:
+    """Counts of the items of ``lists(batch)``, combined inside the task. When a table has
+    ``most`` items it is sent on, as (key binary, n long) or as ``emit`` makes it."""
+    emit = emit or counted_batch
+    held: Counter = Counter()
     for batch in parts:
-        for key, n in items(batch):
-            held[key] = held.get(key, 0) + n
+        for items in lists(batch):
+            held.update(items)
             if len(held) >= most:
-                yield counted_batch(held)
-                held = {}
+                yield emit(held)
+                held = Counter()
     if held:
-        yield counted_batch(held)
+        yield emit(held)
 
 
 def counted_batch(held: dict[bytes, int]) -> pa.RecordBatch:
     return pa.record_batch({"key": pa.array(held.keys(), pa.binary()), "n": pa.array(held.values(), pa.int64())})
 
 
-def chunks(rows: Iterable, size: int) -> Iterator[list]:
-    block: list = []
-    for row in rows:
-        block.append(row)
-        if len(block) >= size:
-            yield block
-            block = []
-    if block:
-        yield block
-
-
 def frequent(counts: DataFrame, total: int, share: int, *columns: str) -> list[tuple]:
     """The rows of ``counts`` (key, n, ...) whose n is at least total / ``share``.
 

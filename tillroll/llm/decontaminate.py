@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import WORD_PATTERN, WordHashes, byte_texts, mixed, shingle_hashes, word_shingles
+from tillroll.llm.common import WORD_PATTERN, byte_texts, mixed, shingle_hashes, slices, word_hashes, word_shingles
 
 U64 = np.uint64
 #: Entries of the table that tells at once that a shingle is no item's minimum.
@@ -48,8 +48,10 @@ def bands(share: float, miss: float = 1e-6) -> int:
     return math.ceil(math.log(miss) / math.log(1 - least))
 
 
-def hashed(words: list[bytes], hashes: WordHashes, n: int) -> np.ndarray:
-    return shingle_hashes(hashes.of(words), min(n, len(words))) if words else np.empty(0, U64)
+def hashed(text: bytes, n: int) -> np.ndarray:
+    """Hashes of the shingles of a text, lower-cased in A-Z."""
+    words = word_hashes(text.lower())
+    return mixed(shingle_hashes(words, min(n, len(words)))) if len(words) else words
 
 
 class ItemIndex:
@@ -60,10 +62,9 @@ class ItemIndex:
         self.ids = [i for i, _ in items]
         self.shingles = [set(word_shingles(t.lower().split(), n)) for _, t in items]
         self.seeds = mixed(np.arange(1, bands(share) + 1, dtype=U64))
-        hashes = WordHashes()
         rows = []
         for at, (_, text) in enumerate(items):
-            own = np.unique(hashed(text.lower().split(), hashes, n))
+            own = np.unique(hashed(text, n))
             if len(own):
                 size = max(len(own) - 1, 0).bit_length()
                 signature = mixed(own[:, None] ^ self.seeds[None, :])
@@ -107,13 +108,12 @@ class ItemIndex:
                     found.add(item)
         return found
 
-    def matches(self, text: bytes, hashes: WordHashes) -> list[tuple[int, int]]:
+    def matches(self, text: bytes) -> list[tuple[int, int]]:
         """(place of an item, shingles of it that the text has) of contained items."""
-        words = text.lower().split()
-        found = self.candidates(hashed(words, hashes, self.n))
+        found = self.candidates(hashed(text, self.n))
         if not found:
             return []
-        own = set(word_shingles(words, self.n))
+        own = set(word_shingles(text.lower().split(), self.n))
         counted = [(i, len(self.shingles[i] & own)) for i in sorted(found)]
         return [(i, c) for i, c in counted if c >= self.share * len(self.shingles[i]) - 1e-9]
 
@@ -148,11 +148,11 @@ def _pairs(docs: DataFrame, items: list, n: int, share: float):
     shared = docs.sparkSession.sparkContext.broadcast(items)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index, hashes = ItemIndex(shared.value, n, share), WordHashes()
-        for batch in batches:
+        index = ItemIndex(shared.value, n, share)
+        for batch in slices(batches):
             at, item, common, size = [], [], [], []
             for k, text in enumerate(byte_texts(batch.column("text"))):
-                for i, c in index.matches(text, hashes):
+                for i, c in index.matches(text):
                     at.append(k)
                     item.append(index.ids[i])
                     common.append(c)
@@ -182,9 +182,9 @@ def _without(docs: DataFrame, items: list, n: int, share: float, text_col: str)
     place = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index, hashes = ItemIndex(shared.value, n, share), WordHashes()
-        for batch in batches:
-            clean = [not index.matches(t, hashes) for t in byte_texts(batch.column(place))]
+        index = ItemIndex(shared.value, n, share)
+        for batch in slices(batches):
+            clean = [not index.matches(t) for t in byte_texts(batch.column(place))]
             yield batch.filter(pa.array(clean, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
