@@ -37,13 +37,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.llm.common import (
-    WordHashes, byte_texts, count_rows, fold_remainder, frequent, mixed, with_row_key, written,
+    byte_texts, count_rows, fold_remainder, frequent, mixed, slices, with_row_key, word_hashes, written,
 )
 
 U64 = np.uint64
-#: The end of a text; no word is empty.
+#: The end of a text; no word is empty. Hashes of the end, and of the start as a context.
 END = b""
-#: Stands for the start of a text as a context.
+END_HASH = U64(0x9FB21C651E98DF25)
 START = U64(0x2545F4914F6CDD1D)
 
 
@@ -53,6 +53,17 @@ def tokens_of(text: bytes) -> list[bytes]:
     return words
 
 
+def token_hashes(text: bytes) -> np.ndarray:
+    return np.append(word_hashes(text.lower()), END_HASH)
+
+
+def key_hashes(keys: list[bytes]) -> np.ndarray:
+    """Hashes of tokens, in any order."""
+    out = np.full(len(keys), END_HASH)
+    out[[bool(k) for k in keys]] = word_hashes(b" ".join(k for k in keys if k))
+    return out
+
+
 def pair_hashes(first: np.ndarray, second: np.ndarray) -> np.ndarray:
     return mixed(first * U64(0x9E3779B97F4A7C15) + second)
 
@@ -121,17 +132,18 @@ class Model:
     def low(self, level: np.ndarray, floor: float) -> np.ndarray:
         return np.where(level < 0, 0.0, floor * self.base ** level.astype(float))
 
-    def log10(self, words: np.ndarray) -> np.ndarray:
-        """log10 P of each token given the one before; the first follows START."""
+    def log10(self, words: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """log10 P of each token given the one before; those at ``starts`` follow START."""
         each, back = np.unique(words, return_inverse=True)
         level = self.filter.levels(mixed(each))[back]
         p = np.where(level < 0, self.unheld, self.low(level, self.word_floor) * math.sqrt(self.base) / self.held_total)
-        before = np.concatenate(([START], words[:-1]))
+        before = np.roll(words, 1)
+        before[starts] = START
         at = np.minimum(np.searchsorted(self.contexts, before), max(len(self.contexts) - 1, 0))
         known = self.contexts[at] == before if len(self.contexts) else np.zeros(len(words), bool)
         if known.any():
             pair = self.low(self.filter.levels(pair_hashes(before[known], words[known])), self.pair_floor)
-            high = np.concatenate(([0], level[:-1]))[known]
+            high = np.roll(level, 1)[known]
             high = self.word_floor * self.base ** (high + 1.0)
             p[known] = self.weight * np.minimum(pair / high, 1.0) + (1 - self.weight * self.mass[at[known]]) * p[known]
         return np.log10(p)
@@ -141,13 +153,7 @@ def token_rows(rows: DataFrame) -> DataFrame:
     """(key, n) of every distinct token of ``rows`` (text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def items(batch: pa.RecordBatch):
-            found: Counter = Counter()
-            for text in byte_texts(batch.column("text")):
-                found.update(tokens_of(text))
-            return found.items()
-
-        yield from count_rows(batches, items)
+        yield from count_rows(slices(batches), lambda batch: map(tokens_of, byte_texts(batch.column("text"))))
 
     return rows.mapInArrow(run, "key binary, n bigint").groupBy("key").agg(F.sum("n").alias("n"))
 
@@ -157,7 +163,7 @@ def pair_rows(rows: DataFrame, contexts) -> DataFrame:
     broadcast, sorted ``contexts``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, known = WordHashes(), contexts.value
+        known = contexts.value
         if not len(known):
             return
         held, size = [], 0
@@ -173,15 +179,15 @@ def pair_rows(rows: DataFrame, contexts) -> DataFrame:
                 "first": pa.array(pairs[new, 0]), "second": pa.array(pairs[new, 1]), "n": pa.array(n.astype(np.int64)),
             })
 
-        for batch in batches:
+        for batch in slices(batches):
             for text in byte_texts(batch.column("text")):
-                h = hashes.of(tokens_of(text))
+                h = token_hashes(text)
                 place = np.minimum(np.searchsorted(known, h), len(known) - 1)
                 place = np.where(known[place] == h, place, -1).astype(np.int32)
                 both = (place[:-1] >= 0) & (place[1:] >= 0)
                 held.append(np.stack((place[:-1][both], place[1:][both]), axis=1))
                 size += len(held[-1])
-                if size >= 4_000_000:
+                if size >= 1_000_000:
                     yield emptied()
                     size = 0
         if size:
@@ -199,7 +205,7 @@ def train(
     counts = written(token_rows(rows), "token-counts")
     tokens, types = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     words = frequent(counts, tokens, share, "key", "n")
-    keys = np.array([WordHashes()[k] for k, _ in words], U64)
+    keys = key_hashes([k for k, _ in words])
     n = np.array([c for _, c in words], np.int64)
     floor = max(tokens / share, 1.0)
     levels = np.floor(np.log(np.maximum(n / floor, 1.0)) / math.log(base) + 1e-9).astype(np.int64)
@@ -228,7 +234,7 @@ def train(
     return model, counts
 
 
-def score(rows: DataFrame, model: Model, counts: DataFrame, head_share: int = 1 << 21) -> DataFrame:
+def score(rows: DataFrame, model: Model, counts: DataFrame, head_share: int = 1 << 20) -> DataFrame:
     """``rows`` (__row, doc_id, held_out, text) with n_tokens, n_known, base_score, score."""
     context = rows.sparkSession.sparkContext
     head = context.broadcast(dict(frequent(counts, model.tokens, head_share, "key", "n")))
@@ -236,16 +242,18 @@ def score(rows: DataFrame, model: Model, counts: DataFrame, head_share: int = 1
     unit = model.tokens + model.types + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, known, lm = WordHashes(), head.value, Model.of(shared.value)
-        for batch in batches:
+        known, lm = head.value, Model.of(shared.value)
+        for batch in slices(batches):
             texts = byte_texts(batch.column("text"))
             if not texts:
                 continue
-            n_tokens, n_known, base, scores, sizes, keys, times = [], [], [], [], [], [], []
+            hashed = [token_hashes(t) for t in texts]
+            n_tokens = [len(h) for h in hashed]
+            starts = np.cumsum([0, *n_tokens])[:-1]
+            scores = np.add.reduceat(lm.log10(np.concatenate(hashed), starts), starts).tolist()
+            n_known, base, sizes, keys, times = [], [], [], [], []
             for text in texts:
                 words = tokens_of(text)
-                scores.append(float(lm.log10(hashes.of(words)).sum()))
-                n_tokens.append(len(words))
                 rest, seen, total = 0, 0, 0.0
                 for word, n in Counter(words).items():
                     c = known.get(word)
