@@ -18,6 +18,7 @@ rows with the same id stay rows of their own; other columns are not read.
 from __future__ import annotations
 
 import json
+import os
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -27,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import byte_texts, count_rows, frequent, with_row_key, written
+from tillroll.llm.common import byte_texts, count_rows, counted_batch, frequent, slices, with_row_key, written
 
 # The characters with Unicode's White_Space property, as ranges of a character class
 # (fixed by the standard). No pre-token holds one after another character, so a text
@@ -35,39 +36,59 @@ from tillroll.llm.common import byte_texts, count_rows, frequent, with_row_key,
 SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
 
+#: Chunks that a task remembers.
+REMEMBERED = 60_000
+#: A space starts no word of a chunk that stands for itself.
+MARK = " "
+# White space other than the space and the line break.
+RARE_SPACE = r"\t\x0b-\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+# Chunks whose pre-tokens need no library: a line break, a word of Latin letters with the
+# space before it, and a run of ASCII punctuation, each optional but the word. The
+# apostrophe is left out, as it may start a contraction.
+PLAIN = re.compile(r"(\n)?( ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([!-&(-/:-@\[-`{-~]+)?")
+
+
 class PreTokens:
-    """Cuts texts into pre-tokens with the library's own pre-tokeniser. Texts are cut into
-    chunks first, white space followed by a word, and each distinct chunk is given to
-    the library once (the memory of chunks is emptied beyond ``bound``)."""
+    """Cuts texts into chunks, white space followed by a word, and chunks into pre-tokens
+    with the library's own pre-tokeniser (but for ``PLAIN`` ones)."""
 
-    def __init__(self, tokenizer_json: str, bound: int = 250_000) -> None:
+    def __init__(self, tokenizer_json: str) -> None:
+        # Tasks run side by side already; the library's own threads would add memory only.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         added = [t["content"] for t in json.loads(tokenizer_json)["added_tokens"]]
         self.special = re.compile("|".join(map(re.escape, sorted(added, key=len, reverse=True)))) if added else None
-        self.chunk = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
-        self.memory: dict[str, list[bytes]] = {}
-        self.bound = bound
-
-    def counts(self, text: str) -> tuple[int, Counter]:
-        """Special tokens in the text, and its chunks with their frequencies."""
+        self.find = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+").findall
+        self.rare = re.compile(f"[{RARE_SPACE}]").search
+
+    def chunks(self, text: str) -> list[str]:
+        """Where single spaces are the only cuts but for line breaks inside a word, a word
+        stands for itself with a space before it, so the first word, which has none, is
+        given with a mark that no chunk starts with."""
+        if not text:
+            return []
+        if "  " in text or " \n" in text or "\n " in text or text[0].isspace() or text[-1].isspace() or self.rare(text):
+            return [MARK + c for c in self.find(text)]
+        words = text.split(" ")
+        words[0] = MARK + words[0]
+        return words
+
+    def texts(self, text: str) -> tuple[int, list[str]]:
+        """Special tokens in a text, and its chunks."""
         if self.special is None or not self.special.search(text):
-            return 0, Counter(self.chunk.findall(text))
+            return 0, self.chunks(text)
         parts = self.special.split(text)
-        found: Counter = Counter()
-        for part in parts:
-            found.update(self.chunk.findall(part))
-        return len(parts) - 1, found
+        return len(parts) - 1, [c for part in parts for c in self.chunks(part)]
 
     def of_chunk(self, chunk: str) -> list[bytes]:
-        got = self.memory.get(chunk)
-        if got is None:
-            if len(self.memory) >= self.bound:
-                self.memory.clear()
-            cut = self.tokenizer.pre_tokenizer.pre_tokenize_str(chunk)
-            got = self.memory[chunk] = [chunk[a:b].encode() for _, (a, b) in cut]
-        return got
+        chunk = chunk[len(MARK) :] if chunk.startswith(MARK) else " " + chunk
+        plain = PLAIN.fullmatch(chunk)
+        if plain:
+            return [p.encode() for p in plain.groups() if p]
+        cut = self.tokenizer.pre_tokenizer.pre_tokenize_str(chunk)
+        return [chunk[a:b].encode() for _, (a, b) in cut]
 
     def pieces(self, pre_tokens: list[bytes]) -> list[int]:
         """The number of tokens of each pre-token."""
@@ -85,13 +106,16 @@ def pre_token_counts(texts: DataFrame, tokenizer_json: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cut = PreTokens(tokenizer_json)
 
-        def items(batch: pa.RecordBatch):
-            total: Counter = Counter()
-            for text in _texts(batch.column("text")):
-                total.update(cut.counts(text)[1])
-            return ((p, n) for chunk, n in total.items() for p in cut.of_chunk(chunk))
+        def emit(chunks: Counter) -> pa.RecordBatch:
+            found: dict[bytes, int] = {}
+            for chunk, n in chunks.items():
+                for p in cut.of_chunk(chunk):
+                    found[p] = found.get(p, 0) + n
+            return counted_batch(found)
 
-        yield from count_rows(batches, items)
+        yield from count_rows(
+            slices(batches), lambda batch: (cut.texts(t)[1] for t in _texts(batch.column("text"))), emit
+        )
 
     return texts.mapInArrow(run, "key binary, n bigint").groupBy("key").agg(F.sum("n").alias("n"))
 
@@ -101,7 +125,7 @@ def piece_counts(counts: DataFrame, tokenizer_json: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cut = PreTokens(tokenizer_json)
-        for batch in batches:
+        for batch in slices(batches, 4096):
             pieces = cut.pieces(batch.column("key").to_pylist())
             yield pa.record_batch({
                 "key": batch.column("key"), "n": batch.column("n"), "pieces": pa.array(pieces, pa.int32()),
@@ -111,7 +135,7 @@ def piece_counts(counts: DataFrame, tokenizer_json: str) -> DataFrame:
 
 
 def token_counts(
-    docs: DataFrame, tokenizer_path: str, limit: int = 512, head_share: int = 1 << 21,
+    docs: DataFrame, tokenizer_path: str, limit: int = 512, head_share: int = 1 << 20,
     id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_bytes, n_tokens, over_limit. The tokenizer file
@@ -126,21 +150,27 @@ def token_counts(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cut, known = PreTokens(tokenizer_json), in_head.value
-        memory: dict[str, tuple[int, list[bytes]]] = {}
-        for batch in batches:
-            if len(memory) > cut.bound:
+        memory: dict = {}  # chunk -> pieces of its known pre-tokens, with the unknown ones if any
+        for batch in slices(batches):
+            if len(memory) > REMEMBERED:
                 memory.clear()
             base, sizes, keys, times, rows = [], [], [], [], []
             column = byte_texts(batch.column("text"))
             for k, text in enumerate(column):
-                total, chunks = cut.counts(text.decode("utf-8", "replace"))
+                total, chunks = cut.texts(text.decode("utf-8", "replace"))
                 rest: dict[bytes, int] = {}
-                for chunk, n in chunks.items():
+                for chunk, n in Counter(chunks).items():
                     got = memory.get(chunk)
                     if got is None:
                         parts = cut.of_chunk(chunk)
-                        got = sum(known.get(p, 0) for p in parts), [p for p in parts if p not in known]
+                        new = [p for p in parts if p not in known]
+                        got = sum(known.get(p, 0) for p in parts)
+                        if new:
+                            got = got, new
                         memory[chunk] = got
+                    if type(got) is int:
+                        total += n * got
+                        continue
                     total += n * got[0]
                     for p in got[1]:
                         rest[p] = rest.get(p, 0) + n
