@@ -27,48 +27,49 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import byte_texts, fold_remainder
+from tillroll.llm.common import byte_texts, fold_remainder, slices
 
 UNDETERMINED = "und"
 WINDOW = 256
 WIDTHS = (2, 3, 4)
+STEP = WINDOW - max(WIDTHS) + 1
 
 
 @dataclass
 class Network:
     langs: list[str]
-    tables: dict[int, np.ndarray]  # width -> (width, 256, filters)
+    #: tables[k]: a row for each byte at place k of a filter, for the filters that are
+    #: wider than k; filters are in the order of their width.
+    tables: list[np.ndarray]
     bias: np.ndarray  # of the softmax
-    out: np.ndarray  # (all filters, languages)
-
-    def pooled(self, x: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
-        """The highest activation of each filter in each window (rows of bytes), and where."""
-        tops, places = [], []
-        for width, table in self.tables.items():
-            n = x.shape[1] - width + 1
-            z = table[0][x[:, :n]]
-            for k in range(1, width):
-                z += table[k][x[:, k : k + n]]
-            tops.append(z.max(axis=1))
-            places.append(z)
-        return np.maximum(np.concatenate(tops, axis=1), 0), places
+    out: np.ndarray  # (filters, languages)
+
+    def activations(self, x: np.ndarray) -> np.ndarray:
+        """Every filter at every place of each window (rows of byte values)."""
+        n = x.shape[1] - len(self.tables) + 1
+        z = np.take(self.tables[0], x[:, :n], axis=0, mode="clip")
+        for k, table in enumerate(self.tables[1:], 1):
+            z[:, :, z.shape[2] - table.shape[1] :] += np.take(table, x[:, k : k + n], axis=0, mode="clip")
+        return z
 
     def probabilities(self, x: np.ndarray) -> np.ndarray:
-        z = self.pooled(x)[0] @ self.out + self.bias
-        p = np.exp(z - z.max(axis=1, keepdims=True))
-        return p / p.sum(axis=1, keepdims=True)
+        top = np.concatenate([self.activations(x[at : at + 8]).max(axis=1) for at in range(0, len(x), 8)])
+        return softmax(np.maximum(top, 0) @ self.out + self.bias)
+
+
+def softmax(z: np.ndarray) -> np.ndarray:
+    p = np.exp(z - z.max(axis=1, keepdims=True))
+    return p / p.sum(axis=1, keepdims=True)
 
 
 def windows_of(text: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """The windows of a text as rows of bytes, zero beyond its end, and how many bytes of
-    the text each is the first to hold."""
-    step = WINDOW - max(WIDTHS) + 1
-    n = max(1, -(-(len(text) - WINDOW) // step) + 1)
-    padded = np.zeros((n - 1) * step + WINDOW, np.uint8)
+    """The windows of a text as rows of byte values, zero beyond its end, and how many
+    bytes of the text each is the first to hold. Filters begin at STEP places of a window."""
+    n = max(1, -(-len(text) // STEP))
+    padded = np.zeros(n * STEP + WINDOW - STEP, np.intp)
     padded[: len(text)] = np.frombuffer(text, np.uint8)
-    rows = np.lib.stride_tricks.sliding_window_view(padded, WINDOW)[::step]
-    held = np.minimum(np.arange(n) * step + WINDOW, len(text)) - np.concatenate(([0], np.arange(1, n) * step + WINDOW - step))
-    return rows, np.maximum(held, 1)
+    rows = np.lib.stride_tricks.sliding_window_view(padded, WINDOW)[::STEP]
+    return rows, np.maximum(np.minimum(STEP, len(text) - np.arange(n) * STEP), 1)
 
 
 def fit(
@@ -81,12 +82,14 @@ def fit(
     y = np.searchsorted(langs, labels)
     x = np.stack([windows_of(t[:WINDOW])[0][0] for t in texts])
     length = np.array([min(len(t), WINDOW) for t in texts])
+    every = filters * len(WIDTHS)
     net = Network(
-        langs, {w: rng.normal(0, 0.1, (w, 256, filters)).astype(np.float32) for w in WIDTHS},
-        np.zeros(len(langs), np.float32), rng.normal(0, 0.1, (filters * len(WIDTHS), len(langs))).astype(np.float32),
+        langs,
+        [rng.normal(0, 0.1, (256, filters * sum(w > k for w in WIDTHS))).astype(np.float32) for k in range(max(WIDTHS))],
+        np.zeros(len(langs), np.float32), rng.normal(0, 0.1, (every, len(langs))).astype(np.float32),
     )
     weigh = (len(y) / len(langs) / np.bincount(y, minlength=len(langs)))[y]
-    params = [*net.tables.values(), net.bias, net.out]
+    params = [*net.tables, net.bias, net.out]
     first, second, step = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params], 0
     for _ in range(epochs):
         order = rng.permutation(len(y))
@@ -94,21 +97,18 @@ def fit(
             some = order[at : at + 64]
             cut = np.where(rng.random(len(some)) < 0.5, rng.integers(8, WINDOW, len(some)), length[some])
             block = np.where(np.arange(WINDOW) < cut[:, None], x[some], 0)
-            top, places = net.pooled(block)
-            z = top @ net.out + net.bias
-            p = np.exp(z - z.max(axis=1, keepdims=True))
-            p /= p.sum(axis=1, keepdims=True)
+            z = net.activations(block)
+            where = z.argmax(axis=1)
+            top = np.maximum(np.take_along_axis(z, where[:, None], axis=1)[:, 0], 0)
+            p = softmax(top @ net.out + net.bias)
             p[np.arange(len(some)), y[some]] -= 1
             p *= (weigh[some] / len(some))[:, None]
             back = (p @ net.out.T) * (top > 0)
             grads = []
-            for i, (width, table) in enumerate(net.tables.items()):
-                g = np.zeros_like(table)
-                where = places[i].argmax(axis=1)
-                part = back[:, i * filters : (i + 1) * filters]
-                for k in range(width):
-                    symbol = np.take_along_axis(block, where + k, axis=1)
-                    np.add.at(g[k], (symbol, np.arange(filters)[None, :]), part)
+            for k, table in enumerate(net.tables):
+                g, own = np.zeros_like(table), slice(every - table.shape[1], every)
+                symbol = np.take_along_axis(block, where[:, own] + k, axis=1)
+                np.add.at(g, (symbol, np.arange(table.shape[1])[None, :]), back[:, own])
                 grads.append(g)
             grads += [p.sum(axis=0), top.T @ p]
             step += 1
@@ -138,7 +138,7 @@ def predicted(rows: DataFrame, net: Network | None, passed: list[str]) -> DataFr
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Network(**shared.value) if shared.value else None
         ascii_letter = re.compile(rb"[A-Za-z]")
-        for batch in batches:
+        for batch in slices(batches):
             lang, score = [UNDETERMINED] * batch.num_rows, np.zeros(batch.num_rows)
 
             def settle(block: list, lang=lang, score=score) -> None:
