@@ -36,6 +36,8 @@ from tillroll.llm.common import written
 
 #: Bytes of a row besides its text.
 ROW_BYTES = 8
+#: Folder levels of a store.
+SHARD, BLOCK = "in_shard", "in_block"
 
 
 def min_cost_flow(supply: list[int], capacity: list[int], cost) -> list[list[int]]:
@@ -215,8 +217,8 @@ def reshard(
 def write_store(docs: DataFrame, path: str, shards: int, bits: int = 4, id_col: str = "doc_id", text_col: str = "text") -> None:
     """Write ``docs`` as a store: a folder for each shard (crc32 of the id) and block."""
     block = F.shiftrightunsigned(place_of(row_key(id_col, text_col)), 64 - bits).cast("int")
-    rows = docs.withColumns({"shard": hash_shard(F.col(id_col), shards), "block": block})
-    rows.write.partitionBy("shard", "block").parquet(path)
+    rows = docs.withColumns({SHARD: hash_shard(F.col(id_col), shards), BLOCK: block})
+    rows.write.partitionBy(SHARD, BLOCK).parquet(path)
 
 
 def reshard_store(
@@ -228,18 +230,18 @@ def reshard_store(
     folder) pairs, one for each block and each of its new shards."""
     stored = spark.read.parquet(path)
     key = row_key(id_col, text_col)
-    at_old = [F.col("shard").alias("old"), F.col("block")]
+    at_old = [F.col(SHARD).alias("old"), F.col(BLOCK).alias("block")]
     blocks = stored.select(*at_old, *named(key)).groupBy("old", "block", *key).agg(F.count("*").alias("times"))
     blocks = written(blocks.withColumn("place", F.xxhash64(*key)), "blocks")
     rows = written(assigned(blocks, plan(blocks, old_shards, capacities, cost)[0]), "assigned")
     targets: dict[tuple[int, int], set[int]] = {}
     for old, block, shard in rows.select("old", "block", "shard").distinct().collect():
         targets.setdefault((old, block), set()).add(shard)
-    out = [(min(t), f"{path}/shard={o}/block={b}") for (o, b), t in targets.items() if len(t) == 1]
+    out = [(min(t), f"{path}/{SHARD}={o}/{BLOCK}={b}") for (o, b), t in targets.items() if len(t) == 1]
     cut = sorted(b for b, t in targets.items() if len(t) > 1)
     if cut:
         moved = F.broadcast(spark.createDataFrame(cut, "old int, block int"))
-        names = [c for c in stored.columns if c not in ("shard", "block")]
+        names = [c for c in stored.columns if c not in (SHARD, BLOCK)]
         some = stored.select(*names, *(c.alias(f"__{c_name}") for c, c_name in zip(at_old, ("old", "block"), strict=True)), *named(key, "__"))
         on = ["old", "block", *key]
         some = some.join(moved, (F.col("__old") == moved["old"]) & (F.col("__block") == moved["block"]), "left_semi")
@@ -249,7 +251,7 @@ def reshard_store(
         way = rows.join(moved, ["old", "block"], "left_semi").select(*(F.col(c).alias(f"__w_{c}") for c in rows.columns))
         same = reduce(and_, (F.col(f"__{c}").eqNullSafe(F.col(f"__w_{c}")) for c in on))
         of_way = (F.col("__n") >= F.col("__w_first")) & (F.col("__n") < F.col("__w_first") + F.col("__w_times"))
-        split = some.join(way, same & of_way).select(*names, F.col("__w_shard").alias("shard"), F.col("__block").alias("block"))
-        split.write.partitionBy("shard", "block").parquet(new_path)
-        out += {(s, f"{new_path}/shard={s}/block={b}") for o, b in cut for s in targets[o, b]}
+        split = some.join(way, same & of_way).select(*names, F.col("__w_shard").alias(SHARD), F.col("__block").alias(BLOCK))
+        split.write.partitionBy(SHARD, BLOCK).parquet(new_path)
+        out += {(s, f"{new_path}/{SHARD}={s}/{BLOCK}={b}") for o, b in cut for s in targets[o, b]}
     return sorted(out)
