@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import byte_texts, fold_remainder
+from tillroll.llm.common import byte_texts, fold_remainder, slices
 
 TERM = r"[^\W\d_]+"
 
@@ -37,7 +37,7 @@ TERM = r"[^\W\d_]+"
 class Terms(dict):
     """Hashed place of each term, remembered; emptied beyond ``bound`` terms."""
 
-    def __init__(self, size: int, bound: int = 400_000) -> None:
+    def __init__(self, size: int, bound: int = 150_000) -> None:
         super().__init__()
         self.size, self.bound, self.find = size, bound, re.compile(TERM).findall
 
@@ -140,7 +140,7 @@ def train(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         terms = Terms(size)
-        for batch in batches:
+        for batch in slices(batches):
             found = [sorted(terms.of(t)) for t in byte_texts(batch.column("text"))]
             yield pa.record_batch({
                 "doc_id": batch.column("doc_id"), "label": batch.column("label"),
@@ -165,7 +165,7 @@ def toxicity_scores(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         terms, m = Terms(size), Machine(**machine.value)
-        for batch in batches:
+        for batch in slices(batches):
             score = m.scores([terms.of(t) for t in byte_texts(batch.column("text"))])
             yield pa.record_batch({
                 "doc_id": batch.column("doc_id"), "held_out": batch.column("held_out"),
