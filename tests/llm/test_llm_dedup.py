@@ -1,0 +1,230 @@
+"""Exact dedup, SimHash near-dedup, components and substring dedup."""
+
+import hashlib
+import random
+from collections import defaultdict
+
+import numpy as np
+import xxhash
+from edge_frames import edge_docs, edge_texts, ordered, tuples, words
+
+from tillroll.llm.components import least_of_component
+from tillroll.llm.exact_dedup import DigestIndex, exact_dedup
+from tillroll.llm.simhash import cut_nodes, cut_pairs, fingerprint, fingerprint_links, simhash_components, simhash_dedup
+from tillroll.llm.substring_dedup import substring_dedup
+
+
+# Exact dedup
+
+
+def expected_exact(rows):
+    groups = defaultdict(list)
+    for i, t, *_ in rows:
+        groups[t or ""].append(i)
+    out = []
+    for i, t, *_ in rows:
+        ids = [x for x in groups[t or ""] if x is not None]
+        keep = max(ids, default=None)
+        kept = True if keep is None else None if i is None else i == keep
+        kept = False if kept is None else kept
+        out.append((i, keep, len(groups[t or ""]), kept, hashlib.sha256((t or "").encode()).hexdigest()))
+    return out
+
+
+def test_exact_dedup_edges(spark):
+    got = tuples(exact_dedup(edge_docs(spark)), "doc_id", "keep_id", "group_size", "kept", "text_sha256")
+    assert ordered(got) == ordered(expected_exact(edge_texts()))
+
+
+def test_exact_dedup_empty(spark):
+    assert exact_dedup(edge_docs(spark, [])).count() == 0
+
+
+def test_index_persists_and_appends(spark, scratch):
+    first = DigestIndex(spark, f"{scratch}/index", buckets=4)
+    added = first.add(edge_docs(spark, [(1, "a", "en", "s"), (2, "a", "en", "s"), (3, "b", "en", "s")]))
+    assert ordered(tuples(added, "keep_id", "group_size")) == [(2, 2), (3, 1)]
+    again = DigestIndex(spark, f"{scratch}/index", buckets=4)
+    batch = edge_docs(spark, [(9, "a", "en", "s"), (4, "c", "en", "s")])
+    assert tuples(again.add(batch), "keep_id") == [(4,)]
+    assert again.rows().count() == 3
+    assert ordered(tuples(again.lookup(batch), "doc_id", "keep_id")) == [(4, 4), (9, 2)]
+
+
+def test_index_is_read_by_bucket(spark, scratch):
+    index = DigestIndex(spark, f"{scratch}/index", buckets=4)
+    batch = edge_docs(spark, [(1, "a", "en", "s")])
+    index.add(batch)
+    plan = index.lookup(batch)._jdf.queryExecution().executedPlan().toString()
+    assert "Bucketed: true" in plan and "SortMergeJoin" in plan
+
+
+# SimHash
+
+
+def brute_components(prints, bits):
+    """Least id of each row's component, rows being (id, fingerprint)."""
+    root = list(range(len(prints)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for x in range(len(prints)):
+        for y in range(x):
+            if (prints[x][1] ^ prints[y][1]).bit_count() <= bits:
+                root[find(x)] = find(y)
+    least = defaultdict(list)
+    for x, (i, _) in enumerate(prints):
+        least[find(x)].append(i)
+    return [min((i for i in least[find(x)] if i is not None), default=None) for x in range(len(prints))]
+
+
+def plain_fingerprint(text, n=3):
+    lowered = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    parts = [w for w in lowered.encode().split() if w]
+    if not parts:
+        return 0
+    shingles = [b" ".join(parts[i : i + n]) for i in range(max(1, len(parts) - n + 1))]
+    hashes = [xxhash.xxh64_intdigest(s, 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def test_fingerprint_is_that_of_the_contract():
+    for _, text, *_ in edge_texts():
+        assert fingerprint((text or "").encode(), 3) == plain_fingerprint(text)
+
+
+def test_shingle_hash_is_sparks_own(spark):
+    assert spark.sql("select xxhash64('a b c')").first()[0] == np.uint64(xxhash.xxh64_intdigest(b"a b c", 42)).view(np.int64)
+
+
+def test_simhash_edges(spark):
+    rows = edge_texts()
+    prints = [(i, plain_fingerprint(t)) for i, t, *_ in rows]
+    want = [(i, f"{fp:016x}", c) for (i, fp), c in zip(prints, brute_components(prints, 2), strict=True)]
+    got = tuples(simhash_components(edge_docs(spark), nodes=8, most_node=4), "doc_id", "fingerprint", "component_id")
+    assert ordered(got) == ordered(want)
+    assert simhash_components(edge_docs(spark, [])).count() == 0
+
+
+def test_trie_join_equals_brute_force_in_dense_and_sparse_tries(spark):
+    rng = random.Random(4)
+    centre = rng.getrandbits(64)
+    values = {rng.getrandbits(64) for _ in range(300)} | {0, 1, (1 << 64) - 1, centre}
+    for _ in range(500):
+        v = centre
+        for _ in range(rng.randrange(7)):
+            v ^= 1 << rng.randrange(64)
+        values.add(v)
+    prints = [(i, v) for i, v in enumerate(sorted(values))]
+    fps = spark.createDataFrame([(int(np.uint64(v).view(np.int64)),) for _, v in prints], "fp bigint")
+    for nodes, most, bits in ((1, 10_000, 2), (1, 10_000, 3), (16, 100, 2), (16, 100, 0), (200, 5, 2)):
+        roots = least_of_component(fingerprint_links(fps, bits, nodes, most))
+        got = {r["node"]: r["root"] for r in roots.collect()}
+        classes = defaultdict(set)
+        for i, v in prints:
+            s = int(np.uint64(v).view(np.int64))
+            classes[got.get(s, s)].add(i)
+        want = defaultdict(set)
+        for (i, _), c in zip(prints, brute_components(prints, bits), strict=True):
+            want[c].add(i)
+        assert sorted(map(sorted, classes.values())) == sorted(map(sorted, want.values()))
+
+
+def test_cut_nodes_are_bounded_and_cover(spark):
+    rng = random.Random(5)
+    values = sorted({rng.getrandbits(64) for _ in range(400)} | {rng.getrandbits(9) for _ in range(300)})
+    fps = spark.createDataFrame([(int(np.uint64(v).view(np.int64)),) for v in values], "fp bigint")
+    cuts = cut_nodes(fps, 50, 9)
+    sizes = [sum(v >> (64 - d) == p for v in values) for p, d in cuts]
+    assert sum(sizes) == len(values) and max(sizes) <= min(-(-len(values) // 50), 9)
+    pairs = cut_pairs(cuts, 2)
+    assert len({tuple(sorted(p)) for p in pairs}) == len(pairs)
+
+
+def test_simhash_dedup_keeps_one_row_of_each_component(spark):
+    docs = edge_docs(spark)
+    kept = simhash_dedup(docs, nodes=8, most_node=4)
+    assert kept.columns == docs.columns
+    rows = edge_texts()
+    prints = [(i, plain_fingerprint(t)) for i, t, *_ in rows]
+    components = brute_components(prints, 2)
+    want = {(c, r[1]) for c, r in zip(components, rows, strict=True) if r[0] == c}
+    got = tuples(kept, "doc_id", "text")
+    assert len(got) == len(set(got)) and set(got) <= want
+    assert len([i for i, _ in got if i is not None]) == len({c for c in components if c is not None})
+    assert simhash_dedup(edge_docs(spark, [])).count() == 0
+
+
+# Components
+
+
+def test_components_of_chains_stars_and_loops(spark):
+    rng = random.Random(6)
+    edges = [(i, i + 1) for i in range(60)] + [(1000, 1000 + i) for i in range(50)] + [(7000, 7000), (9, 5)]
+    edges += [(rng.randrange(2000, 2300), rng.randrange(2000, 2300)) for _ in range(250)]
+    frame = spark.createDataFrame([(b, a) if rng.random() < 0.5 else (a, b) for a, b in edges], "a bigint, b bigint")
+    got = {r["node"]: r["root"] for r in least_of_component(frame).collect()}
+    near = defaultdict(set)
+    for a, b in edges:
+        if a != b:
+            near[a].add(b)
+            near[b].add(a)
+    want = {}
+    for start in sorted(near):
+        stack = [start] if start not in want else []
+        while stack:
+            x = stack.pop()
+            if x not in want:
+                want[x] = start
+                stack += near[x]
+    assert got == want
+    assert least_of_component(frame.limit(0)).count() == 0
+
+
+# Substring dedup
+
+
+def brute_removed(rows, length=13):
+    split = [(i, (t or "").encode().split()) for i, t, *_ in rows]
+    least = {}
+    for i, w in split:
+        for at in range(len(w) - length + 1) if i is not None else ():
+            k = tuple(w[at : at + length])
+            least[k] = min(least.get(k, i), i)
+    out = []
+    for i, w in split:
+        gone = set()
+        for at in range(len(w) - length + 1) if i is not None else ():
+            if least[tuple(w[at : at + length])] < i:
+                gone |= set(range(at, at + length))
+        kept = b" ".join(x for p, x in enumerate(w) if p not in gone)
+        out.append((i, len(w), len(gone), hashlib.sha256(kept).hexdigest()))
+    return out
+
+
+def test_substring_dedup_edges(spark):
+    got = tuples(substring_dedup(edge_docs(spark)), "doc_id", "n_words", "n_removed", "kept_sha256")
+    assert ordered(got) == ordered(brute_removed(edge_texts()))
+    assert substring_dedup(edge_docs(spark, [])).count() == 0
+
+
+def test_substring_dedup_random_overlaps(spark):
+    rng = random.Random(8)
+    pool = [words(100 + k, rng.randrange(10, 20)) for k in range(8)]
+    rows = []
+    for i in range(60):
+        parts = [rng.choice(pool) if rng.random() < 0.6 else words(500 + rng.randrange(10_000), rng.randrange(1, 15), 6) for _ in range(6)]
+        rows.append((rng.randrange(50), " ".join(parts), "en", "s"))
+    for length, seed in ((13, 5), (6, 3), (5, 5)):
+        got = tuples(substring_dedup(edge_docs(spark, rows), length, seed), "doc_id", "n_words", "n_removed", "kept_sha256")
+        assert ordered(got) == ordered(brute_removed(rows, length))
+
+
+def test_spans_are_maximal_repeats(spark):
+    shared = words(20, 40)
+    rows = [(1, words(21, 10) + " " + shared, "en", "s"), (2, words(22, 7) + " " + shared + " " + words(23, 9), "en", "s")]
+    spans = {r["doc_id"]: r["spans"] for r in substring_dedup(edge_docs(spark, rows)).collect()}
+    assert spans[1] == [] and [(s["start"], s["n"]) for s in spans[2]] == [(7, 40)]

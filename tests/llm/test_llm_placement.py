@@ -1,0 +1,252 @@
+"""Mixing, decontamination, sharding, the pipeline, and the queries against their SQL."""
+
+import itertools
+import random
+import zlib
+from collections import Counter, defaultdict
+
+import corpus_pipeline
+import pytest
+from compare import compare, duckdb_connection
+from edge_frames import edge_docs, edge_texts, ordered, tuples, words
+from pyspark.sql import functions as F
+
+from tillroll.llm import queries
+from tillroll.llm.decontaminate import ItemIndex, bands, contained_items, decontaminated, hashed, item_blocks
+from tillroll.llm.mixing import leaf_budgets, mixed_documents, with_copies
+from tillroll.llm.sharding import even, min_cost_flow, reshard, reshard_store, stay, write_store
+
+SF = "/root/testdata/sf0.01"
+
+
+# Mixing
+
+
+def brute_budgets(leaves, weights, total, epochs):
+    """Hands out a budget by repeated redistribution at every node, from the root down."""
+
+    def supply(path):
+        return sum(t * epochs for p, t in leaves.items() if p[: len(path)] == path)
+
+    def split(path, budget):
+        if len(path) == 3:
+            return {path: budget}
+        children = sorted({p[: len(path) + 1] for p in leaves if p[: len(path)] == path})
+        got = {c: 0.0 for c in children}
+        full = {c for c in children if weights.get(c, 1) == 0}
+        while True:
+            left = budget - sum(supply(c) for c in full if weights.get(c, 1))
+            open_ = [c for c in children if c not in full]
+            unit = left / sum(weights.get(c, 1) for c in open_) if open_ else 0
+            over = [c for c in open_ if supply(c) <= unit * weights.get(c, 1)]
+            if not over:
+                break
+            full |= set(over)
+        out = {}
+        for c in children:
+            share = (supply(c) if weights.get(c, 1) else 0) if c in full else int(unit * weights.get(c, 1) + 1e-9)
+            got[c] = share
+            out |= split(c, share)
+        return out
+
+    return split((), total)
+
+
+def test_budgets_go_to_siblings_before_ancestors(spark):
+    rng = random.Random(3)
+    for _ in range(4):
+        leaves = {(d, lang, s): rng.choice([0, 5, 40, 900, 20_000]) for d in "ab" for lang in "xyz" for s in "12345" if rng.random() < 0.7}
+        weights = {("a",): 3, ("a", "x"): 4, ("b", "y"): 0, ("a", "y", "2"): 7}
+        frame = spark.createDataFrame([(*p, t) for p, t in leaves.items()], "domain string, lang string, source string, tokens bigint")
+        for share in (0.2, 0.8, 5.0):
+            total = int(sum(leaves.values()) * share)
+            rows = leaf_budgets(frame, weights, total, 2).collect()
+            got = {(r["domain"], r["lang"], r["source"]): r["budget"] for r in rows}
+            want = brute_budgets(leaves, weights, total, 2)
+            assert got.keys() == want.keys()
+            assert all(abs(got[p] - want[p]) <= 1 for p in want), (got, want)
+
+
+def test_mixing_edges(spark):
+    docs = edge_docs(spark)
+    rows = with_copies(docs, F.lit("d"), share=0.6, max_epochs=3)
+    assert rows.count() == docs.count()
+    total = sum(len((t or "").split()) for _, t, *_ in edge_texts())
+    taken = rows.agg(F.sum(F.col("__tokens") * F.col("__copies"))).first()[0]
+    assert taken <= 0.6 * total + 1
+    mixed = mixed_documents(docs, F.lit("d"), share=0.6, max_epochs=3)
+    assert mixed.columns == docs.columns
+    copies = Counter()
+    for r in rows.collect():
+        copies[str([r[c] for c in docs.columns])] += r["__copies"]
+    assert Counter(str(list(r)) for r in mixed.collect()) == +copies
+    assert mixed_documents(edge_docs(spark, []), F.lit("d")).count() == 0
+    # With enough budget every row passes max_epochs times.
+    assert {r["__copies"] for r in with_copies(docs, F.lit("d"), share=9.0, max_epochs=2).where("__tokens > 0").collect()} == {2}
+
+
+# Decontamination
+
+
+def brute_contained(docs, items, n=5, share=0.8):
+    def shingles(text):
+        w = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "").encode().split()
+        return {tuple(w[i : i + n]) for i in range(max(1, len(w) - n + 1))} if w else set()
+
+    out = []
+    of_items = [(i, shingles(t)) for i, t in items if i is not None]
+    for d, t, *_ in docs:
+        own = shingles(t)
+        for i, s in of_items:
+            if s and len(s & own) >= share * len(s) - 1e-9:
+                out.append((d, i, len(s & own), len(s)))
+    return out
+
+
+def items_and_docs():
+    rng = random.Random(11)
+    items = [(k, words(200 + k, rng.choice([1, 3, 5, 6, 9, 17, 40, 90, 200]))) for k in range(30)]
+    items += [(31, ""), (32, None), (None, words(201, 9)), (33, "the the the the the the"), (5, items[7][1])]
+    docs = edge_texts()
+    for k in range(80):
+        w = words(900 + k, rng.choice([3, 50, 3000])).split()
+        for _, text in rng.sample(items[:30], 2):
+            part = text.split()
+            for _ in range(rng.randrange(3)):
+                part[rng.randrange(len(part))] = "changed"
+            at = rng.randrange(len(w))
+            w[at:at] = part
+        docs.append((1000 + k, " ".join(w).upper() if k % 3 else "\n".join(w), "en", "s"))
+    docs += [(2000 + k, t, "en", "s") for k, (_, t) in enumerate(items[:10])]
+    return items, docs
+
+
+def test_containment_equals_brute_force(spark):
+    items, docs = items_and_docs()
+    frame = spark.createDataFrame(items, "item_id bigint, text string").withColumn("doc_id", F.lit("x"))
+    want = brute_contained(docs, items)
+    assert len({i for _, i, *_ in want}) > 20
+    for block in (1 << 19, 100):
+        got = tuples(contained_items(edge_docs(spark, docs), frame, block=block), "doc_id", "item_id", "shared", "size")
+        assert ordered(got) == ordered(want)
+    assert len(list(item_blocks(frame, 100))) > 3
+    clean = decontaminated(edge_docs(spark, docs), frame)
+    bad = {str((d, t)) for d, t, *_ in docs if brute_contained([(d, t)], items)}
+    left = Counter(str(tuple(r)) for r in clean.select("doc_id", "text").collect())
+    assert left == Counter(str((d, t)) for d, t, *_ in docs if str((d, t)) not in bad)
+    assert contained_items(edge_docs(spark, []), frame).count() == 0
+    assert contained_items(edge_docs(spark), frame.limit(0)).count() == 0
+    assert decontaminated(edge_docs(spark), frame.limit(0)).count() == len(edge_texts())
+
+
+def test_least_similarity_gives_the_bands():
+    j = 0.8 / 4.2
+    assert (1 - j) ** bands(0.8) <= 1e-6 < (1 - j) ** (bands(0.8) - 1)
+
+
+def test_candidates_come_from_equal_minima_of_one_window():
+    item = words(1, 30).encode()
+    index = ItemIndex([(1, item)], 5, 0.8)
+    assert index.candidates(index.shingle[:0]) == set()
+    text = (words(2, 700) + " ").encode() + item + (" " + words(3, 700)).encode()
+    assert index.candidates(hashed(text, 5)) == {0}
+    assert index.candidates(hashed(words(4, 2000).encode(), 5)) == set()
+
+
+# Sharding
+
+
+def test_flow_moves_the_least():
+    rng = random.Random(2)
+    for _ in range(60):
+        m, n = rng.randrange(1, 4), rng.randrange(1, 4)
+        supply = [rng.randrange(5) for _ in range(m)]
+        room = [rng.randrange(5) for _ in range(n)]
+        room[0] += max(0, sum(supply) - sum(room))
+        price = [[rng.randrange(4) for _ in range(n)] for _ in range(m)]
+        flow = min_cost_flow(supply, room, lambda i, j, price=price: price[i][j])
+        assert [sum(f) for f in flow] == supply and all(sum(f[j] for f in flow) <= room[j] for j in range(n))
+        splits = [[s for s in itertools.product(range(x + 1), repeat=n) if sum(s) == x] for x in supply]
+        best = min(
+            sum(price[i][j] * s[j] for i, s in enumerate(way) for j in range(n))
+            for way in itertools.product(*splits) if all(sum(s[j] for s in way) <= room[j] for j in range(n))
+        )
+        assert sum(price[i][j] * flow[i][j] for i in range(m) for j in range(n)) == best
+    with pytest.raises(ValueError):
+        min_cost_flow([3], [2], stay)
+
+
+def test_reshard_edges(spark):
+    rows = edge_texts() + [(77, "same row", "en", "s")] * 300
+    for step in (1 << 16, 7):
+        out = tuples(reshard(edge_docs(spark, rows), copies_in_step=step), "doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
+        want = [(i, len((t or "").encode()) + 8, zlib.crc32((t or "").encode())) for i, t, *_ in rows]
+        assert ordered([r[:3] for r in out]) == ordered(want)
+        slots = defaultdict(list)
+        for r in out:
+            assert r[3] == "bytes" and r[6] is None and 0 <= r[4] < 24
+            slots[r[4]].append(r[5])
+        assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    assert reshard(edge_docs(spark, [])).count() == 0
+
+
+def test_shards_are_near_equal_and_few_bytes_move(spark):
+    out = reshard(spark.read.parquet("/root/testdata/sf0.1/documents.parquet")).toPandas()
+    sizes = out.groupby("shard")["size"].sum()
+    assert len(sizes) == 24 and sizes.max() - sizes.min() <= 2 * out["size"].max()
+    old = out.groupby("old_shard")["size"].sum()
+    room = even(int(old.sum()), 24)
+    least = sum(max(0, n - room[i]) for i, n in old.items())
+    moved = out[out.shard != out.old_shard]["size"].sum()
+    assert moved <= least + 16 * out["size"].max()
+
+
+def test_store_is_rewritten_where_rows_move(spark, scratch):
+    docs = edge_docs(spark, edge_texts() + [(500 + k, words(k, 50), "en", "s") for k in range(300)])
+    write_store(docs, f"{scratch}/old", 4)
+    folders = reshard_store(spark, f"{scratch}/old", f"{scratch}/new", 6, 4)
+    back, sizes = Counter(), Counter()
+    for shard, folder in folders:
+        part = spark.read.parquet(folder).collect()
+        back.update(str(tuple(r)) for r in part)
+        sizes[shard] += sum(len((r["text"] or "").encode()) + 8 for r in part)
+    assert back == Counter(str(tuple(r)) for r in docs.collect())
+    assert set(sizes) == set(range(6))
+    assert sum("/old/" in f for _, f in folders) > sum("/new/" in f for _, f in folders)
+
+
+# Pipeline and SQL
+
+
+def test_pipeline_stages_take_edges(spark):
+    docs = edge_docs(spark)
+    for rows in (edge_texts(), []):
+        frame = edge_docs(spark, rows)
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            out = stage(spark, frame, SF)
+            assert out.columns == docs.columns, name
+            assert out.count() <= 2 * len(rows)
+        assert corpus_pipeline.STAGES[-1][1](spark, frame, SF).count() == len(rows)
+
+
+def test_pipeline_runs_all_stages(spark):
+    out = corpus_pipeline.run(spark, SF).toPandas()
+    assert 300 < len(out) < 1500 and set(out["shard"]) <= set(range(24))
+    for _, s in out.groupby("shard")["slot"]:
+        assert sorted(s) == list(range(len(s)))
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
+def test_query_equals_its_sql(spark, name):
+    assert compare(queries.QUERIES[name](spark, SF), duckdb_connection(SF), queries.ORACLE_SQL[name]) is None
+
+
+def test_simhash_query_equals_brute_force(spark):
+    from test_llm_dedup import brute_components, plain_fingerprint
+
+    sf = "/root/testdata/sf0.001"
+    rows = tuples(spark.read.parquet(f"{sf}/documents.parquet"), "doc_id", "text")
+    prints = [(i, plain_fingerprint(t)) for i, t in rows]
+    want = [(i, f"{fp:016x}", c) for (i, fp), c in zip(prints, brute_components(prints, 2), strict=True)]
+    got = tuples(queries.op10_simhash_dedup(spark, sf), "doc_id", "fingerprint", "component_id")
+    assert ordered(got) == ordered(want)
