@@ -7,9 +7,10 @@ pair are split at the next bit, differing bits are added up, and a pair is dropp
 soon as it has spent more than the budget. The top of the traversal runs over counts by
 prefix, the rest runs in tasks, one for each surviving pair of cut nodes.
 
-Bounds. A cut node has at most n / ``cut_nodes`` fingerprints (or ``least_node``), so a
-task has at most two such nodes; heavy prefixes are split further, down to single
-fingerprints. Two distinct 64-bit fingerprints within two bits of one have 2,080
+Bounds. A cut node has at most n / ``nodes`` of the n fingerprints, and at most
+``most_node``, so a task has at most two such nodes; heavy prefixes are split further,
+down to single fingerprints. Fingerprints go to as many tasks as their node has partners, which
+follows from the depth of the cut and not from n. Two distinct 64-bit fingerprints within two bits of one have 2,080
 possible values, so the traversal stays linear in n for any grouping of the texts. A
 task returns a spanning forest of the links it finds, never the pairs of a group;
 components over the forests of all tasks equal those over all links.
@@ -30,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import byte_texts, written
+from tillroll.llm.common import byte_texts, slices, written
 from tillroll.llm.components import least_of_component
 
 BITS = 64
@@ -61,7 +62,7 @@ def fingerprints(docs: DataFrame, shingle: int, id_col: str = "doc_id", text_col
     """(doc_id, fp) of every row; fp is the fingerprint's 64 bits as a signed long."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             made = [fingerprint(t, shingle) for t in byte_texts(batch.column("text"))]
             fp = np.array(made, np.uint64).view(np.int64)
             yield pa.record_batch({"doc_id": batch.column("doc_id"), "fp": pa.array(fp, pa.int64())})
@@ -156,14 +157,14 @@ def forest(n: int, links: Iterator[tuple[np.ndarray, np.ndarray]]) -> np.ndarray
     return root
 
 
-def cut_nodes(fps: DataFrame, nodes: int, least_node: int, step: int = 8) -> list[tuple[int, int]]:
+def cut_nodes(fps: DataFrame, nodes: int, most_node: int, step: int = 8) -> list[tuple[int, int]]:
     """(prefix, depth) of the trie nodes at which tasks begin: every fingerprint is below
-    exactly one, and a node has at most max(n / nodes, least_node) fingerprints unless
-    it is one fingerprint. Counts are taken ``step`` bits at a time, below heavy nodes
-    only; as at most ``nodes`` can be heavy at a depth, a count has at most
-    nodes * 2**step rows."""
+    exactly one, and a node has at most min(n / nodes, most_node) fingerprints, or
+    one. Counts are taken ``step`` bits at a time, below heavy nodes only; as fewer than
+    max(nodes, n / most_node) can be heavy at a depth, a count has at most 2**step times
+    as many rows."""
     total = fps.count()
-    most = max(-(-total // nodes), least_node)
+    most = max(1, min(-(-total // nodes), most_node))
     if total <= most:
         return [(0, 0)]
     done, heavy, depth = [], None, 0
@@ -231,11 +232,11 @@ def cut_pairs(nodes: list[tuple[int, int]], budget: int) -> list[tuple[int, int]
     return out
 
 
-def fingerprint_links(fps: DataFrame, budget: int, nodes: int = 1024, least_node: int = 20_000) -> DataFrame:
+def fingerprint_links(fps: DataFrame, budget: int, nodes: int = 64, most_node: int = 1 << 21) -> DataFrame:
     """Links (a, b) between distinct fingerprints ``fps`` (fp long): a spanning forest for
     every pair of cut nodes, over all pairs with at most ``budget`` differing bits."""
     spark = fps.sparkSession
-    cuts = cut_nodes(fps, nodes, least_node)
+    cuts = cut_nodes(fps, nodes, most_node)
     pairs = cut_pairs(cuts, budget)
     members: list[list[tuple[int, int]]] = [[] for _ in cuts]
     for k, (a, b) in enumerate(pairs):
@@ -248,7 +249,7 @@ def fingerprint_links(fps: DataFrame, budget: int, nodes: int = 1024, least_node
     starts = starts[order]
 
     def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             fp = batch.column("fp").to_numpy()
             if not len(fp):
                 continue
@@ -277,12 +278,12 @@ def fingerprint_links(fps: DataFrame, budget: int, nodes: int = 1024, least_node
 
 
 def simhash_groups(
-    docs: DataFrame, shingle: int, max_bits: int, id_col: str, text_col: str, nodes: int, least_node: int
+    docs: DataFrame, shingle: int, max_bits: int, id_col: str, text_col: str, nodes: int, most_node: int
 ) -> tuple[DataFrame, DataFrame]:
     """Every row's (doc_id, fp), and every fingerprint's (fp, root, component_id)."""
     rows = written(fingerprints(docs, shingle, id_col, text_col), "fingerprints")
     classes = written(rows.groupBy("fp").agg(F.min("doc_id").alias("least_id")), "classes")
-    roots = least_of_component(fingerprint_links(classes, max_bits, nodes, least_node))
+    roots = least_of_component(fingerprint_links(classes, max_bits, nodes, most_node))
     rooted = classes.join(roots, classes["fp"] == roots["node"], "left").select(
         "fp", "least_id", F.coalesce("root", "fp").alias("root")
     )
@@ -292,11 +293,11 @@ def simhash_groups(
 
 def simhash_components(
     docs: DataFrame, shingle: int = 3, max_bits: int = 2, id_col: str = "doc_id", text_col: str = "text",
-    nodes: int = 1024, least_node: int = 20_000,
+    nodes: int = 64, most_node: int = 1 << 21,
 ) -> DataFrame:
     """(doc_id, fingerprint, component_id) of every row; component_id is the least id
     among the rows that links reach, the row itself included."""
-    rows, groups = simhash_groups(docs, shingle, max_bits, id_col, text_col, nodes, least_node)
+    rows, groups = simhash_groups(docs, shingle, max_bits, id_col, text_col, nodes, most_node)
     return rows.join(groups, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
@@ -304,12 +305,12 @@ def simhash_components(
 
 def simhash_dedup(
     docs: DataFrame, shingle: int = 3, max_bits: int = 2, id_col: str = "doc_id", text_col: str = "text",
-    nodes: int = 1024, least_node: int = 20_000,
+    nodes: int = 64, most_node: int = 1 << 21,
 ) -> DataFrame:
     """The rows of ``docs`` with one row of each component: that with the least id. Ids
     that have several rows are settled row by row: where more than one of a component
     has the least id, the least in the order of all columns stays."""
-    rows, groups = simhash_groups(docs, shingle, max_bits, id_col, text_col, nodes, least_node)
+    rows, groups = simhash_groups(docs, shingle, max_bits, id_col, text_col, nodes, most_node)
     groups = written(groups, "groups")
     least = rows.join(groups, "fp").groupBy(F.col("doc_id").alias("__id")).agg(
         F.count("*").alias("__rows"), F.max(F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("__stays")
