@@ -317,16 +317,21 @@ def simhash_dedup(
     )
     least = written(least.where("__stays").select("__id", "__rows"), "keepers")
     same = F.col(id_col).eqNullSafe(F.col("__id"))
-    once = docs.join(least.where("__rows = 1"), same, "left_semi")
+    # Both joins shuffle the documents by id in the same way, so it is done once, at
+    # every size alike.
+    once = docs.join(least.where("__rows = 1").hint("merge"), same, "left_semi")
 
     @F.pandas_udf("bigint")
     def fp_of(texts):
         made = [fingerprint((t or "").encode(), shingle) for t in texts]
         return type(texts)(np.array(made, np.uint64).view(np.int64))
 
-    several = docs.join(least.where("__rows > 1"), same, "left_semi").withColumn("__fp", fp_of(F.col(text_col)))
+    several = docs.join(least.where("__rows > 1").hint("merge"), same, "left_semi")
+    several = several.withColumn("__fp", fp_of(F.col(text_col)))
     named = groups.select(*(F.col(c).alias(f"__{c}") for c in groups.columns))
-    several = several.join(named.withColumnRenamed("__fp", "__key"), F.col("__fp") == F.col("__key"))
+    # Null-safe, as Spark would test a plain key for null before the join with the ids,
+    # and so compute it for every document.
+    several = several.join(named.withColumnRenamed("__fp", "__key"), F.col("__fp").eqNullSafe(F.col("__key")))
     several = several.where(F.col(id_col).eqNullSafe(F.col("__component_id")))
     row = several.groupBy("__root").agg(F.min(F.struct(*docs.columns)).alias("__row"))
     return once.unionByName(row.select("__row.*"))
