@@ -113,6 +113,45 @@ def test_probabilities_add_up(spark):
         assert total == pytest.approx(1.0, abs=1e-6)
 
 
+def test_model_holds_every_word_and_pair(spark, monkeypatch):
+    # Rare pairs of rare words among very many tokens, in several blocks and chunks.
+    monkeypatch.setattr(lm_score, "PAIRS_IN_BLOCK", 1 << 17)
+    monkeypatch.setattr(lm_score, "WORDS_IN_BLOCK", 1 << 8)
+    texts = [("the " * 30_000,)] * 40 + [(words(i, 60, 900),) for i in range(30)]
+    model, counts = lm_score.train(spark.createDataFrame(texts, "text string").repartition(5))
+    assert model.tokens > 1 << 20 and model.word_blocks > 2 and model.pair_blocks > 5
+    c, pairs = Counter(), Counter()
+    for (t,) in texts:
+        ws = tokens_of(t.encode())
+        c.update(ws)
+        pairs.update(zip(ws, ws[1:], strict=False))
+    keys = sorted(pairs)
+    low = lambda n: 2.0 ** math.floor(math.log2(n))
+    mass = Counter()
+    for (u, w), n in pairs.items():
+        mass[u] += low(n) / (2 * low(c[u]))
+    total = sum(low(n) for n in c.values()) * math.sqrt(2) + 1
+    flat = [w for p in keys for w in p]
+    got = 10 ** model.log10(lm_score.key_hashes(flat), np.arange(0, len(flat), 2))[1::2]
+    want = [
+        0.3 * low(pairs[u, w]) / (2 * low(c[u])) + (1 - 0.3 * mass[u]) * low(c[w]) * math.sqrt(2) / total for u, w in keys
+    ]
+    # A filter may read a count too high, never too low.
+    assert np.mean(np.isclose(got, want, rtol=1e-6)) > 0.98
+    assert all(g > 0.9 * w for g, w in zip(got, want, strict=True))
+
+
+def test_chunks_score_as_the_model_does(spark, monkeypatch):
+    monkeypatch.setattr(lm_score, "CHUNK", 500)
+    rows = [(i, words(i, 1 + 7 * i % 90, 40), "en", "s") for i in range(60)]
+    d = edge_docs(spark, rows).selectExpr("monotonically_increasing_id() as __row", "doc_id", "false as held_out", "text")
+    model, counts = lm_score.train(d.where("doc_id % 3 > 0").select("text"))
+    got = dict(tuples(lm_score.score(d, model, counts), "doc_id", "score"))
+    assert len(got) == 60
+    for i, t, *_ in rows:
+        assert got[i] == pytest.approx(model.log10(lm_score.token_hashes(t.encode()), np.array([0])).sum())
+
+
 def test_lm_base_is_exact_at_the_edges(spark):
     rows = edge_texts()
     trained = [(i, tokens_of((t or "").encode())) for i, t, *_ in rows if i is not None and fold(i, 7) != 2]

@@ -2,19 +2,25 @@
 
 Counts of words and word pairs are quantised to powers of ``base``. The filter holds
 each n-gram once for every level up to its own; a count is read back by probing level
-after level until a probe misses. The filter goes to every task.
+after level until a probe misses.
 
-What is held. Words and pairs with at least 1/``share`` of the training tokens are at
-most ``share`` each, and levels halve what is left, so at most 2 * share /
-(1 - 1/base) insertions are made and ``bits`` bounds the false positives for every
-corpus (``expected_error``). Pairs are counted whose words both have at least
-1/``context_share`` of the tokens. All training rows are counted.
+What is held. Every word and every pair of neighbouring words of the training rows, at
+every size of the corpus (``share`` and ``context_share`` leave rare ones out, and are not
+set by default). The filter is a table of blocks, each for a range of the n-grams' hashes.
+Their number follows from the tokens and the types, and a block's bits from its n-grams,
+``bits_each`` for an insertion (``expected_error``). Blocks are built in tasks, and no
+task, nor the driver, has more than one of them at a time.
+
+Lookups. Documents are read in chunks of about ``CHUNK`` tokens. A chunk sends each block
+the distinct keys it asks for, by a shuffle on the block, and gets their levels back by one
+on the chunk; a key is asked for once by a chunk, however frequent.
 
 Probability. P(w) takes the held count of w; words not held share the remaining mass
 evenly over all types the filter lacks, unseen ones as one more type. P(w | u) =
 weight * low(u w) / high(u) + (1 - weight * mass(u)) * P(w): low and high are ends of
 the quantised level, and mass(u) is the sum of low / high over the held pairs of u, so
-the probabilities of all words after u add up to one, false positives aside.
+the probabilities of all words after u add up to one, false positives aside. The levels
+and masses of contexts are kept in the blocks of their words, by hash.
 
 The exact part of the result (known tokens, add-one base score) looks up every token:
 frequent words in place, the others by a join on the word.
@@ -28,8 +34,9 @@ from __future__ import annotations
 
 import math
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -88,7 +95,7 @@ class LogFrequencyFilter:
 
     def _place(self, keys: np.ndarray, level: int, i: int) -> np.ndarray:
         step = U64((level * self.hashes + i + 1) * 0x9E3779B97F4A7C15 & (1 << 64) - 1)
-        return mixed(keys ^ step) & U64(len(self.bits) * 8 - 1)
+        return ((mixed(keys ^ step) >> U64(32)) * U64(len(self.bits) * 8)) >> U64(32)
 
     def levels(self, keys: np.ndarray) -> np.ndarray:
         """The highest level held of each key, -1 for none: probes go on while all hit."""
@@ -107,46 +114,160 @@ class LogFrequencyFilter:
         return (1 - math.exp(-self.hashes * insertions / (len(self.bits) * 8))) ** self.hashes
 
 
+#: Occurrences of pairs, and words, that a block is made for; tokens of a chunk; least bits.
+PAIRS_IN_BLOCK, WORDS_IN_BLOCK, CHUNK, LEAST_BITS = 1 << 21, 1 << 18, 1 << 19, 1 << 16
+#: An answer to a word: its level, its level as a context (-1 for none) and the context's mass.
+WORD = np.dtype([("level", "i1"), ("context", "i1"), ("mass", "<f8")])
+CONTEXT = np.dtype([("key", "<u8"), ("level", "i1"), ("mass", "<f8")])
+BLOCK = "block int, bits binary, top int, contexts binary"
+
+
+def block_of(keys: np.ndarray, n: int) -> np.ndarray:
+    """The block of each key, of ``n``; it grows with the key."""
+    return (((keys >> U64(32)) * U64(n)) >> U64(32)).astype(np.int64)
+
+
+def packed(keys: np.ndarray) -> bytes:
+    """The low 40 bits of each key, which tell keys of one block apart."""
+    return keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5].tobytes()
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    out = np.zeros((len(data) // 5, 8), np.uint8)
+    out[:, :5] = np.frombuffer(data, np.uint8).reshape(-1, 5)
+    return out.view("<u8").ravel().astype(U64)
+
+
+def pair_keys(pairs: np.ndarray, n: int) -> np.ndarray:
+    """What a pair is looked up by: its block of ``n``, and the low 32 bits of its hash, which
+    in a block err far less often than the filter."""
+    return (block_of(pairs, n).astype(U64) << U64(32)) | (pairs & U64(0xFFFFFFFF))
+
+
+def squeezed(keys: np.ndarray) -> bytes:
+    """Rising 32-bit numbers: their steps, byte by byte of all, compressed."""
+    steps = np.diff(keys.astype("<u4"), prepend=np.uint32(0)).astype("<u4")
+    planes = np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 4).T).tobytes()
+    return len(keys).to_bytes(4, "little") + pa.Codec("zstd").compress(planes, asbytes=True)
+
+
+def unsqueezed(data: bytes) -> np.ndarray:
+    n = int.from_bytes(data[:4], "little")
+    planes = np.frombuffer(pa.Codec("zstd").decompress(data[4:], 4 * n, asbytes=True), np.uint8).reshape(4, n)
+    return np.cumsum(np.ascontiguousarray(planes.T).view("<u4").ravel(), dtype=U64)
+
+
+def runs(sorted_values: np.ndarray) -> list[tuple[int, int, int]]:
+    """(value, begin, end) of each run of equal values."""
+    if not len(sorted_values):
+        return []
+    begin = np.flatnonzero(np.concatenate(([True], sorted_values[1:] != sorted_values[:-1])))
+    return [(int(sorted_values[b]), int(b), int(e)) for b, e in zip(begin, [*begin[1:], len(sorted_values)], strict=True)]
+
+
+def summed(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order, and the sum of their values."""
+    keys, back = np.unique(keys, return_inverse=True)
+    return keys, np.bincount(back, values, len(keys))
+
+
+def table_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
+    for batch in batches:
+        for at in range(batch.num_rows):
+            yield tuple(c[at].as_py() for c in batch.columns)
+
+
 @dataclass
 class Model:
-    filter: LogFrequencyFilter
+    blocks: DataFrame | None  # BLOCK: those of words, then those of pairs
+    word_blocks: int
+    pair_blocks: int
     tokens: int
     types: int
-    word_floor: float
-    pair_floor: float
     base: float
     weight: float
     unheld: float  # P of each type that is not held
     held_total: float  # counts as read back plus the mass of types not held
-    contexts: np.ndarray  # sorted hashes
-    mass: np.ndarray
+    hashes: int
 
     def parts(self) -> dict:
-        """The model as plain values, which a broadcast can hold without this module."""
-        return vars(self) | {"filter": vars(self.filter)}
+        """The model without its blocks, as plain values that a task can hold without this module."""
+        return vars(self) | {"blocks": None}
 
-    @classmethod
-    def of(cls, parts: dict) -> Model:
-        return cls(**parts | {"filter": LogFrequencyFilter(**parts["filter"])})
-
-    def low(self, level: np.ndarray, floor: float) -> np.ndarray:
-        return np.where(level < 0, 0.0, floor * self.base ** level.astype(float))
-
-    def log10(self, words: np.ndarray, starts: np.ndarray) -> np.ndarray:
-        """log10 P of each token given the one before; those at ``starts`` follow START."""
-        each, back = np.unique(words, return_inverse=True)
-        level = self.filter.levels(mixed(each))[back]
-        p = np.where(level < 0, self.unheld, self.low(level, self.word_floor) * math.sqrt(self.base) / self.held_total)
+    def questions(self, words: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Distinct words and distinct pairs; the word before each token (START at ``starts``),
+        and its pair."""
         before = np.roll(words, 1)
         before[starts] = START
-        at = np.minimum(np.searchsorted(self.contexts, before), max(len(self.contexts) - 1, 0))
-        known = self.contexts[at] == before if len(self.contexts) else np.zeros(len(words), bool)
-        if known.any():
-            pair = self.low(self.filter.levels(pair_hashes(before[known], words[known])), self.pair_floor)
-            high = np.roll(level, 1)[known]
-            high = self.word_floor * self.base ** (high + 1.0)
-            p[known] = self.weight * np.minimum(pair / high, 1.0) + (1 - self.weight * self.mass[at[known]]) * p[known]
-        return np.log10(p)
+        pair = pair_keys(pair_hashes(before, words), self.pair_blocks)
+        return np.unique(np.append(words, START)), np.unique(pair), before, pair
+
+    def asked(self, each: np.ndarray, pairs: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        """The blocks that are asked, in order, and their keys, in order."""
+        for block, begin, end in runs(block_of(each, self.word_blocks)):
+            yield block, each[begin:end]
+        for block, begin, end in runs(pairs >> U64(32)):
+            yield self.word_blocks + block, pairs[begin:end] & U64(0xFFFFFFFF)
+
+    def sent(self, block: int, keys: np.ndarray) -> bytes:
+        return packed(keys) if block < self.word_blocks else squeezed(keys)
+
+    def received(self, block: int, data: bytes) -> np.ndarray:
+        return unpacked(data) if block < self.word_blocks else unsqueezed(data)
+
+    def answer(self, block: int, row: tuple, keys: np.ndarray) -> bytes:
+        """Of the block ``row`` (bits, top, contexts) to ``keys`` as received."""
+        bits, top, contexts = row
+        level = LogFrequencyFilter(np.frombuffer(bits, np.uint8), self.hashes, top).levels(keys).astype(np.int8)
+        if block >= self.word_blocks:
+            return level.tobytes()
+        held = np.frombuffer(contexts, CONTEXT)
+        out = np.zeros(len(keys), WORD)
+        out["level"], out["context"] = level, -1
+        if len(held):
+            at = np.minimum(np.searchsorted(held["key"], keys), len(held) - 1)
+            same = held["key"][at] == keys
+            out["context"][same], out["mass"][same] = held["level"][at[same]], held["mass"][at[same]]
+        return out.tobytes()
+
+    def probabilities(self, each: np.ndarray, pair_level: np.ndarray, word, pair, before) -> np.ndarray:
+        """log10 P of each token, from the answers for distinct words and pairs."""
+        level = each["level"].astype(float)
+        p = np.where(level < 0, self.unheld, self.base**level * math.sqrt(self.base) / self.held_total)[word]
+        context, level = each[before], pair_level[pair].astype(float)
+        low = np.where(level < 0, 0.0, self.base**level)
+        high = self.base ** (context["context"] + 1.0)
+        known = self.weight * np.minimum(low / high, 1.0) + (1 - self.weight * context["mass"]) * p
+        return np.log10(np.where(context["context"] >= 0, known, p))
+
+    def log10(self, words: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """log10 P of each token given the one before; those at ``starts`` follow START. For
+        a few words: the blocks that they need come to the driver."""
+        each, pairs, before, pair = self.questions(words, starts)
+        places = [np.searchsorted(*x) for x in ((each, words), (pairs, pair), (each, before))]
+        asked = list(self.asked(each, pairs))
+        rows = self.blocks.where(F.col("block").isin([b for b, _ in asked])).collect()
+        held = {r["block"]: (bytes(r["bits"]), r["top"], bytes(r["contexts"])) for r in rows}
+        got = [(b, self.answer(b, held[b], self.received(b, self.sent(b, keys)))) for b, keys in asked]
+        return self.probabilities(*answers(got, self.word_blocks), *places)
+
+
+def answers(got: list[tuple[int, bytes]], word_blocks: int) -> tuple[np.ndarray, np.ndarray]:
+    """Answers of all blocks, in order, as those to words and those to pairs."""
+    return (
+        np.frombuffer(b"".join(a for b, a in got if b < word_blocks), WORD),
+        np.frombuffer(b"".join(a for b, a in got if b >= word_blocks), np.int8),
+    )
+
+
+def levels_of(n: np.ndarray, base: float) -> np.ndarray:
+    return np.floor(np.log(np.maximum(n, 1)) / math.log(base) + 1e-9).astype(np.int64)
+
+
+def built_block(block: int, keys: np.ndarray, levels: np.ndarray, bits_each: int, hashes: int, contexts: bytes) -> dict:
+    bits = max(LEAST_BITS, -(-int((levels + 1).sum()) * bits_each // 8) * 8)
+    held = LogFrequencyFilter.built(keys, levels, bits, hashes)
+    return {"block": block, "bits": held.bits.tobytes(), "top": held.top, "contexts": contexts}
 
 
 def token_rows(rows: DataFrame) -> DataFrame:
@@ -158,101 +279,261 @@ def token_rows(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "key binary, n bigint").groupBy("key").agg(F.sum("n").alias("n"))
 
 
-def pair_rows(rows: DataFrame, contexts) -> DataFrame:
-    """(first, second, n): counts of the pairs of words whose hashes are both in the
-    broadcast, sorted ``contexts``."""
+def pair_parts(rows: DataFrame, n_blocks: int) -> DataFrame:
+    """Partial counts of pairs: (block, keys, first, n), of many pairs of a block in a row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = contexts.value
-        if not len(known):
-            return
         held, size = [], 0
 
         def emptied():
-            pairs = np.concatenate(held)
-            order = np.lexsort((pairs[:, 1], pairs[:, 0]))
-            pairs = pairs[order]
-            new = np.flatnonzero(np.concatenate(([True], (pairs[1:] != pairs[:-1]).any(axis=1))))
-            n = np.diff(np.concatenate((new, [len(pairs)])))
+            first, second = (np.concatenate(x) for x in zip(*held, strict=True))
             held.clear()
+            keys, at, n = np.unique(pair_hashes(first, second), return_index=True, return_counts=True)
+            first, block = first[at], block_of(keys, n_blocks)
+            # Equal words side by side compress well.
+            order = np.lexsort((first, block))
+            keys, first, n = keys[order], first[order].astype("<u8"), n[order].astype("<u4")
+            cuts = runs(block)
             return pa.record_batch({
-                "first": pa.array(pairs[new, 0]), "second": pa.array(pairs[new, 1]), "n": pa.array(n.astype(np.int64)),
+                "block": pa.array([v for v, _, _ in cuts], pa.int32()),
+                "keys": pa.array([packed(keys[b:e]) for _, b, e in cuts], pa.binary()),
+                "first": pa.array([first[b:e].tobytes() for _, b, e in cuts], pa.binary()),
+                "n": pa.array([n[b:e].tobytes() for _, b, e in cuts], pa.binary()),
             })
 
         for batch in slices(batches):
             for text in byte_texts(batch.column("text")):
                 h = token_hashes(text)
-                place = np.minimum(np.searchsorted(known, h), len(known) - 1)
-                place = np.where(known[place] == h, place, -1).astype(np.int32)
-                both = (place[:-1] >= 0) & (place[1:] >= 0)
-                held.append(np.stack((place[:-1][both], place[1:][both]), axis=1))
-                size += len(held[-1])
+                held.append((h[:-1], h[1:]))
+                size += len(h) - 1
                 if size >= 1_000_000:
                     yield emptied()
                     size = 0
         if size:
             yield emptied()
 
-    return rows.mapInArrow(run, "first int, second int, n bigint").groupBy("first", "second").agg(F.sum("n").alias("n"))
+    return rows.mapInArrow(run, "block int, keys binary, first binary, n binary")
+
+
+def pair_blocks(parts: DataFrame, word_blocks: int, least: float, base: float, bits_each: int, hashes: int) -> DataFrame:
+    """BLOCK of the pairs, and with null bits what they add to the masses of contexts: (block
+    of the context, keys, sums)."""
+
+    def masses(held: list[tuple]) -> pa.RecordBatch:
+        first, sums = summed(*(np.concatenate(x) for x in zip(*held, strict=True)))
+        cuts = runs(block_of(first, word_blocks))
+        rows = [{"block": v, "keys": packed(first[b:e]), "sums": sums[b:e].astype("<f8").tobytes()} for v, b, e in cuts]
+        return pa.RecordBatch.from_pylist(rows, schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for block, group in groupby(table_rows(batches), key=lambda r: r[0]):
+            _, keys, first, n = zip(*group, strict=True)
+            keys = unpacked(b"".join(keys))
+            first = np.frombuffer(b"".join(first), "<u8").astype(U64)
+            n = np.frombuffer(b"".join(n), "<u4").astype(np.int64)
+            order = np.lexsort((first, keys))
+            keys, first, n = keys[order], first[order], n[order]
+            new = np.flatnonzero(np.concatenate(([True], (keys[1:] != keys[:-1]) | (first[1:] != first[:-1]))))
+            n = np.add.reduceat(n, new)
+            keys, first, n = keys[new][n >= least], first[new][n >= least], n[n >= least]
+            levels = levels_of(n, base)
+            made = built_block(word_blocks + block, keys & U64(0xFFFFFFFF), levels, bits_each, hashes, b"")
+            yield pa.RecordBatch.from_pylist([made | {"keys": None, "sums": None}], schema)
+            held.append(summed(first, base**levels.astype(float)))
+            size += len(held[-1][0])
+            if size >= 1_000_000:
+                yield masses(held)
+                held, size = [], 0
+        if size:
+            yield masses(held)
+
+    schema = pa.schema([
+        ("block", pa.int32()), ("bits", pa.binary()), ("top", pa.int32()), ("contexts", pa.binary()), ("keys", pa.binary()),
+        ("sums", pa.binary()),
+    ])
+    dealt = parts.repartition("block").sortWithinPartitions("block")
+    return dealt.mapInArrow(run, f"{BLOCK}, keys binary, sums binary")
+
+
+def word_blocks_of(
+    counts: DataFrame, masses: DataFrame, n_blocks: int, least: float, context_least: float, base: float, bits_each: int,
+    hashes: int,
+) -> DataFrame:
+    """BLOCK of the words of ``counts`` (key, n); ``masses`` (block, keys, sums)."""
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = key_hashes(batch.column("key").to_pylist())
+            block = block_of(keys, n_blocks)
+            order = np.argsort(block, kind="stable")
+            keys, n = keys[order], batch.column("n").to_numpy()[order].astype("<f8")
+            cuts = runs(block[order])
+            yield pa.record_batch({
+                "block": pa.array([v for v, _, _ in cuts], pa.int32()), "kind": pa.array([0] * len(cuts), pa.int32()),
+                "keys": pa.array([packed(keys[b:e]) for _, b, e in cuts], pa.binary()),
+                "sums": pa.array([n[b:e].tobytes() for _, b, e in cuts], pa.binary()),
+            })
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block, group in groupby(table_rows(batches), key=lambda r: r[0]):
+            rows = list(group)
+            # Words of one block are told apart by the low bits of their hashes.
+            keys, n = (b"".join(r[c] for r in rows if r[1] == 0) for c in (2, 3))
+            keys, n = summed(unpacked(keys), np.frombuffer(n, "<f8"))
+            first, sums = (b"".join(r[c] for r in rows if r[1] == 1) for c in (2, 3))
+            first, sums = summed(unpacked(first), np.frombuffer(sums, "<f8"))
+            levels = levels_of(n, base)
+            mass = np.zeros(len(keys))
+            mass[np.searchsorted(keys, first)] = sums
+            mass /= base ** (levels + 1.0)
+            context = np.zeros(len(keys), CONTEXT)
+            context["key"], context["level"], context["mass"] = keys, levels, mass
+            context = context[n >= context_least]
+            held = n >= least
+            yield pa.RecordBatch.from_pylist(
+                [built_block(block, keys[held], levels[held], bits_each, hashes, context.tobytes())], schema
+            )
+
+    schema = pa.schema([("block", pa.int32()), ("bits", pa.binary()), ("top", pa.int32()), ("contexts", pa.binary())])
+    parts = counts.select("key", "n").mapInArrow(hashed, "block int, kind int, keys binary, sums binary")
+    both = parts.unionByName(masses.withColumn("kind", F.lit(1)))
+    return both.repartition("block").sortWithinPartitions("block").mapInArrow(run, BLOCK)
 
 
 def train(
-    rows: DataFrame, share: int = 1 << 20, context_share: int = 1 << 16, base: float = 2.0, weight: float = 0.3,
-    bits: int = 1 << 27, hashes: int = 6,
+    rows: DataFrame, share: int | None = None, context_share: int | None = None, base: float = 2.0, weight: float = 0.3,
+    bits_each: int = 10, hashes: int = 6,
 ) -> tuple[Model, DataFrame]:
-    """The model of ``rows`` (text), and the exact counts (key, n) it was made from."""
-    spark = rows.sparkSession
+    """The model of ``rows`` (text), and the exact counts (key, n) it was made from. Where they
+    are given, n-grams with under 1/``share`` of the tokens are not held, and words with
+    under 1/``context_share`` are no contexts."""
     counts = written(token_rows(rows), "token-counts")
     tokens, types = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    words = frequent(counts, tokens, share, "key", "n")
-    keys = key_hashes([k for k, _ in words])
-    n = np.array([c for _, c in words], np.int64)
-    floor = max(tokens / share, 1.0)
-    levels = np.floor(np.log(np.maximum(n / floor, 1.0)) / math.log(base) + 1e-9).astype(np.int64)
-    often = n * context_share >= tokens
-    contexts = np.sort(keys[often])
-    pairs = pair_rows(rows, spark.sparkContext.broadcast(contexts)).where(F.col("n") * share >= tokens).toArrow()
-    first, second = (pairs.column(c).to_numpy().astype(np.int64) for c in ("first", "second"))
-    m = pairs.column("n").to_numpy()
-    pair_levels = np.floor(np.log(np.maximum(m / floor, 1.0)) / math.log(base) + 1e-9).astype(np.int64)
-    pair_keys = pair_hashes(contexts[first], contexts[second]) if len(m) else np.empty(0, U64)
-    order = np.argsort(keys)
-    level_of = levels[order][np.searchsorted(keys[order], contexts)] if len(contexts) else np.empty(0, np.int64)
-    high = floor * base ** (level_of + 1.0)
-    mass = np.zeros(len(contexts))
-    if len(m):
-        np.add.at(mass, first, floor * base ** pair_levels / high[first])
-    held = LogFrequencyFilter.built(
-        np.concatenate((mixed(keys), pair_keys)), np.concatenate((levels, pair_levels)), bits, hashes
-    )
-    rest = float(tokens - n.sum()) + 1.0
-    total = float((floor * base**levels * math.sqrt(base)).sum()) + rest
+    least, context_least = (tokens / s if s else 1.0 for s in (share, context_share))
+    level = F.floor(F.log(F.col("n").cast("double")) / math.log(base) + 1e-9)
+    held_types, held_tokens, read_back = counts.where(F.col("n") >= least).agg(
+        F.count("*"), F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum(F.pow(F.lit(base), level)), F.lit(0.0))
+    ).first()
+    n_words, n_pairs = max(1, -(-types // WORDS_IN_BLOCK)), max(1, -(-tokens // PAIRS_IN_BLOCK))
+    made = written(pair_blocks(pair_parts(rows, n_pairs), n_words, least, base, bits_each, hashes), "pair-blocks")
+    masses = made.where(F.col("bits").isNull()).select("block", "keys", "sums")
+    words = written(word_blocks_of(counts, masses, n_words, least, context_least, base, bits_each, hashes), "word-blocks")
+    blocks = words.unionByName(made.where(F.col("bits").isNotNull()).select(*words.columns))
+    rest = float(tokens - held_tokens) + 1.0
+    total = read_back * math.sqrt(base) + rest
     model = Model(
-        held, int(tokens), int(types), floor, floor, base, weight, rest / total / (types + 1 - len(n)), total,
-        contexts, mass,
+        blocks, n_words, n_pairs, int(tokens), int(types), base, weight, rest / total / (types + 1 - held_types), total, hashes
     )
     return model, counts
 
 
+def chunk_state(rows: list[int], sizes: list[int], words: np.ndarray) -> bytes:
+    """A chunk's rows, their numbers of tokens, and its words: the distinct ones, frequent ones
+    first, and the places among them, byte by byte of all."""
+    each, at, n = np.unique(words, return_inverse=True, return_counts=True)
+    order = np.argsort(-n, kind="stable")
+    rank = np.empty(len(each), "<u4")
+    rank[order] = np.arange(len(each))
+    head = np.array([len(rows), len(each), len(words), *rows, *sizes], "<i8").tobytes()
+    places = np.ascontiguousarray(rank[at].view(np.uint8).reshape(-1, 4).T).tobytes()
+    return head + each[order].astype("<u8").tobytes() + pa.Codec("zstd").compress(places, asbytes=True)
+
+
+def chunk_of(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    n, m, size = np.frombuffer(data, "<i8", 3).tolist()
+    rows, sizes = np.frombuffer(data, "<i8", 2 * n, 24).reshape(2, n)
+    each = np.frombuffer(data, "<u8", m, 24 + 16 * n).astype(U64)
+    places = pa.Codec("zstd").decompress(data[24 + 16 * n + 8 * m :], 4 * size, asbytes=True)
+    places = np.ascontiguousarray(np.frombuffer(places, np.uint8).reshape(4, size).T).view("<u4").ravel()
+    return rows, sizes, each[places]
+
+
+def chunk_scores(asked: DataFrame, model: Model) -> DataFrame:
+    """(__row, score) from the chunks and questions of ``asked`` (__row, block, data)."""
+    plain = model.parts()
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lm, held, at = Model(**plain), None, -1
+        for block, chunk, data, top, contexts in table_rows(batches):
+            if chunk < 0:
+                held, at = (data, top, contexts), block
+                continue
+            # A block without an n-gram has no row.
+            got = lm.answer(block, held if at == block else (bytes(LEAST_BITS // 8), 0, b""), lm.received(block, data))
+            yield pa.record_batch({
+                "chunk": pa.array([chunk], pa.int64()), "block": pa.array([block], pa.int32()), "data": pa.array([got], pa.binary()),
+            })
+
+    def score_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lm = Model(**plain)
+        for _, group in groupby(table_rows(batches), key=lambda r: r[0]):
+            (_, _, state), *got = group
+            rows, sizes, words = chunk_of(state)
+            starts = np.cumsum([0, *sizes])[:-1]
+            each, pairs, before, pair = lm.questions(words, starts)
+            places = [np.searchsorted(*x) for x in ((each, words), (pairs, pair), (each, before))]
+            p = lm.probabilities(*answers([g[1:] for g in got], lm.word_blocks), *places)
+            yield pa.record_batch({"__row": pa.array(rows, pa.int64()), "score": pa.array(np.add.reduceat(p, starts), pa.float64())})
+
+    blocks = model.blocks.select("block", F.lit(-1).cast("bigint").alias("chunk"), F.col("bits").alias("data"), "top", "contexts")
+    questions = asked.where("block >= 0").select("block", F.col("__row").alias("chunk"), "data")
+    dealt = blocks.unionByName(questions, allowMissingColumns=True).repartition("block").sortWithinPartitions("block", "chunk")
+    # Written, so that the questions' shuffle goes before the chunks' own.
+    got = written(dealt.mapInArrow(answer, "chunk bigint, block int, data binary"), "lm-answers")
+    chunks = asked.where("block = -1").select(F.col("__row").alias("chunk"), "block", "data")
+    both = chunks.unionByName(got).repartition("chunk").sortWithinPartitions("chunk", "block")
+    return written(both.mapInArrow(score_rows, "__row bigint, score double"), "lm-chunk-scores")
+
+
 def score(rows: DataFrame, model: Model, counts: DataFrame, head_share: int = 1 << 20) -> DataFrame:
     """``rows`` (__row, doc_id, held_out, text) with n_tokens, n_known, base_score, score."""
     context = rows.sparkSession.sparkContext
     head = context.broadcast(dict(frequent(counts, model.tokens, head_share, "key", "n")))
-    shared = context.broadcast(model.parts())
+    plain = model.parts()
     unit = model.tokens + model.types + 1
+    kind = rows.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, lm = head.value, Model.of(shared.value)
+        known, lm = head.value, Model(**plain)
+        held, held_rows, size = [], [], 0
+
+        def chunk():
+            words, sizes = np.concatenate(held), [len(h) for h in held]
+            each, pairs, *_ = lm.questions(words, np.cumsum([0, *sizes])[:-1])
+            asked = list(lm.asked(each, pairs))
+            data = [chunk_state(held_rows, sizes, words), *(lm.sent(*q) for q in asked)]
+            n, first = len(data), held_rows[0]
+            held.clear()
+            held_rows.clear()
+            return {
+                "__row": pa.array([first] * n, pa.int64()), "block": pa.array([-1, *(b for b, _ in asked)], pa.int32()),
+                "data": pa.array(data, pa.binary()),
+            }
+
+        def filled(columns: dict, names: list[str], kinds: dict) -> pa.RecordBatch:
+            n = len(columns["__row"])
+            return pa.record_batch({c: columns[c] if c in columns else pa.nulls(n, kinds[c]) for c in names})
+
         for batch in slices(batches):
             texts = byte_texts(batch.column("text"))
             if not texts:
                 continue
-            hashed = [token_hashes(t) for t in texts]
-            n_tokens = [len(h) for h in hashed]
-            starts = np.cumsum([0, *n_tokens])[:-1]
-            scores = np.add.reduceat(lm.log10(np.concatenate(hashed), starts), starts).tolist()
-            n_known, base, sizes, keys, times = [], [], [], [], []
-            for text in texts:
+            kinds = {
+                "__row": pa.int64(), "key": pa.binary(), "times": pa.int64(), "known": pa.int64(), "base": pa.float64(),
+                "doc_id": batch.column("doc_id").type, "held_out": pa.bool_(), "n_tokens": pa.int64(), "block": pa.int32(),
+                "data": pa.binary(),
+            }
+            names = list(kinds)
+            n_known, base, sizes, keys, times, n_tokens = [], [], [], [], [], []
+            for row, text in zip(batch.column("__row").to_pylist(), texts, strict=True):
+                held.append(token_hashes(text))
+                held_rows.append(row)
+                n_tokens.append(len(held[-1]))
+                size += n_tokens[-1]
+                if size >= CHUNK:
+                    yield filled(chunk(), names, kinds)
+                    size = 0
                 words = tokens_of(text)
                 rest, seen, total = 0, 0, 0.0
                 for word, n in Counter(words).items():
@@ -271,7 +552,7 @@ def score(rows: DataFrame, model: Model, counts: DataFrame, head_share: int = 1
             at = pa.array(np.repeat(np.arange(len(sizes)), sizes))
             own = [b"0" + str(r).encode() for r in row.to_pylist()]
             blank = len(keys)
-            yield pa.record_batch({
+            yield filled({
                 "__row": pa.concat_arrays([row, row.take(at)]),
                 "key": pa.array(own + keys, pa.binary()),
                 "times": pa.array([0] * len(own) + times, pa.int64()),
@@ -280,24 +561,27 @@ def score(rows: DataFrame, model: Model, counts: DataFrame, head_share: int = 1
                 "doc_id": pa.concat_arrays([batch.column("doc_id"), pa.nulls(blank, batch.column("doc_id").type)]),
                 "held_out": pa.concat_arrays([batch.column("held_out"), pa.nulls(blank, pa.bool_())]),
                 "n_tokens": pa.array(n_tokens + [None] * blank, pa.int64()),
-                "score": pa.array(scores + [None] * blank, pa.float64()),
-            })
+            }, names, kinds)
+        if held:
+            yield filled(chunk(), names, kinds)
 
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    parts = rows.mapInArrow(
+    # Written, so that a row has one key in what follows.
+    asked = written(rows.mapInArrow(
         run,
         f"__row bigint, key binary, times bigint, known bigint, base double, doc_id {kind}, held_out boolean, "
-        "n_tokens bigint, score double",
-    )
+        "n_tokens bigint, block int, data binary",
+    ), "lm-questions")
     tail = counts.select(F.concat(F.lit(b"1"), F.col("key")).alias("key"), F.col("n").alias("c"))
+    parts = asked.where(F.col("block").isNull()).drop("block", "data").join(tail, "key", "left")
+    parts = parts.unionByName(chunk_scores(asked, model), allowMissingColumns=True)
     c = F.coalesce("c", F.lit(0))
-    summed = parts.join(tail, "key", "left").groupBy("__row").agg(
+    summed_up = parts.groupBy("__row").agg(
         F.max("doc_id").alias("doc_id"), F.max("held_out").alias("held_out"), F.max("n_tokens").alias("n_tokens"),
         F.sum(F.col("known") + F.when(c > 0, F.col("times")).otherwise(0)).alias("n_known"),
         F.sum(F.col("base") + F.col("times") * F.log10((c + 1) / F.lit(float(unit)))).alias("base_score"),
         F.max("score").alias("score"),
     )
-    return summed.select(
+    return summed_up.select(
         "doc_id", "held_out", "n_tokens", "n_known", F.lit(model.tokens).cast("bigint").alias("train_tokens"),
         "base_score", "score",
     )
