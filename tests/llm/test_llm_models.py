@@ -141,6 +141,16 @@ def test_model_holds_every_word_and_pair(spark, monkeypatch):
     assert all(g > 0.9 * w for g, w in zip(got, want, strict=True))
 
 
+def test_long_words_are_in_the_model(spark):
+    long = "=" * 65 + " " + "x" * 40_000
+    model, _ = lm_score.train(spark.createDataFrame([(long + " a",)] * 30, "text string"))
+    seen = model.log10(lm_score.token_hashes(long.encode()), np.array([0]))
+    unseen = model.log10(lm_score.token_hashes(b"unseen"), np.array([0]))
+    assert (seen[:2] > unseen[0] + 1).all()
+    # The pair is held, too: 2^4 of the next power of two, 2^5.
+    assert 10 ** seen[1] == pytest.approx(0.3 * 0.5 + (1 - 0.3 * 0.5) * 10 ** seen[0], rel=1e-6)
+
+
 def test_chunks_score_as_the_model_does(spark, monkeypatch):
     monkeypatch.setattr(lm_score, "CHUNK", 500)
     rows = [(i, words(i, 1 + 7 * i % 90, 40), "en", "s") for i in range(60)]
