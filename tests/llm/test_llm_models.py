@@ -60,6 +60,18 @@ def test_machine_learns_what_no_linear_model_can():
     assert np.abs(m.w).max() < np.abs(m.v @ m.v.T).max()
 
 
+def test_default_terms_include_those_that_tell_in_pairs_only():
+    rng = random.Random(1)
+    texts, labels = [], []
+    for _ in range(2000):
+        a, b = rng.random() < 0.5, rng.random() < 0.5
+        texts.append(({1} if a else set()) | ({2} if b else set()) | {rng.randrange(3, 40) for _ in range(5)})
+        labels.append(float(a == b))
+    m = toxicity.fit(texts, np.array(labels), epochs=60)
+    assert {1, 2} <= set(m.places.tolist())
+    assert ((m.scores(texts) >= 0.5) == np.array(labels)).mean() > 0.97
+
+
 def test_toxicity_edges(spark):
     docs = edge_docs(spark)
     labels = [(i, t) for i, t, *_ in edge_texts()]

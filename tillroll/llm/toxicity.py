@@ -8,7 +8,9 @@ The model is fitted on the driver to at most ``max_rows`` labelled rows (those w
 least hash of their id), of which only hashed terms are fetched. Terms enter it if they
 are in at least ``min_rows`` of these rows and their frequencies in the two classes
 differ by ``min_z`` standard errors, so that long texts don't drown the few words that
-tell. The model is at most ``max_terms`` rows of 1 + ``factors`` numbers and goes to every
+tell; or if they are in a pair of terms that tells, though each alone may not: the product
+of their centred presences and the centred label differs from 0 by ``min_pair_z`` standard
+errors (``telling_pairs``). The model is at most ``max_terms`` rows of 1 + ``factors`` numbers and goes to every
 task; every whole text is scored.
 
 Defined results: null and empty texts are scored by their lack of terms; a null id is
@@ -81,9 +83,38 @@ class Machine:
         return 1 / (1 + np.exp(-np.clip(margin, -40, 40)))
 
 
+def telling_pairs(text: np.ndarray, term: np.ndarray, labels: np.ndarray, rows: np.ndarray, min_z: float) -> np.ndarray:
+    """Which terms are in a pair that tells. Of term i in ``rows``[i] texts; pairs are looked
+    at of terms in at least sqrt(5 n) of the n texts, which chance puts together in 5; pairs
+    of rarer terms are not."""
+    n = len(labels)
+    often = np.flatnonzero((rows**2 >= 5.0 * n) & (rows < n))
+    out = np.zeros(len(rows), bool)
+    column = np.full(len(rows), -1)
+    column[often] = np.arange(len(often))
+    share = (rows[often] / n).astype(np.float32)
+    off = (labels - labels.mean()).astype(np.float32)
+    x = np.zeros((n, len(often)), np.uint8)
+    known = column[term] >= 0
+    x[text[known], column[term[known]]] = 1
+    deviation = np.sqrt(share * (1 - share))
+    # Tiles of terms and of texts bound what is held besides ``x``.
+    for begin in range(0, len(often), 256):
+        tile = slice(begin, begin + 256)
+        total = np.zeros((len(often[tile]), len(often)), np.float32)
+        for at in range(0, n, 1024):
+            some = x[at : at + 1024] - share
+            total += (some[:, tile] * off[at : at + 1024, None]).T @ some
+        error = np.outer(deviation[tile], deviation) * np.float32(np.sqrt(n * labels.var()))
+        told = (np.abs(total) >= min_z * error) & (error > 0)
+        told[np.arange(len(told)), begin + np.arange(len(told))] = False
+        out[often[tile]] = told.any(axis=1)
+    return out
+
+
 def fit(
     texts: list[set[int]], labels: np.ndarray, factors: int = 8, min_rows: int = 5, min_z: float = 4.0,
-    max_terms: int = 20_000, epochs: int = 30, rate: float = 0.1, decay: float = 1e-4, seed: int = 7,
+    min_pair_z: float = 6.0, max_terms: int = 20_000, epochs: int = 30, rate: float = 0.1, decay: float = 1e-4, seed: int = 7,
 ) -> Machine:
     """AdaGrad on the logistic loss of minibatches."""
     rng = np.random.default_rng(seed)
@@ -100,6 +131,8 @@ def fit(
     share = (both + 1) / (len(labels) + 2)
     z = np.abs(in1 / n1 - (both - in1) / max(n0, 1)) / np.sqrt(share * (1 - share) * (1 / n1 + 1 / max(n0, 1)))
     z[both < min_rows] = 0
+    of_text = np.repeat(np.arange(len(texts), dtype=np.int32), sizes)
+    z[telling_pairs(of_text, index, labels, both.astype(float), min_pair_z)] += min_z
     chosen = np.sort(np.argsort(-z, kind="stable")[:max_terms])
     places = places[chosen][z[chosen] >= min_z]
     m = Machine(places, float(np.log(n1 / max(n0, 1))), np.zeros(len(places)), rng.normal(0, 0.01, (len(places), factors)))
