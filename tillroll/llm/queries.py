@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,8 +12,10 @@ from tillroll.llm.common import read_table
 from tillroll.llm.decontaminate import contained_items
 from tillroll.llm.exact_dedup import exact_dedup
 from tillroll.llm.language_id import language_ids
+from tillroll.llm.lexical_search import lexical_search
 from tillroll.llm.lm_score import lm_scores
 from tillroll.llm.mixing import with_copies
+from tillroll.llm.periodic_runs import most_repeated, periodic_runs
 from tillroll.llm.sharding import reshard
 from tillroll.llm.simhash import simhash_components
 from tillroll.llm.substring_dedup import substring_dedup
@@ -83,11 +86,42 @@ def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(read_table(spark, sf_dir, "documents"))
 
 
+def repeated_tail(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """The words that op12's contract looks at: a tenth of the documents get a tail that
+    repeats one of their stretches; rows with a null id stay as they are."""
+    h = zlib.crc32(str(doc_id).encode())
+    n = len(words)
+    if doc_id is None or h % 10 or not n:
+        return words
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + [words[a + (i - a) % p] for i in range(a, n)]
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = periodic_runs(read_table(spark, sf_dir, "documents"), rewrite=repeated_tail)
+    line = F.transform("runs", lambda r: F.concat_ws(",", *(r[c].cast("string") for c in ("start", "length", "period"))))
+    best = most_repeated()
+    return rows.select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"),
+        best["start"].alias("start"), best["length"].alias("length"), best["period"].alias("period"),
+        F.call_function("div", F.lit(1000) * best["length"], best["period"]).alias("exponent_milli"),
+        F.sha2(F.concat_ws("", F.transform(line, lambda x: F.concat(x, F.lit("\n")))), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed_text").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), k=10)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_toxicity, op2_exact_dedup, op3_lm_score, op4_token_counts, op5_language_id, op6_mixing,
         op7_decontamination, op8_sharding, op9_substring_dedup, op10_simhash_dedup,
+        op12_periodic_runs, op13_lexical_search,
     )
 }
 
@@ -98,6 +132,12 @@ _LOWER_WORDS = (
     r"'[^\x20\x09-\x0D]+')"
 )
 
+# Terms of the search: ASCII letters and digits and everything beyond ASCII.
+_TERMS = (
+    r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+)
+
 
 def _level(depth: int) -> str:
     """The water filling of one level of the mixing tree."""
@@ -168,4 +208,18 @@ a as (select r, count(*) as n_words, count(x.p) as n_removed, string_agg(word, '
   from p left join x using (r, p) group by r)
 select doc_id, cast(coalesce(n_words, 0) as bigint) as n_words, cast(coalesce(n_removed, 0) as bigint) as n_removed,
   sha256(coalesce(kept, '')) as kept_sha256 from w left join a using (r)""",
+    "op13_lexical_search": rf"""
+with d as (select row_number() over () as r, doc_id, {_TERMS} as ts from documents),
+i as (select row_number() over () as q, item_id, {_TERMS} as ts from benchmark where item_id is not null),
+want as (select q, item_id, term, count(*) as c from (select q, item_id, unnest(ts) as term from i) group by all),
+totals as (select count(*) filter (len(ts) > 0) as n_docs, coalesce(sum(len(ts)), 0) as n_terms from d),
+p as (select r, doc_id, n, term, count(*) as tf from (select r, doc_id, len(ts) as n, unnest(ts) as term from d)
+  where term in (select term from want) group by all),
+w as (select term, cast(floor(1000 * ln((2 * n_docs + 2) / cast(2 * count(*) + 1 as double))) as bigint) as w
+  from p, totals group by term, n_docs),
+s as (select q, item_id, r, doc_id,
+    cast(sum(c * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * n_docs) // n_terms)))) as bigint) as score
+  from want join p using (term) join w using (term), totals group by all),
+best as (select *, row_number() over (partition by q order by score desc, doc_id nulls last) as place from s where score > 0)
+select item_id, cast(place as int) as rank, doc_id, score from best where place <= 10""",
 }
