@@ -19,6 +19,7 @@ from tillroll.llm.periodic_runs import most_repeated, periodic_runs
 from tillroll.llm.sharding import reshard
 from tillroll.llm.simhash import simhash_components
 from tillroll.llm.substring_dedup import substring_dedup
+from tillroll.llm.suffix_dedup import suffix_dedup
 from tillroll.llm.token_counts import token_counts
 from tillroll.llm.toxicity import toxicity_scores
 
@@ -86,6 +87,11 @@ def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(read_table(spark, sf_dir, "documents"))
 
 
+def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = suffix_dedup(read_table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("bigint").alias("n_spans"), "kept_sha256")
+
+
 def repeated_tail(doc_id: int | None, words: list[bytes]) -> list[bytes]:
     """The words that op12's contract looks at: a tenth of the documents get a tail that
     repeats one of their stretches; rows with a null id stay as they are."""
@@ -121,7 +127,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_toxicity, op2_exact_dedup, op3_lm_score, op4_token_counts, op5_language_id, op6_mixing,
         op7_decontamination, op8_sharding, op9_substring_dedup, op10_simhash_dedup,
-        op12_periodic_runs, op13_lexical_search,
+        op11_suffix_dedup, op12_periodic_runs, op13_lexical_search,
     )
 }
 
@@ -208,6 +214,21 @@ a as (select r, count(*) as n_words, count(x.p) as n_removed, string_agg(word, '
   from p left join x using (r, p) group by r)
 select doc_id, cast(coalesce(n_words, 0) as bigint) as n_words, cast(coalesce(n_removed, 0) as bigint) as n_removed,
   sha256(coalesce(kept, '')) as kept_sha256 from w left join a using (r)""",
+    "op11_suffix_dedup": """
+with d as (select doc_id, row_number() over () as r, hex(encode(coalesce(text, ''))) as x from documents),
+g as (select doc_id, r, i, substr(x, 2 * i + 1, 200) as k from d, unnest(range(0, len(x) // 2 - 99)) as t(i)),
+v as (select r, i from (select r, i, row_number() over (partition by k order by doc_id, i) as place from g) where place > 1),
+n as (select r, i, i > lag(i) over (partition by r order by i) + 100 as gap from v),
+s as (select r, i, sum(case when gap is null or gap then 1 else 0 end) over (partition by r order by i) as span from n),
+runs as (select r, span, min(i) as a, max(i) + 100 as b from s group by all),
+cuts as (select r, span, a, b, coalesce(lag(b) over (partition by r order by a), 0) as before from runs),
+k as (select r, count(*) as n_spans, sum(b - a) as n_removed, max(b) as last,
+    string_agg(substr(x, 2 * before + 1, 2 * (a - before)), '' order by a) as kept
+  from cuts join d using (r) group by r)
+select doc_id, cast(len(x) // 2 as bigint) as n_bytes, cast(coalesce(n_removed, 0) as bigint) as n_removed,
+  cast(coalesce(n_spans, 0) as bigint) as n_spans,
+  sha256(unhex(coalesce(kept, '') || substr(x, 2 * coalesce(last, 0) + 1))) as kept_sha256
+from d left join k using (r)""",
     "op13_lexical_search": rf"""
 with d as (select row_number() over () as r, doc_id, {_TERMS} as ts from documents),
 i as (select row_number() over () as q, item_id, {_TERMS} as ts from benchmark where item_id is not null),
