@@ -386,6 +386,7 @@ def _removed(length: int):
             flat = places.flatten()
             starts, n = (flat.field(c).to_numpy(zero_copy_only=False) for c in ("start", "n"))
             bounds = places.offsets.to_numpy()
+            bounds = bounds - bounds[0]  # the slice's own values only
             kept, spans, removed = [], [], []
             for k, text in enumerate(texts):
                 a, b = int(bounds[k]), int(bounds[k + 1])
