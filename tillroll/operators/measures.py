@@ -16,6 +16,11 @@ from tillroll.functions import month_text, quarter_label
 ZERO_POLICIES = ("none", "rows", "groups")
 
 
+def nonzero_lines(measure: str) -> str:
+    """The column of partial sums that counts the lines whose measure is not zero."""
+    return f"{measure}_lines"
+
+
 def measure_by(
     sales: DataFrame,
     dims: list[str] | tuple[str, ...],
@@ -26,11 +31,15 @@ def measure_by(
     """O4: ``sum(measure)`` per combination of ``dims``.
 
     ``zero_policy``: ``none`` keeps everything; ``rows`` drops rows whose
-    measure is 0 before summing; ``groups`` drops groups whose sum is 0.
+    measure is 0 before summing; ``groups`` drops groups whose sum is 0. Rows of
+    partial sums (``plans.lattice``) stand for lines of zero only if none of their lines
+    is another, which they count beside the sum.
     """
     if zero_policy not in ZERO_POLICIES:
         raise ValueError(f"zero_policy must be one of {ZERO_POLICIES}, got {zero_policy!r}")
-    rows = sales.filter(F.col(measure) != 0) if zero_policy == "rows" else sales
+    counted = nonzero_lines(measure)
+    asked = counted if counted in sales.columns else measure
+    rows = sales.filter(F.col(asked) != 0) if zero_policy == "rows" else sales
     out = rows.groupBy(*dims).agg(F.sum(measure).alias(alias))
     if zero_policy == "groups":
         out = out.filter(F.col(alias) != 0)
