@@ -161,46 +161,51 @@ def _salesperson_value(rows):
 
 # --- averages per day (O6) -------------------------------------------------
 
+def named_averages(name: str, averages: DataFrame) -> DataFrame:
+    """The output columns of an average report."""
+    places = {"zone_avg_quantity_per_day": (CITY, STATE, ZONE), "rep_avg_quantity_per_day": (REP_ID, REP_NAME, PROMO, CATEGORY)}
+    return _named(averages, POS, SITE, ("QtnPerDay", "QtnPerDay"), *places.get(name, ()))
+
+
 @_report("avg_quantity_per_day", "quantity per trading day of each point of sale",
          ("pos_code", "sale_date", "source_site", "quantity"))
 def _avg_quantity_per_day(rows):
-    out = avg_per_day(rows, (), "int")
-    return _named(out, POS, SITE, ("QtnPerDay", "QtnPerDay"))
+    return named_averages("avg_quantity_per_day", avg_per_day(rows, (), "int"))
 
 
 @_report("zone_avg_quantity_per_day", "quantity per trading day, by point of sale and place",
          ("pos_code", "sale_date", "source_site", "quantity", "city", "state", "zone"))
 def _zone_avg_quantity_per_day(rows):
-    out = avg_per_day(rows, ("city", "state", "zone"), "int")
-    return _named(out, POS, SITE, ("QtnPerDay", "QtnPerDay"), CITY, STATE, ZONE)
+    return named_averages("zone_avg_quantity_per_day", avg_per_day(rows, ("city", "state", "zone"), "int"))
 
 
 @_report("rep_avg_quantity_per_day", "quantity per trading day, by point of sale and rep",
          ("pos_code", "sale_date", "source_site", "quantity", *REP))
 def _rep_avg_quantity_per_day(rows):
-    out = avg_per_day(rows, REP, "float")
-    return _named(out, POS, SITE, ("QtnPerDay", "QtnPerDay"), REP_ID, REP_NAME, PROMO, CATEGORY)
+    return named_averages("rep_avg_quantity_per_day", avg_per_day(rows, REP, "float"))
 
 
 # --- mobile-number completeness (O7, O8) -----------------------------------
 
+def named_completeness(name: str, counts: DataFrame) -> DataFrame:
+    """The output columns of a completeness report."""
+    places = {"zone_mobile_completeness": (ZONE, STATE, CITY, SITE), "rep_mobile_completeness": (REP_ID, REP_NAME, PROMO, CATEGORY)}
+    return _named(counts, *places.get(name, ()), ("CustomerMobile", "CustomerMobile"), ("Count", "Count"))
+
+
 @_report("mobile_completeness", "bills with and without a usable mobile number")
 def _mobile_completeness(rows):
-    return mobile_completeness(rows, ())
+    return named_completeness("mobile_completeness", mobile_completeness(rows, ()))
 
 
 @_report("zone_mobile_completeness", "bills with and without a usable mobile number, by place")
 def _zone_mobile_completeness(rows):
-    out = mobile_completeness(rows, GEO)
-    return _named(out, ZONE, STATE, CITY, SITE, ("CustomerMobile", "CustomerMobile"), ("Count", "Count"))
+    return named_completeness("zone_mobile_completeness", mobile_completeness(rows, GEO))
 
 
 @_report("rep_mobile_completeness", "bills with and without a usable mobile number, by rep")
 def _rep_mobile_completeness(rows):
-    out = mobile_completeness(rows, REP)
-    return _named(
-        out, REP_ID, REP_NAME, PROMO, CATEGORY, ("CustomerMobile", "CustomerMobile"), ("Count", "Count")
-    )
+    return named_completeness("rep_mobile_completeness", mobile_completeness(rows, REP))
 
 
 @_report("daily_category_scorecard", "per day and (sub-)category: quantity, value, mobile captured",

@@ -57,6 +57,9 @@ SCORECARD_COUNT = "1"
 # as ",quantity,sale_date,"; null in a line without any.
 BAD_FIELDS = "bad_fields"
 
+# Partition column of a written fact: whether the line has unreadable fields.
+IS_BAD = "is_bad"
+
 MEASURES = ("quantity", "amount", "measure_19", "pos_target")
 
 SALES_SCHEMA = T.StructType(

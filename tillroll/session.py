@@ -93,6 +93,17 @@ def remove_path(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
+def any_path(spark: SparkSession, pattern: str) -> bool:
+    """Whether a path of the shared file system matches the pattern."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    return bool(target.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(target))
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique path under the shared folder."""
     return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex[:12]}")

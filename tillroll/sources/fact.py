@@ -5,6 +5,10 @@ every branch inside a report). Here the typed lines are written once as
 parquet, partitioned by ``sale_year``:
 
 * reports read only the columns they use (parquet column pruning);
+* lines with unreadable fields lie in folders of their own (``is_bad``) within each year. The
+  others are read with a constant null in place of ``bad_fields``, so the planner folds
+  away the checks for unreadable fields and leaves plain pushed filters. Only where
+  there are bad lines, which a look at the folders tells, is their part read and checked;
 * the year rule ``sale_year != y`` becomes a partition filter, so the excluded
   year is never read;
 * the written table cuts the lineage of the (join-heavy) derivation, so a lost
@@ -17,9 +21,11 @@ unless a path is given.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tillroll.schema import SALES_COLUMNS, SALES_SCHEMA
-from tillroll.session import scratch_path
+from tillroll.schema import BAD_FIELDS, IS_BAD, SALES_COLUMNS, SALES_SCHEMA
+from tillroll.session import any_path, scratch_path
 
 
 def write_sales_fact(
@@ -39,11 +45,12 @@ def write_sales_fact(
     spark = sales.sparkSession
     target = path or scratch_path(spark, "sales_fact")
     (
-        sales.select(*SALES_COLUMNS)
+        sales.select(*SALES_COLUMNS, F.col(BAD_FIELDS).isNotNull().alias(IS_BAD))
         .write.mode("overwrite")
+        .option("partitionOverwriteMode", "static")
         .option("maxRecordsPerFile", max_records_per_file)
         .option("compression", compression)
-        .partitionBy("sale_year")
+        .partitionBy("sale_year", IS_BAD)
         .parquet(target)
     )
     return target
@@ -56,4 +63,10 @@ def read_sales_fact(spark: SparkSession, path: str) -> DataFrame:
     would make the partition column an integer) and no footer has to be read
     to plan a scan.
     """
-    return spark.read.schema(SALES_SCHEMA).parquet(path).select(*SALES_COLUMNS)
+    schema = T.StructType([*SALES_SCHEMA.fields, T.StructField(IS_BAD, T.BooleanType())])
+    fact = spark.read.schema(schema).parquet(path)
+    none = F.lit(None).cast(T.StringType())
+    readable = fact.where(~F.col(IS_BAD)).withColumn(BAD_FIELDS, none).select(*SALES_COLUMNS)
+    if not any_path(spark, f"{path.rstrip('/')}/sale_year=*/{IS_BAD}=true"):
+        return readable
+    return readable.unionByName(fact.where(F.col(IS_BAD)).select(*SALES_COLUMNS))
