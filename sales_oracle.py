@@ -314,3 +314,62 @@ def oracle_statements(excluded_year: str) -> dict[str, str]:
         else:
             out[name] = SALES_CTE + text
     return out
+
+
+_DAY = "cast(strptime(sale_date, '%d-%m-%Y') as date)"
+
+
+def analysis_statements() -> dict[str, str]:
+    """DuckDB statements of the queries beyond the reports."""
+    lines = "select bill_no, item_code, pos_code, source_site, quantity, " + _DAY + " as sale_day from sales"
+    runs = [oracle_statements(year)["zone_category_quantity"] for year in ("1998", "1999")]
+    return {
+        "reconciled_runs": f"""
+select "Category", "SourceSite", "City", "State", "Zone", "Quantity",
+  count(*) filter (run = 1) as left_rows, count(*) filter (run = 2) as right_rows
+from (select *, 1 as run from ({runs[0]}) union all select *, 2 as run from ({runs[1]}))
+group by "Category", "SourceSite", "City", "State", "Zone", "Quantity"
+having count(*) filter (run = 1) <> count(*) filter (run = 2)""",
+        "sketched_zones": SALES_CTE + """
+select zone, count(distinct bill_no) as bills, true as bills_within_bound, count(amount) as lines, true as median_within_bound
+from sales group by zone""",
+        "top_items_by_site": SALES_CTE + """, counted as (
+  select source_site, city, state, zone, sub_category, item_code, item_attr, count(*) as n from sales group by all)
+select source_site, city, state, zone, cast(place as int) as rank, sub_category, item_code, item_attr, n as "Quantity" from (
+  select *, row_number() over (partition by source_site, city, state, zone
+    order by n desc, sub_category, item_code, item_attr) as place from counted)
+where place <= 10""",
+        "top_items_by_zone": SALES_CTE + """, counted as (
+  select zone, sub_category, item_code, item_attr, count(*) as n from sales group by all)
+select zone, cast(place as int) as rank, sub_category, item_code, item_attr, n as "Quantity" from (
+  select *, rank() over (partition by zone order by n desc) as place from counted)
+where place <= 3""",
+        "unit_price_in_force": SALES_CTE + f""", prices as (
+  select cast(l_partkey as varchar) as item_code, cast(l_shipdate as date) as price_day,
+    max(cast(floor(l_extendedprice / l_quantity) as bigint)) as unit_price
+  from lineitem group by all),
+lines as ({lines})
+select l.bill_no, l.item_code, l.pos_code, l.quantity, l.sale_day, p.price_day, p.unit_price
+from lines l asof left join prices p on l.item_code = p.item_code and l.sale_day >= p.price_day""",
+        "sales_in_campaigns": SALES_CTE + f""", periods as (
+  select s_name as source_site, k as campaign,
+    cast(date '1995-01-01' + cast((s_suppkey * 131 + k * 700) % 2400 as int) as date) as first_day, s_suppkey, days
+  from supplier, (values (0, 20), (1, 200), (2, 900)) as c(k, days)),
+held as (select source_site, campaign, first_day, cast(first_day + cast(days + s_suppkey % 50 as int) as date) as last_day from periods),
+lines as ({lines})
+select l.*, cast(h.campaign as int) as campaign, h.first_day, h.last_day
+from lines l join held h on l.source_site = h.source_site and l.sale_day between h.first_day and h.last_day""",
+        "event_windows": """
+select strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') as window_start,
+  strftime(date_trunc('hour', ts) + interval 1 hour, '%Y-%m-%d %H:%M:%S') as window_end,
+  event_type, count(*) as events, cast(coalesce(sum(cast(round(value * 100) as bigint)), 0) as bigint) as cents
+from events where ts is not null group by date_trunc('hour', ts), event_type""",
+        "user_sessions": """
+with e as (select *, coalesce(ts - lag(ts) over (partition by user_id order by ts) >= interval 30 minutes, true) as opens
+  from events where ts is not null),
+s as (select *, sum(case when opens then 1 else 0 end) over (partition by user_id order by ts rows unbounded preceding) as k from e)
+select user_id, strftime(min(ts), '%Y-%m-%d %H:%M:%S.%f') as session_start,
+  strftime(max(ts) + interval 30 minutes, '%Y-%m-%d %H:%M:%S.%f') as session_end,
+  count(*) as events, cast(coalesce(sum(cast(round(value * 100) as bigint)), 0) as bigint) as cents
+from s group by user_id, k""",
+    }

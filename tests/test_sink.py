@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import os
 import subprocess
 import sys
@@ -9,6 +10,7 @@ import tempfile
 
 import pytest
 from compare import normalised_rows
+from frames import frame, sale
 from pyspark import cloudpickle
 from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
 
@@ -164,3 +166,63 @@ def test_rankings_can_be_cut(spark, oracle_sales, scratch):
     targets = run_all(oracle_sales, os.path.join(scratch, "sink"), ["item_ranking"], "1998",
                       fact_path=os.path.join(scratch, "fact"), limits={"item_ranking": 7})
     assert spark.read.parquet(targets["item_ranking"]).count() == 7
+
+
+RETRIED = """
+import json, os, sys
+sys.path[:0] = [{root!r}]
+from pyspark import TaskContext, cloudpickle
+from pyspark.sql import SparkSession
+from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
+from tillroll.plans.reports import REPORTS
+from tillroll.plans.run import run_all
+from tillroll.schema import SALES_SCHEMA
+
+class Store(DataSource):
+    @classmethod
+    def name(cls):
+        return "documents"
+    def writer(self, schema, overwrite):
+        return Writer(self.options["folder"])
+
+class Writer(DataSourceWriter):
+    "A store without transactions that replaces documents by their id."
+    def __init__(self, folder):
+        self.folder = folder
+    def write(self, rows):
+        for i, row in enumerate(rows):
+            if TaskContext.get().attemptNumber() < 2 and i == 1 + TaskContext.get().attemptNumber():
+                raise RuntimeError("lost")
+            with open(os.path.join(self.folder, row["_id"]), "w") as f:
+                json.dump({{k: str(v) for k, v in row.asDict().items()}}, f)
+        return WriterCommitMessage()
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+spark = (SparkSession.builder.master("local[2,4]").config("spark.ui.enabled", "false")
+         .config("spark.sql.shuffle.partitions", "3").config("spark.sql.adaptive.enabled", "false")
+         .config("spark.checkpoint.dir", {shared!r}).getOrCreate())
+spark.sparkContext.setLogLevel("OFF")
+spark.dataSource.register(Store)
+sales = spark.read.schema(SALES_SCHEMA).json({sales!r})
+import datetime as dt
+for _ in range(2):  # the run itself is retried, too
+    run_all(sales, None, ["item_ranking"], fmt="documents", options={{"folder": {store!r}}}, row_id="_id",
+            run_ts=dt.datetime(2026, 1, 2))
+"""
+
+
+def test_retried_tasks_and_runs_leave_every_row_once(spark, scratch):
+    rows = [sale(item_code=f"I{i % 20}", item_attr=a) for i in range(60) for a in ("A", "B")]
+    lines = frame(spark, *rows)
+    lines.write.json(f"{scratch}/sales")
+    os.makedirs(f"{scratch}/store")
+    script = RETRIED.format(
+        root=os.path.dirname(os.path.dirname(os.path.abspath(__file__))), shared=f"{scratch}/shared",
+        sales=f"{scratch}/sales", store=f"{scratch}/store",
+    )
+    subprocess.run([sys.executable, "-c", script], check=True, timeout=300)
+    stored = [json.load(open(f"{scratch}/store/{f}")) for f in os.listdir(f"{scratch}/store")]
+    expected = REPORTS["item_ranking"].run(lines)
+    got = sorted((d["Item_Code"], d["SubCategory"], d["Quantity"]) for d in stored)
+    assert got == sorted((r["Item_Code"], r["SubCategory"], str(r["Quantity"])) for r in expected.collect())
+    assert len(got) == 40  # two equal rows of every item, with ids of their own

@@ -44,6 +44,8 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--fact-path", help="where to write the typed sale lines (default: shared folder)")
     p.add_argument("--parallel", type=int, default=4, help="report jobs submitted at once (default 4)")
     p.add_argument("--rejects", help="with --text: also write unreadable lines (value, reason) here")
+    p.add_argument("--row-id", help="field for ids that a retry makes again, for stores that replace documents by id")
+    p.add_argument("--lattice", action="store_true", help="answer sum reports from stored aggregates (three scans of the lines)")
     p.add_argument("--list", action="store_true", help="list report names and exit")
     return p
 
@@ -81,6 +83,7 @@ def main(argv: list[str] | None = None) -> int:
         sales, args.sink, names, args.excluded_year, args.fact_path, args.format,
         parallelism=args.parallel, options=dict(o.split("=", 1) for o in args.option),
         keep_fact=args.keep_fact, limits=dict.fromkeys(RANKINGS, args.top) if args.top else None,
+        lattice=args.lattice, row_id=args.row_id,
     )
     for name, target in targets.items():
         print(f"{name}\t{target or args.format}")

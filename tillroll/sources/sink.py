@@ -12,7 +12,7 @@ from __future__ import annotations
 import datetime as dt
 import os
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -37,6 +37,19 @@ def stamp(report: DataFrame, run_ts: dt.datetime) -> DataFrame:
     return report.select(F.timestamp_millis(F.lit(millis)).alias("TimeStamp"), "*")
 
 
+def with_row_ids(report: DataFrame, run: str, field: str) -> DataFrame:
+    """An id for each row, the same whenever this run writes the row again: a digest of the
+    run, the row and its number among rows equal to it.
+
+    Stores without transactions keep what a failed task had written before it is retried.
+    One that replaces documents by id ends up with every row once nevertheless. Rows
+    are numbered among equal ones only, so the shuffle is dealt by the whole row."""
+    columns = [F.col(c) for c in report.columns]
+    number = F.row_number().over(Window.partitionBy(*columns).orderBy(F.lit(0)))
+    row = F.to_json(F.struct(F.lit(run).alias("run"), number.alias("number"), F.struct(*columns).alias("row")), {"ignoreNullFields": "false"})
+    return report.select("*", F.sha2(row, 256).alias(field))
+
+
 def write_report(
     report: DataFrame,
     target: str | None,
