@@ -36,8 +36,10 @@ from tillroll.llm.common import byte_texts, count_rows, counted_batch, frequent,
 SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
 
-#: Chunks that a task remembers.
-REMEMBERED = 60_000
+#: Chunks that a task remembers for certain; those it met since then come on top.
+REMEMBERED = 150_000
+#: Distinct chunks that a task counts before it sends them on.
+COUNTED = 300_000
 #: A space starts no word of a chunk that stands for itself.
 MARK = " "
 # White space other than the space and the line break.
@@ -114,7 +116,7 @@ def pre_token_counts(texts: DataFrame, tokenizer_json: str) -> DataFrame:
             return counted_batch(found)
 
         yield from count_rows(
-            slices(batches), lambda batch: (cut.texts(t)[1] for t in _texts(batch.column("text"))), emit
+            slices(batches), lambda batch: (cut.texts(t)[1] for t in _texts(batch.column("text"))), emit, COUNTED
         )
 
     return texts.mapInArrow(run, "key binary, n bigint").groupBy("key").agg(F.sum("n").alias("n"))
@@ -150,24 +152,29 @@ def token_counts(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cut, known = PreTokens(tokenizer_json), in_head.value
-        memory: dict = {}  # chunk -> pieces of its known pre-tokens, with the unknown ones if any
+        # Chunk -> pieces of its known pre-tokens, with the unknown ones if any. Chunks met
+        # since the last turn are taken over, so that frequent ones are cut only once.
+        recent: dict = {}
+        older: dict = {}
         for batch in slices(batches):
-            if len(memory) > REMEMBERED:
-                memory.clear()
+            if len(recent) > REMEMBERED:
+                recent, older = {}, recent
             base, sizes, keys, times, rows = [], [], [], [], []
             column = byte_texts(batch.column("text"))
             for k, text in enumerate(column):
                 total, chunks = cut.texts(text.decode("utf-8", "replace"))
                 rest: dict[bytes, int] = {}
                 for chunk, n in Counter(chunks).items():
-                    got = memory.get(chunk)
+                    got = recent.get(chunk)
                     if got is None:
-                        parts = cut.of_chunk(chunk)
-                        new = [p for p in parts if p not in known]
-                        got = sum(known.get(p, 0) for p in parts)
-                        if new:
-                            got = got, new
-                        memory[chunk] = got
+                        got = older.get(chunk)
+                        if got is None:
+                            parts = cut.of_chunk(chunk)
+                            new = [p for p in parts if p not in known]
+                            got = sum(known.get(p, 0) for p in parts)
+                            if new:
+                                got = got, new
+                        recent[chunk] = got
                     if type(got) is int:
                         total += n * got
                         continue
