@@ -48,7 +48,17 @@ def test_index_persists_and_appends(spark, scratch):
     batch = edge_docs(spark, [(9, "a", "en", "s"), (4, "c", "en", "s")])
     assert tuples(again.add(batch), "keep_id") == [(4,)]
     assert again.rows().count() == 3
-    assert ordered(tuples(again.lookup(batch), "doc_id", "keep_id")) == [(4, 4), (9, 2)]
+    # The largest id of all batches stays, and all batches' rows count.
+    assert ordered(tuples(again.lookup(batch), "doc_id", "keep_id", "group_size")) == [(4, 4, 1), (9, 9, 3)]
+    assert ordered(tuples(again.lookup(edge_docs(spark, [(3, "b", "en", "s")])), "doc_id", "keep_id")) == [(3, 3)]
+
+
+def test_batches_give_what_one_gives(spark):
+    one, three = (
+        ordered(tuples(exact_dedup(edge_docs(spark), batches=b), "doc_id", "keep_id", "group_size", "kept", "text_sha256"))
+        for b in (1, 3)
+    )
+    assert one == three == ordered(expected_exact(edge_texts()))
 
 
 def test_index_is_read_by_bucket(spark, scratch):
