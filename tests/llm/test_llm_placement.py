@@ -1,6 +1,9 @@
 """Mixing, decontamination, sharding, the pipeline, and the queries against their SQL."""
 
+import glob
+import hashlib
 import itertools
+import os
 import random
 import zlib
 from collections import Counter, defaultdict
@@ -14,7 +17,7 @@ from pyspark.sql import functions as F
 from tillroll.llm import queries
 from tillroll.llm.decontaminate import ItemIndex, bands, contained_items, decontaminated, hashed, item_blocks
 from tillroll.llm.mixing import leaf_budgets, mixed_documents, with_copies
-from tillroll.llm.sharding import even, min_cost_flow, reshard, reshard_store, stay, write_store
+from tillroll.llm.sharding import even, min_cost_flow, reshard, reshard_store, resharded_store, stay, write_store
 
 SF = "/root/testdata/sf0.01"
 
@@ -215,6 +218,44 @@ def test_store_is_rewritten_where_rows_move(spark, scratch):
     assert sum("/old/" in f for _, f in folders) > sum("/new/" in f for _, f in folders)
 
 
+def checksums(folder):
+    return {f: hashlib.sha256(open(f"{folder}/{f}", "rb").read()).hexdigest() for f in os.listdir(folder) if f.endswith(".parquet")}
+
+
+def test_a_store_with_a_third_of_equal_rows(spark, scratch):
+    """Copies of one row go to several shards, each of them once, and what need not move stays
+    as it is, byte by byte."""
+    equal = [(7, words(1, 60), "en", "s")] * 400
+    docs = edge_docs(spark, [(500 + k, words(k, 50), "en", "s") for k in range(800)] + equal + [(None, None, None, None)] * 3)
+    write_store(docs.repartition(6), f"{scratch}/old", 4)
+    before = {d: checksums(d) for d in glob.glob(f"{scratch}/old/*/*")}
+    folders = reshard_store(spark, f"{scratch}/old", f"{scratch}/new", 24, 4)
+    assert before == {d: checksums(d) for d in glob.glob(f"{scratch}/old/*/*")}
+    back, shards_of_equal = Counter(), set()
+    for shard, folder in folders:
+        part = spark.read.parquet(folder).collect()
+        back.update(str(tuple(r)) for r in part)
+        shards_of_equal |= {shard for r in part if r["doc_id"] == 7}
+    assert back == Counter(str(tuple(r)) for r in docs.collect())
+    assert len(shards_of_equal) > 2
+
+
+def test_rows_come_from_the_files_of_the_new_store(spark):
+    rows = edge_texts() + [(7, words(1, 60), "en", "s")] * 200
+    out = tuples(resharded_store(edge_docs(spark, rows)), "doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
+    want = [(i, len((t or "").encode()) + 8, zlib.crc32((t or "").encode())) for i, t, *_ in rows]
+    assert ordered([r[:3] for r in out]) == ordered(want)
+    slots = defaultdict(list)
+    for r in out:
+        assert r[3] == "bytes" and r[6] is None and 0 <= r[4] < 24
+        slots[r[4]].append(r[5])
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    # The same rows as the plan alone, shard by shard.
+    plan_only = tuples(reshard(edge_docs(spark, rows)), "doc_id", "size", "text_crc32", "shard")
+    assert ordered([(*r[:3], r[4]) for r in out]) == ordered(plan_only)
+    assert resharded_store(edge_docs(spark, [])).count() == 0
+
+
 # Pipeline and SQL
 
 

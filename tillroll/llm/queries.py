@@ -16,7 +16,7 @@ from tillroll.llm.lexical_search import lexical_search
 from tillroll.llm.lm_score import lm_scores
 from tillroll.llm.mixing import with_copies
 from tillroll.llm.periodic_runs import most_repeated, periodic_runs
-from tillroll.llm.sharding import reshard
+from tillroll.llm.sharding import resharded_store
 from tillroll.llm.simhash import simhash_components
 from tillroll.llm.substring_dedup import substring_dedup
 from tillroll.llm.suffix_dedup import suffix_dedup
@@ -47,7 +47,7 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_dedup(read_table(spark, sf_dir, "documents"))
+    return exact_dedup(read_table(spark, sf_dir, "documents"), batches=2)
 
 
 def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,7 +75,7 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reshard(read_table(spark, sf_dir, "documents"))
+    return resharded_store(read_table(spark, sf_dir, "documents"))
 
 
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -216,7 +216,7 @@ select doc_id, cast(coalesce(n_words, 0) as bigint) as n_words, cast(coalesce(n_
   sha256(coalesce(kept, '')) as kept_sha256 from w left join a using (r)""",
     "op11_suffix_dedup": """
 with d as (select doc_id, row_number() over () as r, hex(encode(coalesce(text, ''))) as x from documents),
-g as (select doc_id, r, i, substr(x, 2 * i + 1, 200) as k from d, unnest(range(0, len(x) // 2 - 99)) as t(i)),
+g as (select doc_id, r, i, md5_number(substr(x, 2 * i + 1, 200)) as k from d, unnest(range(0, len(x) // 2 - 99)) as t(i)),
 v as (select r, i from (select r, i, row_number() over (partition by k order by doc_id, i) as place from g) where place > 1),
 n as (select r, i, i > lag(i) over (partition by r order by i) + 100 as gap from v),
 s as (select r, i, sum(case when gap is null or gap then 1 else 0 end) over (partition by r order by i) as span from n),

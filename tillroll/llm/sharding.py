@@ -10,7 +10,8 @@ An old shard is a line of blocks, and a block a line of rows in the order of a h
 The flow cuts the line into stretches, one for each new shard, the one that stays first;
 a row goes with the stretch that its middle byte is in. So a new shard misses its
 capacity by at most half a row at each of its stretches' ends. Blocks that one stretch
-covers move whole; of a store, only files of blocks with rows that move are rewritten.
+covers move whole, as a folder that is given to another shard; of a store, only files of
+blocks that are cut are rewritten.
 
 The driver holds sums by block, whose number follows from ``block_rows``. Rows that are
 equal in id, size and checksum are one row with a count until the end, so neither a
@@ -25,14 +26,13 @@ are not read.
 from __future__ import annotations
 
 import heapq
-from functools import reduce
 from itertools import accumulate
-from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tillroll.llm.common import written
+from tillroll.session import scratch_path
 
 #: Bytes of a row besides its text.
 ROW_BYTES = 8
@@ -149,7 +149,7 @@ def plan(blocks: DataFrame, n_old: int, capacities: list[int] | int, cost=stay)
 
 def assigned(blocks: DataFrame, planned: list[tuple]) -> DataFrame:
     """``blocks`` with shard, first and times: of a distinct row's copies, ``times`` from
-    number ``first`` go to ``shard``."""
+    number ``first`` go to ``shard``; ``parts`` is the number of shards that they go to."""
     spark = blocks.sparkSession
     ways = spark.createDataFrame(
         planned, "old int, block int, offset bigint, ends array<bigint>, targets array<int>"
@@ -173,11 +173,12 @@ def assigned(blocks: DataFrame, planned: list[tuple]) -> DataFrame:
             F.when(k == F.size("before") - 1, F.col("times")).otherwise(F.element_at("before", k + 1)).cast("bigint").alias("end"),
         ),
     )
-    parts = F.explode(F.filter(parts, lambda p: p["end"] > p["first"]))
-    rows = rows.select("doc_id", "size", "text_crc32", "old", "block", "place", parts.alias("part"))
+    rows = rows.withColumn("ways", F.filter(parts, lambda p: p["end"] > p["first"]))
+    keys = ["doc_id", "size", "text_crc32", "old", "block", "place"]
+    rows = rows.select(*keys, F.size("ways").alias("parts"), F.explode("ways").alias("part"))
     return rows.select(
-        "doc_id", "size", "text_crc32", "old", "block", "place", F.col("part.shard").alias("shard"),
-        F.col("part.first").alias("first"), (F.col("part.end") - F.col("part.first")).alias("times"),
+        *keys, F.col("part.shard").alias("shard"), F.col("part.first").alias("first"),
+        (F.col("part.end") - F.col("part.first")).alias("times"), "parts",
     )
 
 
@@ -191,7 +192,13 @@ def reshard(
     old = hash_shard(F.col("doc_id"), old_shards) if old is None else old
     blocks = blocked(docs.select(*named(row_key(id_col, text_col))), old, old_shards, block_rows)
     planned, _ = plan(blocks, old_shards, shards, cost)
-    rows = written(assigned(blocks, planned), "assigned")
+    return numbered(written(assigned(blocks, planned), "assigned"), shards, copies_in_step)
+
+
+def numbered(rows: DataFrame, shards: int, copies_in_step: int = 1 << 16) -> DataFrame:
+    """One row for each of the ``times`` copies of ``rows`` (distinct rows with old, block, place,
+    shard and first), with its slot in the shard."""
+    spark = rows.sparkSession
     sums = rows.groupBy("shard", "old", "block").agg(F.sum("times").alias("n")).collect()
     base, bases = [0] * shards, []
     for r in sorted(tuple(r) for r in sums):
@@ -215,10 +222,12 @@ def reshard(
 
 
 def write_store(docs: DataFrame, path: str, shards: int, bits: int = 4, id_col: str = "doc_id", text_col: str = "text") -> None:
-    """Write ``docs`` as a store: a folder for each shard (crc32 of the id) and block."""
+    """Write ``docs`` as a store: a folder for each shard (crc32 of the id) and block. Rows are
+    dealt by shard and block first, so that a folder has few files; Spark splits what
+    is larger than its advisory size, such as a block with a much repeated row."""
     block = F.shiftrightunsigned(place_of(row_key(id_col, text_col)), 64 - bits).cast("int")
     rows = docs.withColumns({SHARD: hash_shard(F.col(id_col), shards), BLOCK: block})
-    rows.write.partitionBy(SHARD, BLOCK).parquet(path)
+    rows.hint("rebalance", SHARD, BLOCK).write.partitionBy(SHARD, BLOCK).parquet(path)
 
 
 def reshard_store(
@@ -240,18 +249,86 @@ def reshard_store(
     out = [(min(t), f"{path}/{SHARD}={o}/{BLOCK}={b}") for (o, b), t in targets.items() if len(t) == 1]
     cut = sorted(b for b, t in targets.items() if len(t) > 1)
     if cut:
-        moved = F.broadcast(spark.createDataFrame(cut, "old int, block int"))
-        names = [c for c in stored.columns if c not in (SHARD, BLOCK)]
-        some = stored.select(*names, *(c.alias(f"__{c_name}") for c, c_name in zip(at_old, ("old", "block"), strict=True)), *named(key, "__"))
-        on = ["old", "block", *key]
-        some = some.join(moved, (F.col("__old") == moved["old"]) & (F.col("__block") == moved["block"]), "left_semi")
-        # Equal rows of a block are numbered, so that each goes one way.
-        equal = Window.partitionBy(*(f"__{c}" for c in on)).orderBy(F.lit(0))
-        some = some.withColumn("__n", F.row_number().over(equal) - 1)
-        way = rows.join(moved, ["old", "block"], "left_semi").select(*(F.col(c).alias(f"__w_{c}") for c in rows.columns))
-        same = reduce(and_, (F.col(f"__{c}").eqNullSafe(F.col(f"__w_{c}")) for c in on))
-        of_way = (F.col("__n") >= F.col("__w_first")) & (F.col("__n") < F.col("__w_first") + F.col("__w_times"))
-        split = some.join(way, same & of_way).select(*names, F.col("__w_shard").alias(SHARD), F.col("__block").alias(BLOCK))
-        split.write.partitionBy(SHARD, BLOCK).parquet(new_path)
+        _cut_rows(stored, key, rows, cut).write.partitionBy(SHARD, BLOCK).parquet(new_path)
         out += {(s, f"{new_path}/{SHARD}={s}/{BLOCK}={b}") for o, b in cut for s in targets[o, b]}
     return sorted(out)
+
+
+#: Rows of a file that are numbered together.
+NUMBERED = 1 << 16
+
+
+def _cut_rows(stored: DataFrame, key: dict[str, Column], rows: DataFrame, cut: list[tuple[int, int]]) -> DataFrame:
+    """The stored rows of the blocks ``cut``, with their new shard.
+
+    Copies of a row that all go to one shard need no number. Of the others, at most one
+    distinct row at each end of a stretch, a copy's number follows from its file and its place
+    in it, so a repeated task gives it the same one; copies are counted by stretches of files
+    first, and only a stretch is numbered in one place."""
+    moved = F.broadcast(stored.sparkSession.createDataFrame(cut, "old int, block int"))
+    way = rows.join(moved, ["old", "block"], "left_semi")
+    names = [c for c in stored.columns if c not in (SHARD, BLOCK)]
+    on = ["old", "block", *key]
+    some = stored.select(
+        F.struct(*names).alias("row"), F.struct(F.col(SHARD).alias("old"), F.col(BLOCK).alias("block"), *named(key)).alias("class"),
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at"),
+    ).join(moved, (F.col("class.old") == moved["old"]) & (F.col("class.block") == moved["block"]), "left_semi")
+
+    way = way.select(F.struct(*on).alias("class"), F.col("shard").alias("to"), "first", "times", "parts")
+    # Equality of the whole structs, in which nulls equal each other.
+    plain = some.alias("s").join(way.where("parts = 1").alias("w"), F.expr("s.class <=> w.class")).select("row", "s.class", "to")
+    # At most one distinct row for each end of a stretch: bounded, so they may go to every task.
+    shared = F.broadcast(way.where("parts > 1")).alias("w")
+    split = some.alias("s").join(shared, F.expr("s.class <=> w.class"), "left_semi")
+    split = split.withColumn("stretch", F.floor(F.col("at") / NUMBERED))
+    counts = split.groupBy("class", "file", "stretch").agg(F.count("*").alias("n"))
+    so_far = Window.partitionBy("class").orderBy("file", "stretch").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.select("class", "file", "stretch", F.coalesce(F.sum("n").over(so_far), F.lit(0)).alias("before"))
+    inside = F.row_number().over(Window.partitionBy("class", "file", "stretch").orderBy("at")) - 1
+    numbers = split.withColumn("inside", inside).alias("s").join(
+        counts.alias("c"), F.expr("s.class <=> c.class and s.file = c.file and s.stretch = c.stretch")
+    ).select("row", "s.class", (F.col("inside") + F.col("before")).alias("number"))
+    copies = numbers.alias("s").join(
+        shared, F.expr("s.class <=> w.class and s.number >= w.first and s.number < w.first + w.times")
+    ).select("row", "s.class", "to")
+    return plain.unionByName(copies).select("row.*", F.col("to").alias(SHARD), F.col("class.block").alias(BLOCK))
+
+
+def stored_rows(
+    spark: SparkSession, folders: list[tuple[int, str]], path: str, new_path: str,
+    id_col: str = "doc_id", text_col: str = "text",
+) -> DataFrame:
+    """The distinct rows in the files of a resharded store, with shard, old, block, place and
+    times; old is -1 for rewritten files."""
+    key = row_key(id_col, text_col)
+    left = [(s, *(int(part.split("=")[1]) for part in f.split("/")[-2:])) for s, f in folders if f.startswith(f"{path}/")]
+    at = F.broadcast(spark.createDataFrame(left, "shard int, old int, block int"))
+    stored = spark.read.parquet(path)
+    rows = stored.select(F.col(SHARD).alias("old"), F.col(BLOCK).alias("block"), *named(key)).join(at, ["old", "block"])
+    if len(left) < len(folders):
+        made = spark.read.parquet(new_path)
+        rows = rows.unionByName(made.select(
+            F.lit(-1).alias("old"), F.col(BLOCK).alias("block"), F.col(SHARD).alias("shard"), *named(key)
+        ))
+    classes = rows.groupBy("shard", "old", "block", "doc_id", "size", "text_crc32").agg(F.count("*").alias("times"))
+    return classes.withColumns({"place": F.xxhash64("doc_id", "size", "text_crc32"), "first": F.lit(0).cast("bigint")})
+
+
+def resharded_store(
+    docs: DataFrame, shards: int = 24, old_shards: int = 16, cost=stay, block_rows: int = 1_000_000,
+    id_col: str = "doc_id", text_col: str = "text",
+) -> DataFrame:
+    """Write ``docs`` as a store of ``old_shards`` shards, reshard it, and return every row as
+    it is found in the files of the new store: as :func:`reshard` does, but for
+    ``old_shard``, which is null for rows of rewritten files. The store stays in the shared
+    folder; columns named as its folder levels (``SHARD``, ``BLOCK``) are not stored."""
+    spark = docs.sparkSession
+    n = docs.count()
+    if not n:
+        return reshard(docs, shards, old_shards, id_col=id_col, text_col=text_col)
+    path, new_path = scratch_path(spark, "store"), scratch_path(spark, "new-store")
+    bits = max(4, (n // (old_shards * block_rows)).bit_length())
+    write_store(docs, path, old_shards, bits, id_col, text_col)
+    folders = reshard_store(spark, path, new_path, shards, old_shards, cost, id_col, text_col)
+    rows = written(stored_rows(spark, folders, path, new_path, id_col, text_col), "stored-rows")
+    return numbered(rows, shards).withColumn("old_shard", F.expr("nullif(old_shard, -1)"))
