@@ -72,6 +72,34 @@ def test_default_terms_include_those_that_tell_in_pairs_only():
     assert ((m.scores(texts) >= 0.5) == np.array(labels)).mean() > 0.97
 
 
+def test_a_pair_with_a_rare_term_is_learned_with_the_defaults():
+    """The label follows term 1 in the few texts that have term 2, and chance elsewhere."""
+    rng = np.random.default_rng(3)
+    n = 12_000
+    texts, labels = [], []
+    for i in range(n):
+        own = set((rng.integers(100, 5000, 20)).tolist())
+        one, two = rng.random() < 0.5, i % 100 == 0
+        texts.append(own | ({1} if one else set()) | ({2} if two else set()))
+        labels.append(float(one) if two else float(rng.random() < 0.5))
+    m = toxicity.fit(texts, np.array(labels))
+    assert {1, 2} <= set(m.places.tolist())
+    rare = [i for i in range(n) if i % 100 == 0]
+    got = m.scores([texts[i] for i in rare])
+    assert np.mean((got >= 0.5) == (np.array(labels)[rare] > 0.5)) > 0.9
+
+
+def test_scores_equal_the_double_sum():
+    rng = np.random.default_rng(4)
+    m = toxicity.Machine(np.array([2, 5, 9, 11]), -0.3, rng.normal(size=4), rng.normal(size=(4, 3)))
+    texts = [set(), {2}, {2, 5, 7}, {1, 2, 5, 9, 11}]
+    for text, got in zip(texts, m.scores(texts), strict=True):
+        rows = [i for i, p in enumerate(m.places) if p in text]
+        margin = m.w0 + sum(m.w[i] for i in rows)
+        margin += sum(m.v[i] @ m.v[j] for a, i in enumerate(rows) for j in rows[a + 1 :])
+        assert abs(got - 1 / (1 + np.exp(-margin))) < 1e-12
+
+
 def test_toxicity_edges(spark):
     docs = edge_docs(spark)
     labels = [(i, t) for i, t, *_ in edge_texts()]

@@ -3,6 +3,7 @@ the head/tail split of per-document lookups."""
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
@@ -49,6 +50,17 @@ def fold_remainder(doc_id: Column | str, n: int) -> Column:
     return F.coalesce(F.crc32(key.cast("string").cast("binary")) % n, F.lit(-1)).cast("int")
 
 
+def least_hashed(rows: DataFrame, n: int, k: int, *ties: str) -> DataFrame:
+    """The ``k`` rows with the least hash ``h`` (a 64-bit number) of ``rows``, of which there
+    are about ``n``. Only rows below a bound that about ``k`` hashes are below are sorted, so
+    that not every task sends ``k`` of them. With fewer than ``n`` hashes there may be fewer rows."""
+    some = rows
+    share = (k + 8 * math.sqrt(k) + 100) / max(n, 1)
+    if share < 0.5:
+        some = rows.where(F.col("h") < int(share * 2.0**64) - (1 << 63))
+    return some.orderBy("h", *ties).limit(k)
+
+
 def byte_texts(column: pa.Array | pa.ChunkedArray) -> list[bytes]:
     """UTF-8 bytes of each text, empty for null."""
     if isinstance(column, pa.ChunkedArray):

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import byte_texts, fold_remainder, slices
+from tillroll.llm.common import byte_texts, fold_remainder, least_hashed, slices
 
 UNDETERMINED = "und"
 WINDOW = 256
@@ -76,8 +76,16 @@ def fit(
     texts: list[bytes], labels: list[str], filters: int = 16, epochs: int = 12, rate: float = 0.01, seed: int = 5
 ) -> Network:
     """Adam on the cross-entropy; classes weigh alike, and half of the windows are cut to
-    a random short length each time."""
+    a random short length each time. A text that is longer than a window, as one of
+    letters of several bytes may be, is learned window by window; short rests are left out."""
     rng = np.random.default_rng(seed)
+    parts = [
+        (t[i : i + WINDOW], lang)
+        for t, lang in zip(texts, labels, strict=True)
+        for i in range(0, max(len(t), 1), WINDOW)
+        if i == 0 or len(t) - i >= 32
+    ]
+    texts, labels = [t for t, _ in parts], [lang for _, lang in parts]
     langs = sorted(set(labels))
     y = np.searchsorted(langs, labels)
     x = np.stack([windows_of(t[:WINDOW])[0][0] for t in texts])
@@ -125,7 +133,11 @@ def train(rows: DataFrame, max_rows: int, **how) -> Network | None:
     size = F.length("text")
     begin = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.greatest(size - WINDOW, F.lit(1))) + 1
     cut = usable.select(F.xxhash64("doc_id").alias("h"), "doc_id", "lang", F.col("text").substr(begin.cast("int"), F.lit(WINDOW)).alias("text"))
-    got = cut.orderBy("h", "doc_id", "lang", "text").limit(max_rows).select("lang", "text").toArrow()
+    ties = ("doc_id", "lang", "text")
+    n = rows.where("doc_id is not null and lang is not null").count()
+    got = least_hashed(cut, n, max_rows, *ties).select("lang", "text").toArrow()
+    if got.num_rows < max_rows:  # many repeated ids or empty texts
+        got = cut.orderBy("h", *ties).limit(max_rows).select("lang", "text").toArrow()
     if not got.num_rows:
         return None
     return fit(byte_texts(got.column("text")), got.column("lang").to_pylist(), **how)

@@ -10,8 +10,11 @@ are in at least ``min_rows`` of these rows and their frequencies in the two clas
 differ by ``min_z`` standard errors, so that long texts don't drown the few words that
 tell; or if they are in a pair of terms that tells, though each alone may not: the product
 of their centred presences and the centred label differs from 0 by ``min_pair_z`` standard
-errors (``telling_pairs``). The model is at most ``max_terms`` rows of 1 + ``factors`` numbers and goes to every
-task; every whole text is scored.
+errors (``telling_pairs``). A pair is looked at if one of its terms is among the
+``max_pair_terms`` most telling ones of the frequent ones and chance alone puts the two
+together in 5 texts, so the other may be rare. The model is at most ``max_terms`` rows of
+1 + ``factors`` numbers and goes to every task; every whole text is scored. Texts are held as
+numbers of their terms only, and tables by tiles.
 
 Defined results: null and empty texts are scored by their lack of terms; a null id is
 scored and is neither held out nor in training; of several labels of one id the
@@ -31,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import byte_texts, fold_remainder, slices
+from tillroll.llm.common import byte_texts, fold_remainder, least_hashed, slices
 
 TERM = r"[^\W\d_]+"
 
@@ -83,64 +86,101 @@ class Machine:
         return 1 / (1 + np.exp(-np.clip(margin, -40, 40)))
 
 
-def telling_pairs(text: np.ndarray, term: np.ndarray, labels: np.ndarray, rows: np.ndarray, min_z: float) -> np.ndarray:
-    """Which terms are in a pair that tells. Of term i in ``rows``[i] texts; pairs are looked
-    at of terms in at least sqrt(5 n) of the n texts, which chance puts together in 5; pairs
-    of rarer terms are not."""
+def counted(flat: np.ndarray, n: int, weights: np.ndarray | None = None, step: int = 1 << 20) -> np.ndarray:
+    """How often (or with what weight) each number below ``n`` is in ``flat``, piece by piece."""
+    out = np.zeros(n)
+    for at in range(0, len(flat), step):
+        out += np.bincount(flat[at : at + step], None if weights is None else weights[at : at + step], n)
+    return out
+
+
+def telling_pairs(
+    text: np.ndarray, term: np.ndarray, labels: np.ndarray, rows: np.ndarray, z: np.ndarray, min_z: float, most: int
+) -> np.ndarray:
+    """Which terms are in a pair that tells. Term i is in ``rows``[i] texts and tells by ``z``[i]
+    alone; of the terms in at least sqrt(5 n) of the n texts the ``most`` telling ones are paired
+    with all terms that chance puts together with them in at least 5 texts."""
     n = len(labels)
-    often = np.flatnonzero((rows**2 >= 5.0 * n) & (rows < n))
     out = np.zeros(len(rows), bool)
-    column = np.full(len(rows), -1)
-    column[often] = np.arange(len(often))
-    share = (rows[often] / n).astype(np.float32)
-    off = (labels - labels.mean()).astype(np.float32)
-    x = np.zeros((n, len(often)), np.uint8)
-    known = column[term] >= 0
-    x[text[known], column[term[known]]] = 1
+    often = np.flatnonzero((rows**2 >= 5.0 * n) & (rows < n))
+    often = np.sort(often[np.argsort(-z[often], kind="stable")[:most]])
+    if not len(often):
+        return out
+    others = np.flatnonzero((rows * rows[often].max() >= 5.0 * n) & (rows < n))
+    number = np.full(len(rows), -1, np.int32)
+    number[others] = np.arange(len(others))
+    known = number[term] >= 0
+    # The texts of each of the other terms, term by term.
+    held, of = number[term[known]], text[known]
+    order = np.argsort(held, kind="stable")
+    held, of = held[order], of[order]
+    starts = np.searchsorted(held, np.arange(len(others) + 1))
+    share = rows / n
     deviation = np.sqrt(share * (1 - share))
-    # Tiles of terms and of texts bound what is held besides ``x``.
-    for begin in range(0, len(often), 256):
-        tile = slice(begin, begin + 256)
-        total = np.zeros((len(often[tile]), len(often)), np.float32)
-        for at in range(0, n, 1024):
-            some = x[at : at + 1024] - share
-            total += (some[:, tile] * off[at : at + 1024, None]).T @ some
-        error = np.outer(deviation[tile], deviation) * np.float32(np.sqrt(n * labels.var()))
-        told = (np.abs(total) >= min_z * error) & (error > 0)
-        told[np.arange(len(told)), begin + np.arange(len(told))] = False
-        out[often[tile]] = told.any(axis=1)
+    off = labels - labels.mean()
+    for begin in range(0, len(often), 128):
+        tile = often[begin : begin + 128]
+        x = np.zeros((n, len(tile)), np.float32)
+        for k, t in enumerate(tile.tolist()):
+            a, b = starts[number[t]], starts[number[t] + 1]
+            x[of[a:b], k] = 1
+        x -= share[tile].astype(np.float32)
+        x *= off[:, None].astype(np.float32)
+        whole = x.sum(axis=0)
+        # So many terms at a time that they have about 2^17 places.
+        at = 0
+        while at < len(others):
+            end = max(at + 1, int(np.searchsorted(starts, starts[at] + (1 << 17), side="right")) - 1)
+            some = others[at:end]
+            total = np.add.reduceat(x[of[starts[at] : starts[end]]], starts[at:end] - starts[at], axis=0)
+            total -= share[some, None] * whole
+            error = np.outer(deviation[some], deviation[tile]) * np.sqrt(n * labels.var())
+            told = (np.abs(total) >= min_z * error) & (error > 0) & (np.outer(rows[some], rows[tile]) >= 5.0 * n)
+            told &= some[:, None] != tile
+            out[some] |= told.any(axis=1)
+            out[tile] |= told.any(axis=0)
+            at = end
     return out
 
 
-def fit(
-    texts: list[set[int]], labels: np.ndarray, factors: int = 8, min_rows: int = 5, min_z: float = 4.0,
-    min_pair_z: float = 6.0, max_terms: int = 20_000, epochs: int = 30, rate: float = 0.1, decay: float = 1e-4, seed: int = 7,
+def fit(texts: list[set[int]], labels: np.ndarray, **how) -> Machine:
+    """:func:`fit_flat` of the texts' terms one after the other."""
+    sizes = np.array([len(t) for t in texts], np.int64)
+    return fit_flat(np.fromiter((x for t in texts for x in t), np.int32, int(sizes.sum())), sizes, labels, **how)
+
+
+def fit_flat(
+    flat: np.ndarray, sizes: np.ndarray, labels: np.ndarray, factors: int = 8, min_rows: int = 5, min_z: float = 4.0,
+    min_pair_z: float = 6.0, max_pair_terms: int = 1024, max_terms: int = 20_000, epochs: int = 30, rate: float = 0.1,
+    decay: float = 1e-4, seed: int = 7,
 ) -> Machine:
-    """AdaGrad on the logistic loss of minibatches."""
+    """AdaGrad on the logistic loss of minibatches. Text i has the next sizes[i] numbers of
+    ``flat``, none twice."""
     rng = np.random.default_rng(seed)
     n1 = float(labels.sum())
     n0 = len(labels) - n1
-    empty = Machine(np.empty(0, np.int64), -40.0, np.empty(0), np.empty((0, factors)))
     if not n1:
-        return empty
-    sizes = [len(t) for t in texts]
-    flat = np.fromiter((x for t in texts for x in t), np.int64, sum(sizes))
-    places, index = np.unique(flat, return_inverse=True)
-    in1 = np.bincount(index, np.repeat(labels, sizes), len(places))
-    both = np.bincount(index, minlength=len(places))
+        return Machine(np.empty(0, np.int64), -40.0, np.empty(0), np.empty((0, factors)))
+    n_places = int(flat.max(initial=-1)) + 1
+    of_text = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+    both = counted(flat, n_places)
+    in1 = counted(flat, n_places, labels[of_text])
     share = (both + 1) / (len(labels) + 2)
     z = np.abs(in1 / n1 - (both - in1) / max(n0, 1)) / np.sqrt(share * (1 - share) * (1 / n1 + 1 / max(n0, 1)))
     z[both < min_rows] = 0
-    of_text = np.repeat(np.arange(len(texts), dtype=np.int32), sizes)
-    z[telling_pairs(of_text, index, labels, both.astype(float), min_pair_z)] += min_z
+    pairs = telling_pairs(of_text, flat, labels, np.where(both >= min_rows, both, 0.0), z, min_pair_z, max_pair_terms)
+    z[pairs] += min_z
     chosen = np.sort(np.argsort(-z, kind="stable")[:max_terms])
-    places = places[chosen][z[chosen] >= min_z]
+    places = chosen[z[chosen] >= min_z].astype(np.int64)
     m = Machine(places, float(np.log(n1 / max(n0, 1))), np.zeros(len(places)), rng.normal(0, 0.01, (len(places), factors)))
-    text, term = m.rows_of(texts)
-    starts = np.searchsorted(text, np.arange(len(texts) + 1))
+    row_of = np.full(n_places, -1, np.int32)
+    row_of[places] = np.arange(len(places))
+    known = row_of[flat] >= 0
+    text, term = of_text[known], row_of[flat[known]]
+    starts = np.searchsorted(text, np.arange(len(sizes) + 1))
     g0, gw, gv = 1e-8, np.full(len(places), 1e-8), np.full(m.v.shape, 1e-8)
     for _ in range(epochs):
-        order = rng.permutation(len(texts))
+        order = rng.permutation(len(sizes))
         for at in range(0, len(order), 256):
             some = order[at : at + 256]
             size = starts[some + 1] - starts[some]
@@ -167,7 +207,7 @@ def train(
     is ``fold`` are not used."""
     usable = labels.where(F.col("label").isNotNull() & F.col("doc_id").isNotNull() & (fold_remainder("doc_id", folds) != fold))
     one = usable.groupBy("doc_id").agg(F.max("label").alias("label"))
-    sample = one.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
+    sample = least_hashed(one.withColumn("h", F.xxhash64("doc_id")), one.count(), max_rows, "doc_id").drop("h")
     # At most max_rows ids and labels.
     rows = docs.join(F.broadcast(sample), "doc_id").select("doc_id", "label", "text")
 
@@ -184,7 +224,11 @@ def train(
     made = rows.mapInArrow(run, f"doc_id {kind}, label double, terms array<int>")
     # Rows with one id are few texts of it; the first in the order of terms is taken.
     got = made.groupBy("doc_id", "label").agg(F.min("terms").alias("terms")).orderBy("doc_id").toArrow()
-    return fit([set(t) for t in got.column("terms").to_pylist()], got.column("label").to_numpy().astype(float), **how)
+    if not got.num_rows:
+        return fit([], np.empty(0), **how)
+    terms = got.column("terms").combine_chunks()
+    sizes = np.diff(terms.offsets.to_numpy()).astype(np.int64)
+    return fit_flat(terms.flatten().to_numpy(), sizes, got.column("label").to_numpy().astype(float), **how)
 
 
 def toxicity_scores(
