@@ -115,7 +115,7 @@ class LogFrequencyFilter:
 
 
 #: Occurrences of pairs, and words, that a block is made for; tokens of a chunk; least bits.
-PAIRS_IN_BLOCK, WORDS_IN_BLOCK, CHUNK, LEAST_BITS = 1 << 21, 1 << 18, 1 << 19, 1 << 16
+PAIRS_IN_BLOCK, WORDS_IN_BLOCK, CHUNK, LEAST_BITS = 1 << 20, 1 << 17, 1 << 18, 1 << 16
 #: An answer to a word: its level, its level as a context (-1 for none) and the context's mass.
 WORD = np.dtype([("level", "i1"), ("context", "i1"), ("mass", "<f8")])
 CONTEXT = np.dtype([("key", "<u8"), ("level", "i1"), ("mass", "<f8")])
@@ -306,7 +306,7 @@ def pair_parts(rows: DataFrame, n_blocks: int) -> DataFrame:
                 h = token_hashes(text)
                 held.append((h[:-1], h[1:]))
                 size += len(h) - 1
-                if size >= 1_000_000:
+                if size >= 1 << 19:
                     yield emptied()
                     size = 0
         if size:
@@ -342,7 +342,7 @@ def pair_blocks(parts: DataFrame, word_blocks: int, least: float, base: float, b
             yield pa.RecordBatch.from_pylist([made | {"keys": None, "sums": None}], schema)
             held.append(summed(first, base**levels.astype(float)))
             size += len(held[-1][0])
-            if size >= 1_000_000:
+            if size >= 1 << 19:
                 yield masses(held)
                 held, size = [], 0
         if size:
@@ -515,7 +515,7 @@ def score(rows: DataFrame, model: Model, counts: DataFrame, head_share: int = 1
             n = len(columns["__row"])
             return pa.record_batch({c: columns[c] if c in columns else pa.nulls(n, kinds[c]) for c in names})
 
-        for batch in slices(batches):
+        for batch in slices(batches, 256):
             texts = byte_texts(batch.column("text"))
             if not texts:
                 continue
