@@ -15,7 +15,7 @@ from tillroll.llm.decontaminate import decontaminated
 from tillroll.llm.language_id import language_filter
 from tillroll.llm.mixing import mixed_documents
 from tillroll.llm.queries import MIX, domain_of
-from tillroll.llm.sharding import reshard
+from tillroll.llm.sharding import resharded_store
 from tillroll.llm.simhash import simhash_dedup
 
 
@@ -40,8 +40,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows are moved from 16 old shards to 24 new ones of equal bytes."""
-    return reshard(docs, shards=24, old_shards=16)
+    """A store of 16 shards is rewritten to 24 of equal bytes, where rows move."""
+    return resharded_store(docs, shards=24, old_shards=16)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
