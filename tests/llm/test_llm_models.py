@@ -195,14 +195,14 @@ def test_chunks_score_as_the_model_does(spark, monkeypatch):
     monkeypatch.setattr(lm_score, "CHUNK", 500)
     rows = [(i, words(i, 1 + 7 * i % 90, 40), "en", "s") for i in range(60)]
     d = edge_docs(spark, rows).selectExpr("monotonically_increasing_id() as __row", "doc_id", "false as held_out", "text")
-    model, counts = lm_score.train(d.where("doc_id % 3 > 0").select("text"))
-    got = dict(tuples(lm_score.score(d, model, counts), "doc_id", "score"))
+    model, _ = lm_score.train(d.where("doc_id % 3 > 0").select("text"))
+    got = dict(tuples(lm_score.score(d, model), "doc_id", "score"))
     assert len(got) == 60
     for i, t, *_ in rows:
         assert got[i] == pytest.approx(model.log10(lm_score.token_hashes(t.encode()), np.array([0])).sum())
 
 
-def test_lm_base_is_exact_at_the_edges(spark):
+def test_lm_base_is_exact_at_the_edges(spark, monkeypatch):
     rows = edge_texts()
     trained = [(i, tokens_of((t or "").encode())) for i, t, *_ in rows if i is not None and fold(i, 7) != 2]
     c = Counter(w for _, ws in trained for w in ws)
@@ -212,12 +212,14 @@ def test_lm_base_is_exact_at_the_edges(spark):
         ws = tokens_of((t or "").encode())
         base = sum(math.log10((c[w] + 1) / (n + v + 1)) for w in ws)
         want.append((i, fold(i, 7) == 2, len(ws), sum(c[w] > 0 for w in ws), n, round(base, 6)))
-    for head in (1 << 21, 1 << 6):
+    for chunk, blocks in ((lm_score.CHUNK, lm_score.PAIRS_IN_BLOCK), (64, 256)):
+        monkeypatch.setattr(lm_score, "CHUNK", chunk)
+        monkeypatch.setattr(lm_score, "PAIRS_IN_BLOCK", blocks)
         frame = lm_score.lm_scores(edge_docs(spark))
-        if head == 1 << 6:
+        if chunk == 64:
             d = edge_docs(spark).selectExpr("monotonically_increasing_id() as __row", "doc_id", "crc32(cast(cast(doc_id as string) as binary)) % 7 <=> 2 as held_out", "text")
-            model, counts = lm_score.train(d.where("doc_id is not null and not held_out").select("text"))
-            frame = lm_score.score(d, model, counts, head)
+            model, _ = lm_score.train(d.where("doc_id is not null and not held_out").select("text"))
+            frame = lm_score.score(d, model)
         got = [(r[0], bool(r[1]), r[2], r[3], r[4], round(r[5], 6)) for r in tuples(frame, "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score")]
         assert ordered(got) == ordered(want)
         assert all(r["score"] <= 0 for r in frame.collect())

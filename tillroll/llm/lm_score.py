@@ -9,21 +9,24 @@ every size of the corpus (``share`` and ``context_share`` leave rare ones out, a
 set by default). The filter is a table of blocks, each for a range of the n-grams' hashes.
 Their number follows from the tokens and the types, and a block's bits from its n-grams,
 ``bits_each`` for an insertion (``expected_error``). Blocks are built in tasks, and no
-task, nor the driver, has more than one of them at a time.
+task, nor the driver, has more than one of them at a time. As a filter of all n-grams grows
+with the corpus it is joined by shuffles and not broadcast.
 
 Lookups. Documents are read in chunks of about ``CHUNK`` tokens. A chunk sends each block
 the distinct keys it asks for, by a shuffle on the block, and gets their levels back by one
-on the chunk; a key is asked for once by a chunk, however frequent.
+on the chunk; a key is asked for once by a chunk, however frequent. A block probes the keys of
+many chunks at a time.
 
 Probability. P(w) takes the held count of w; words not held share the remaining mass
 evenly over all types the filter lacks, unseen ones as one more type. P(w | u) =
 weight * low(u w) / high(u) + (1 - weight * mass(u)) * P(w): low and high are ends of
 the quantised level, and mass(u) is the sum of low / high over the held pairs of u, so
-the probabilities of all words after u add up to one, false positives aside. The levels
-and masses of contexts are kept in the blocks of their words, by hash.
+the probabilities of all words after u add up to one, false positives aside. The first
+token of a text has nothing before it and takes P(w). The levels and masses of contexts
+are kept in the blocks of their words, by hash, and so are the exact counts.
 
-The exact part of the result (known tokens, add-one base score) looks up every token:
-frequent words in place, the others by a join on the word.
+The exact part of the result (known tokens, add-one base score) takes these counts: a word's
+answer has them beside its level. Words are told apart by 64 bits of hash.
 
 Defined results: null and empty texts hold the end token only; with no training rows
 all counts are zero; rows with the same id stay rows of their own; a null id is never
@@ -33,7 +36,6 @@ in training nor held out; other columns are not read.
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from itertools import groupby
@@ -42,9 +44,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from tillroll.llm.common import (
-    byte_texts, count_rows, fold_remainder, frequent, mixed, slices, with_row_key, word_hashes, written,
+    byte_texts, count_rows, fold_remainder, mixed, slices, with_row_key, word_hashes, written,
 )
 
 U64 = np.uint64
@@ -116,9 +119,12 @@ class LogFrequencyFilter:
 
 #: Occurrences of pairs, and words, that a block is made for; tokens of a chunk; least bits.
 PAIRS_IN_BLOCK, WORDS_IN_BLOCK, CHUNK, LEAST_BITS = 1 << 20, 1 << 17, 1 << 18, 1 << 16
-#: An answer to a word: its level, its level as a context (-1 for none) and the context's mass.
-WORD = np.dtype([("level", "i1"), ("context", "i1"), ("mass", "<f8")])
-CONTEXT = np.dtype([("key", "<u8"), ("level", "i1"), ("mass", "<f8")])
+#: Keys that a block probes at a time.
+PROBED = 1 << 18
+#: An answer to a word: its level, its level as a context (-1 for none), the context's mass and
+#: the word's exact count.
+WORD = np.dtype([("level", "i1"), ("context", "i1"), ("mass", "<f8"), ("count", "<f8")])
+CONTEXT = np.dtype([("key", "<u8"), ("level", "i1"), ("mass", "<f8"), ("count", "<f8")])
 BLOCK = "block int, bits binary, top int, contexts binary"
 
 
@@ -210,25 +216,26 @@ class Model:
             yield self.word_blocks + block, pairs[begin:end] & U64(0xFFFFFFFF)
 
     def sent(self, block: int, keys: np.ndarray) -> bytes:
-        return packed(keys) if block < self.word_blocks else squeezed(keys)
+        return keys.astype("<u8").tobytes() if block < self.word_blocks else squeezed(keys)
 
     def received(self, block: int, data: bytes) -> np.ndarray:
-        return unpacked(data) if block < self.word_blocks else unsqueezed(data)
+        return np.frombuffer(data, "<u8").astype(U64) if block < self.word_blocks else unsqueezed(data)
 
-    def answer(self, block: int, row: tuple, keys: np.ndarray) -> bytes:
-        """Of the block ``row`` (bits, top, contexts) to ``keys`` as received."""
+    def answer(self, block: int, row: tuple, keys: np.ndarray) -> np.ndarray:
+        """Of the block ``row`` (bits, top, contexts) to ``keys`` as received, key by key."""
         bits, top, contexts = row
         level = LogFrequencyFilter(np.frombuffer(bits, np.uint8), self.hashes, top).levels(keys).astype(np.int8)
         if block >= self.word_blocks:
-            return level.tobytes()
+            return level
         held = np.frombuffer(contexts, CONTEXT)
         out = np.zeros(len(keys), WORD)
         out["level"], out["context"] = level, -1
         if len(held):
             at = np.minimum(np.searchsorted(held["key"], keys), len(held) - 1)
             same = held["key"][at] == keys
-            out["context"][same], out["mass"][same] = held["level"][at[same]], held["mass"][at[same]]
-        return out.tobytes()
+            for name, of in (("context", "level"), ("mass", "mass"), ("count", "count")):
+                out[name][same] = held[of][at[same]]
+        return out
 
     def probabilities(self, each: np.ndarray, pair_level: np.ndarray, word, pair, before) -> np.ndarray:
         """log10 P of each token, from the answers for distinct words and pairs."""
@@ -248,7 +255,7 @@ class Model:
         asked = list(self.asked(each, pairs))
         rows = self.blocks.where(F.col("block").isin([b for b, _ in asked])).collect()
         held = {r["block"]: (bytes(r["bits"]), r["top"], bytes(r["contexts"])) for r in rows}
-        got = [(b, self.answer(b, held[b], self.received(b, self.sent(b, keys)))) for b, keys in asked]
+        got = [(b, self.answer(b, held[b], self.received(b, self.sent(b, keys))).tobytes()) for b, keys in asked]
         return self.probabilities(*answers(got, self.word_blocks), *places)
 
 
@@ -322,7 +329,10 @@ def pair_blocks(parts: DataFrame, word_blocks: int, least: float, base: float, b
     def masses(held: list[tuple]) -> pa.RecordBatch:
         first, sums = summed(*(np.concatenate(x) for x in zip(*held, strict=True)))
         cuts = runs(block_of(first, word_blocks))
-        rows = [{"block": v, "keys": packed(first[b:e]), "sums": sums[b:e].astype("<f8").tobytes()} for v, b, e in cuts]
+        rows = [
+            {"block": v, "keys": first[b:e].astype("<u8").tobytes(), "sums": sums[b:e].astype("<f8").tobytes()}
+            for v, b, e in cuts
+        ]
         return pa.RecordBatch.from_pylist(rows, schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -367,29 +377,28 @@ def word_blocks_of(
             keys = key_hashes(batch.column("key").to_pylist())
             block = block_of(keys, n_blocks)
             order = np.argsort(block, kind="stable")
-            keys, n = keys[order], batch.column("n").to_numpy()[order].astype("<f8")
+            keys, n = keys[order].astype("<u8"), batch.column("n").to_numpy()[order].astype("<f8")
             cuts = runs(block[order])
             yield pa.record_batch({
                 "block": pa.array([v for v, _, _ in cuts], pa.int32()), "kind": pa.array([0] * len(cuts), pa.int32()),
-                "keys": pa.array([packed(keys[b:e]) for _, b, e in cuts], pa.binary()),
+                "keys": pa.array([keys[b:e].tobytes() for _, b, e in cuts], pa.binary()),
                 "sums": pa.array([n[b:e].tobytes() for _, b, e in cuts], pa.binary()),
             })
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block, group in groupby(table_rows(batches), key=lambda r: r[0]):
             rows = list(group)
-            # Words of one block are told apart by the low bits of their hashes.
             keys, n = (b"".join(r[c] for r in rows if r[1] == 0) for c in (2, 3))
-            keys, n = summed(unpacked(keys), np.frombuffer(n, "<f8"))
+            keys, n = summed(np.frombuffer(keys, "<u8").astype(U64), np.frombuffer(n, "<f8"))
             first, sums = (b"".join(r[c] for r in rows if r[1] == 1) for c in (2, 3))
-            first, sums = summed(unpacked(first), np.frombuffer(sums, "<f8"))
+            first, sums = summed(np.frombuffer(first, "<u8").astype(U64), np.frombuffer(sums, "<f8"))
             levels = levels_of(n, base)
             mass = np.zeros(len(keys))
             mass[np.searchsorted(keys, first)] = sums
             mass /= base ** (levels + 1.0)
             context = np.zeros(len(keys), CONTEXT)
-            context["key"], context["level"], context["mass"] = keys, levels, mass
-            context = context[n >= context_least]
+            context["key"], context["level"], context["mass"], context["count"] = keys, levels, mass, n
+            context["level"][n < context_least] = -1
             held = n >= least
             yield pa.RecordBatch.from_pylist(
                 [built_block(block, keys[held], levels[held], bits_each, hashes, context.tobytes())], schema
@@ -428,160 +437,136 @@ def train(
     return model, counts
 
 
-def chunk_state(rows: list[int], sizes: list[int], words: np.ndarray) -> bytes:
-    """A chunk's rows, their numbers of tokens, and its words: the distinct ones, frequent ones
+def chunk_state(sizes: list[int], words: np.ndarray) -> bytes:
+    """The numbers of tokens of a chunk's rows, and its words: the distinct ones, frequent ones
     first, and the places among them, byte by byte of all."""
     each, at, n = np.unique(words, return_inverse=True, return_counts=True)
     order = np.argsort(-n, kind="stable")
     rank = np.empty(len(each), "<u4")
     rank[order] = np.arange(len(each))
-    head = np.array([len(rows), len(each), len(words), *rows, *sizes], "<i8").tobytes()
+    head = np.array([len(sizes), len(each), len(words), *sizes], "<i8").tobytes()
     places = np.ascontiguousarray(rank[at].view(np.uint8).reshape(-1, 4).T).tobytes()
     return head + each[order].astype("<u8").tobytes() + pa.Codec("zstd").compress(places, asbytes=True)
 
 
-def chunk_of(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def chunk_of(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     n, m, size = np.frombuffer(data, "<i8", 3).tolist()
-    rows, sizes = np.frombuffer(data, "<i8", 2 * n, 24).reshape(2, n)
-    each = np.frombuffer(data, "<u8", m, 24 + 16 * n).astype(U64)
-    places = pa.Codec("zstd").decompress(data[24 + 16 * n + 8 * m :], 4 * size, asbytes=True)
+    sizes = np.frombuffer(data, "<i8", n, 24)
+    each = np.frombuffer(data, "<u8", m, 24 + 8 * n).astype(U64)
+    places = pa.Codec("zstd").decompress(data[24 + 8 * n + 8 * m :], 4 * size, asbytes=True)
     places = np.ascontiguousarray(np.frombuffer(places, np.uint8).reshape(4, size).T).view("<u4").ravel()
-    return rows, sizes, each[places]
-
-
-def chunk_scores(asked: DataFrame, model: Model) -> DataFrame:
-    """(__row, score) from the chunks and questions of ``asked`` (__row, block, data)."""
-    plain = model.parts()
-
-    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lm, held, at = Model(**plain), None, -1
-        for block, chunk, data, top, contexts in table_rows(batches):
-            if chunk < 0:
-                held, at = (data, top, contexts), block
-                continue
-            # A block without an n-gram has no row.
-            got = lm.answer(block, held if at == block else (bytes(LEAST_BITS // 8), 0, b""), lm.received(block, data))
-            yield pa.record_batch({
-                "chunk": pa.array([chunk], pa.int64()), "block": pa.array([block], pa.int32()), "data": pa.array([got], pa.binary()),
-            })
+    return sizes, each[places]
 
-    def score_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lm = Model(**plain)
-        for _, group in groupby(table_rows(batches), key=lambda r: r[0]):
-            (_, _, state), *got = group
-            rows, sizes, words = chunk_of(state)
-            starts = np.cumsum([0, *sizes])[:-1]
-            each, pairs, before, pair = lm.questions(words, starts)
-            places = [np.searchsorted(*x) for x in ((each, words), (pairs, pair), (each, before))]
-            p = lm.probabilities(*answers([g[1:] for g in got], lm.word_blocks), *places)
-            yield pa.record_batch({"__row": pa.array(rows, pa.int64()), "score": pa.array(np.add.reduceat(p, starts), pa.float64())})
 
-    blocks = model.blocks.select("block", F.lit(-1).cast("bigint").alias("chunk"), F.col("bits").alias("data"), "top", "contexts")
-    questions = asked.where("block >= 0").select("block", F.col("__row").alias("chunk"), "data")
-    dealt = blocks.unionByName(questions, allowMissingColumns=True).repartition("block").sortWithinPartitions("block", "chunk")
-    # Written, so that the questions' shuffle goes before the chunks' own.
-    got = written(dealt.mapInArrow(answer, "chunk bigint, block int, data binary"), "lm-answers")
-    chunks = asked.where("block = -1").select(F.col("__row").alias("chunk"), "block", "data")
-    both = chunks.unionByName(got).repartition("chunk").sortWithinPartitions("chunk", "block")
-    return written(both.mapInArrow(score_rows, "__row bigint, score double"), "lm-chunk-scores")
-
-
-def score(rows: DataFrame, model: Model, counts: DataFrame, head_share: int = 1 << 20) -> DataFrame:
+def score(rows: DataFrame, model: Model) -> DataFrame:
     """``rows`` (__row, doc_id, held_out, text) with n_tokens, n_known, base_score, score."""
-    context = rows.sparkSession.sparkContext
-    head = context.broadcast(dict(frequent(counts, model.tokens, head_share, "key", "n")))
     plain = model.parts()
     unit = model.tokens + model.types + 1
+    id_type = to_arrow_type(rows.schema["doc_id"].dataType)
     kind = rows.schema["doc_id"].dataType.simpleString()
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, lm = head.value, Model(**plain)
-        held, held_rows, size = [], [], 0
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Each chunk's rows and words, and its questions to the blocks."""
+        lm = Model(**plain)
+        held: list[np.ndarray] = []
+        ids, held_out, first = [], [], None
 
-        def chunk():
+        def chunk() -> pa.RecordBatch:
             words, sizes = np.concatenate(held), [len(h) for h in held]
             each, pairs, *_ = lm.questions(words, np.cumsum([0, *sizes])[:-1])
             asked = list(lm.asked(each, pairs))
-            data = [chunk_state(held_rows, sizes, words), *(lm.sent(*q) for q in asked)]
-            n, first = len(data), held_rows[0]
-            held.clear()
-            held_rows.clear()
-            return {
-                "__row": pa.array([first] * n, pa.int64()), "block": pa.array([-1, *(b for b, _ in asked)], pa.int32()),
-                "data": pa.array(data, pa.binary()),
-            }
-
-        def filled(columns: dict, names: list[str], kinds: dict) -> pa.RecordBatch:
-            n = len(columns["__row"])
-            return pa.record_batch({c: columns[c] if c in columns else pa.nulls(n, kinds[c]) for c in names})
+            blank = [None] * len(asked)
+            made = pa.record_batch({
+                "chunk": pa.array([first] * (1 + len(asked)), pa.int64()),
+                "block": pa.array([-1, *(b for b, _ in asked)], pa.int32()),
+                "data": pa.array([chunk_state(sizes, words), *(lm.sent(*q) for q in asked)], pa.binary()),
+                "ids": pa.array([ids, *blank], pa.list_(id_type)),
+                "held": pa.array([held_out, *blank], pa.list_(pa.bool_())),
+            })
+            for x in (held, ids, held_out):
+                x.clear()
+            return made
 
+        size = 0
         for batch in slices(batches, 256):
-            texts = byte_texts(batch.column("text"))
-            if not texts:
-                continue
-            kinds = {
-                "__row": pa.int64(), "key": pa.binary(), "times": pa.int64(), "known": pa.int64(), "base": pa.float64(),
-                "doc_id": batch.column("doc_id").type, "held_out": pa.bool_(), "n_tokens": pa.int64(), "block": pa.int32(),
-                "data": pa.binary(),
-            }
-            names = list(kinds)
-            n_known, base, sizes, keys, times, n_tokens = [], [], [], [], [], []
-            for row, text in zip(batch.column("__row").to_pylist(), texts, strict=True):
+            columns = (batch.column(c).to_pylist() for c in ("__row", "doc_id", "held_out"))
+            for row, doc_id, out, text in zip(*columns, byte_texts(batch.column("text")), strict=True):
+                if not held:
+                    first = row
                 held.append(token_hashes(text))
-                held_rows.append(row)
-                n_tokens.append(len(held[-1]))
-                size += n_tokens[-1]
+                ids.append(doc_id)
+                held_out.append(out)
+                size += len(held[-1])
                 if size >= CHUNK:
-                    yield filled(chunk(), names, kinds)
+                    yield chunk()
                     size = 0
-                words = tokens_of(text)
-                rest, seen, total = 0, 0, 0.0
-                for word, n in Counter(words).items():
-                    c = known.get(word)
-                    if c is None:
-                        rest += 1
-                        keys.append(b"1" + word)
-                        times.append(n)
-                    else:
-                        seen += n
-                        total += n * math.log10((c + 1) / unit)
-                sizes.append(rest)
-                n_known.append(seen)
-                base.append(total)
-            row = batch.column("__row")
-            at = pa.array(np.repeat(np.arange(len(sizes)), sizes))
-            own = [b"0" + str(r).encode() for r in row.to_pylist()]
-            blank = len(keys)
-            yield filled({
-                "__row": pa.concat_arrays([row, row.take(at)]),
-                "key": pa.array(own + keys, pa.binary()),
-                "times": pa.array([0] * len(own) + times, pa.int64()),
-                "known": pa.array(n_known + [0] * blank, pa.int64()),
-                "base": pa.array(base + [0.0] * blank, pa.float64()),
-                "doc_id": pa.concat_arrays([batch.column("doc_id"), pa.nulls(blank, batch.column("doc_id").type)]),
-                "held_out": pa.concat_arrays([batch.column("held_out"), pa.nulls(blank, pa.bool_())]),
-                "n_tokens": pa.array(n_tokens + [None] * blank, pa.int64()),
-            }, names, kinds)
         if held:
-            yield filled(chunk(), names, kinds)
-
-    # Written, so that a row has one key in what follows.
-    asked = written(rows.mapInArrow(
-        run,
-        f"__row bigint, key binary, times bigint, known bigint, base double, doc_id {kind}, held_out boolean, "
-        "n_tokens bigint, block int, data binary",
-    ), "lm-questions")
-    tail = counts.select(F.concat(F.lit(b"1"), F.col("key")).alias("key"), F.col("n").alias("c"))
-    parts = asked.where(F.col("block").isNull()).drop("block", "data").join(tail, "key", "left")
-    parts = parts.unionByName(chunk_scores(asked, model), allowMissingColumns=True)
-    c = F.coalesce("c", F.lit(0))
-    summed_up = parts.groupBy("__row").agg(
-        F.max("doc_id").alias("doc_id"), F.max("held_out").alias("held_out"), F.max("n_tokens").alias("n_tokens"),
-        F.sum(F.col("known") + F.when(c > 0, F.col("times")).otherwise(0)).alias("n_known"),
-        F.sum(F.col("base") + F.col("times") * F.log10((c + 1) / F.lit(float(unit)))).alias("base_score"),
-        F.max("score").alias("score"),
+            yield chunk()
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Of blocks to chunks; a block's row comes before the questions to it, and a block
+        without an n-gram has no row."""
+        lm, none = Model(**plain), (bytes(LEAST_BITS // 8), 0, b"")
+        held, at = none, -1
+        waiting: list[tuple[int, np.ndarray]] = []
+
+        def answered() -> pa.RecordBatch:
+            got = lm.answer(at, held, np.concatenate([keys for _, keys in waiting]))
+            ends = np.cumsum([len(keys) for _, keys in waiting]).tolist()
+            made = pa.record_batch({
+                "chunk": pa.array([c for c, _ in waiting], pa.int64()), "block": pa.array([at] * len(waiting), pa.int32()),
+                "data": pa.array([got[b:e].tobytes() for b, e in zip([0, *ends], ends)], pa.binary()),
+            })
+            waiting.clear()
+            return made
+
+        size = 0
+        for block, chunk, data, top, contexts in table_rows(batches):
+            if waiting and (block != at or size >= PROBED):
+                yield answered()
+                size = 0
+            if block != at:
+                held, at = none, block
+            if chunk < 0:
+                held = data, top, contexts
+            else:
+                waiting.append((chunk, lm.received(block, data)))
+                size += len(waiting[-1][1])
+        if waiting:
+            yield answered()
+
+    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lm = Model(**plain)
+        for _, group in groupby(table_rows(batches), key=lambda r: r[0]):
+            (_, _, state, ids, held_out), *got = group
+            sizes, words = chunk_of(state)
+            starts = np.cumsum([0, *sizes])[:-1]
+            each, pairs, before, pair = lm.questions(words, starts)
+            word, *others = (np.searchsorted(*x) for x in ((each, words), (pairs, pair), (each, before)))
+            of_words, of_pairs = answers([g[1:3] for g in got], lm.word_blocks)
+            count = of_words["count"][word]
+            p = lm.probabilities(of_words, of_pairs, word, *others)
+            yield pa.record_batch({
+                "doc_id": pa.array(ids, id_type), "held_out": pa.array(held_out, pa.bool_()),
+                "n_tokens": pa.array(sizes, pa.int64()),
+                "n_known": pa.array(np.add.reduceat((count > 0).astype(np.int64), starts)),
+                "base_score": pa.array(np.add.reduceat(np.log10((count + 1) / unit), starts)),
+                "score": pa.array(np.add.reduceat(p, starts)),
+            })
+
+    lists = f"ids array<{kind}>, held array<boolean>"
+    asked = written(rows.mapInArrow(ask, f"chunk bigint, block int, data binary, {lists}"), "lm-questions")
+    blocks = model.blocks.select("block", F.lit(-1).cast("bigint").alias("chunk"), F.col("bits").alias("data"), "top", "contexts")
+    questions = asked.where("block >= 0").select("block", "chunk", "data")
+    dealt = blocks.unionByName(questions, allowMissingColumns=True).repartition("block").sortWithinPartitions("block", "chunk")
+    # Written, so that the questions' shuffle goes before the chunks' own.
+    got = written(dealt.mapInArrow(answer, "chunk bigint, block int, data binary"), "lm-answers")
+    both = asked.where("block = -1").unionByName(got, allowMissingColumns=True)
+    dealt = both.repartition("chunk").sortWithinPartitions("chunk", "block")
+    result = dealt.mapInArrow(
+        scored, f"doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double"
     )
-    return summed_up.select(
+    return result.select(
         "doc_id", "held_out", "n_tokens", "n_known", F.lit(model.tokens).cast("bigint").alias("train_tokens"),
         "base_score", "score",
     )
@@ -595,5 +580,5 @@ def lm_scores(docs: DataFrame, folds: int = 7, fold: int = 2, id_col: str = "doc
         F.col(id_col).alias("doc_id"), (left_out == fold).alias("held_out"), F.col(text_col).alias("text"),
         (left_out != fold).alias("__train"),
     )
-    model, counts = train(rows.where(F.col("__train") & F.col("doc_id").isNotNull()).select("text"), **how)
-    return score(with_row_key(rows.drop("__train")), model, counts)
+    model, _ = train(rows.where(F.col("__train") & F.col("doc_id").isNotNull()).select("text"), **how)
+    return score(with_row_key(rows.drop("__train")), model)
