@@ -18,8 +18,11 @@ The items' signatures and texts go to every task, in blocks of at most ``block``
 every block is set against all documents. Documents are read once a block and not
 shuffled.
 
-Defined results: words are lower-cased in A-Z; a text with fewer words than a shingle has
-one shingle, its whole sequence; null and empty items and texts match nothing; items
+An item of fewer words than a shingle has one shingle, all its words, and is contained where
+these follow each other in a document; such runs are looked up by their hash in all
+documents, at each length that such items have, and then compared as text.
+
+Defined results: words are lower-cased in A-Z; null and empty items and texts match nothing; items
 with a null id are not searched for; repeated items and repeated rows each give their
 pairs; other columns are kept as they are.
 """
@@ -33,6 +36,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from tillroll.llm.common import WORD_PATTERN, byte_texts, mixed, shingle_hashes, slices, word_hashes, word_shingles
 
@@ -63,13 +67,19 @@ class ItemIndex:
         self.shingles = [set(word_shingles(t.lower().split(), n)) for _, t in items]
         self.seeds = mixed(np.arange(1, bands(share) + 1, dtype=U64))
         rows = []
+        short: dict[int, dict[int, list[int]]] = {}
         for at, (_, text) in enumerate(items):
+            words = len(text.split())
             own = np.unique(hashed(text, n))
-            if len(own):
+            if 0 < words < n:
+                short.setdefault(words, {}).setdefault(int(own[0]), []).append(at)
+            elif words:
                 size = max(len(own) - 1, 0).bit_length()
                 signature = mixed(own[:, None] ^ self.seeds[None, :])
                 least = signature.argmin(axis=0)
                 rows += [(int(own[p]), size, k, int(signature[p, k]), at) for k, p in enumerate(least.tolist())]
+        #: Of items of fewer than ``n`` words, by that number: sorted hashes, and the items of each.
+        self.short = {m: (np.array(sorted(found), U64), found) for m, found in short.items()}
         rows.sort()
         self.shingle = np.array([r[0] for r in rows], U64)
         self.size, self.band = (np.array([r[c] for r in rows], np.int64) for c in (1, 2))
@@ -80,6 +90,8 @@ class ItemIndex:
 
     def candidates(self, shingles: np.ndarray) -> set[int]:
         """Places of the items of which a window of the document has a MinHash."""
+        if not len(self.shingle):
+            return set()
         at = np.flatnonzero(self.screen[shingles & U64(SCREEN - 1)])
         if not len(at):
             return set()
@@ -108,14 +120,28 @@ class ItemIndex:
                     found.add(item)
         return found
 
+    def short_candidates(self, words: np.ndarray) -> dict[int, set[int]]:
+        """By number of words, places of short items that a run of the document's hashes as."""
+        out: dict[int, set[int]] = {}
+        for m, (hashes, items) in self.short.items():
+            runs = mixed(shingle_hashes(words, m))
+            at = np.minimum(np.searchsorted(hashes, runs), len(hashes) - 1)
+            for h in np.unique(runs[hashes[at] == runs]).tolist():
+                out.setdefault(m, set()).update(items[h])
+        return out
+
     def matches(self, text: bytes) -> list[tuple[int, int]]:
         """(place of an item, shingles of it that the text has) of contained items."""
-        found = self.candidates(hashed(text, self.n))
-        if not found:
-            return []
-        own = set(word_shingles(text.lower().split(), self.n))
-        counted = [(i, len(self.shingles[i] & own)) for i in sorted(found)]
-        return [(i, c) for i, c in counted if c >= self.share * len(self.shingles[i]) - 1e-9]
+        words = word_hashes(text.lower())
+        found = self.candidates(mixed(shingle_hashes(words, self.n)))
+        by_length = {self.n: found, **self.short_candidates(words)} if self.short else {self.n: found}
+        out = []
+        for m, places in by_length.items():
+            if places:
+                own = set(word_shingles(text.lower().split(), m))
+                counted = [(i, len(self.shingles[i] & own)) for i in places]
+                out += [(i, c) for i, c in counted if c >= self.share * len(self.shingles[i]) - 1e-9]
+        return sorted(out)
 
 
 def item_blocks(items: DataFrame, block: int) -> Iterator[list[tuple[int, bytes]]]:
@@ -137,14 +163,15 @@ def contained_items(
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     kind, item_kind = rows.schema["doc_id"].dataType.simpleString(), items.schema["item_id"].dataType.simpleString()
     schema = f"doc_id {kind}, item_id {item_kind}, shared bigint, size bigint, containment double"
-    parts = [rows.mapInArrow(_pairs(docs, b, n, share), schema) for b in item_blocks(items, block)]
+    item_type = to_arrow_type(items.schema["item_id"].dataType)
+    parts = [rows.mapInArrow(_pairs(docs, b, n, share, item_type), schema) for b in item_blocks(items, block)]
     out = docs.sparkSession.createDataFrame([], schema)
     for part in parts:
         out = part if len(parts) == 1 else out.unionByName(part)
     return out
 
 
-def _pairs(docs: DataFrame, items: list, n: int, share: float):
+def _pairs(docs: DataFrame, items: list, n: int, share: float, item_type: pa.DataType):
     shared = docs.sparkSession.sparkContext.broadcast(items)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -159,7 +186,7 @@ def _pairs(docs: DataFrame, items: list, n: int, share: float):
                     size.append(len(index.shingles[i]))
             yield pa.record_batch({
                 "doc_id": batch.column("doc_id").take(pa.array(at, pa.int32())),
-                "item_id": pa.array(item, pa.int64()) if item else pa.array([], pa.int64()),
+                "item_id": pa.array(item, item_type),
                 "shared": pa.array(common, pa.int64()), "size": pa.array(size, pa.int64()),
                 "containment": pa.array([c / s for c, s in zip(common, size, strict=True)], pa.float64()),
             })

@@ -198,10 +198,14 @@ select doc_id, domain, lang, source, tokens as n_tokens,
 with dw as (select doc_id, rowid_ as r, {_LOWER_WORDS} as ws from (select *, row_number() over () as rowid_ from documents)),
 iw as (select item_id, rowid_ as r, {_LOWER_WORDS} as ws from (select *, row_number() over () as rowid_ from benchmark) where item_id is not null),
 ds as (select distinct r, doc_id, array_to_string(ws[i:i + 4], ' ') as s from dw, unnest(range(1, greatest(len(ws) - 4, 1) + 1)) as t(i) where len(ws) > 0),
+short as (select distinct len(ws) as m from iw where len(ws) between 1 and 4),
+dr as (select distinct r, doc_id, array_to_string(ws[i:i + m - 1], ' ') as s from dw, short, unnest(range(1, len(ws) - m + 2)) as t(i)
+  where len(ws) >= m),
+ds_all as (select * from ds union select * from dr),
 its as (select distinct r, item_id, array_to_string(ws[i:i + 4], ' ') as s from iw, unnest(range(1, greatest(len(ws) - 4, 1) + 1)) as t(i) where len(ws) > 0),
 n as (select r, count(*) as size from its group by r),
 m as (select d.r as dr, i.r as ir, any_value(doc_id) as doc_id, any_value(item_id) as item_id, count(*) as shared
-  from ds d join its i using (s) group by all)
+  from ds_all d join its i using (s) group by all)
 select doc_id, item_id, shared, size, shared / cast(size as double) as containment
 from m join n on m.ir = n.r where shared >= 0.8 * size - 1e-9""",
     "op9_substring_dedup": f"""
