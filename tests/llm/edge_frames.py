@@ -7,9 +7,12 @@ import random
 SCHEMA = (
     "doc_id bigint, text string, lang string, source string, n_chars bigint, score double, keep_id string, "
     "digest string, size int, shard string, block string, fp string, root string, tokens string, domain string, "
-    "key string, label string, anchors string, n int, copies string"
+    "key string, label string, anchors string, n int, copies string, __id string, __tokens string, __row int, "
+    "__domain string, __fp string, __copies string, row string"
+)
+EXTRAS = (
+    0.5, "k", "d", 3, "s", "b", "f", "r", "t", "dom", "key", "lab", "a", 1, "c", "id", "tok", 7, "d2", "f2", "c2", "r2",
 )
-EXTRAS = (0.5, "k", "d", 3, "s", "b", "f", "r", "t", "dom", "key", "lab", "a", 1, "c")
 
 
 def words(seed: int, n: int, vocabulary: int = 4000) -> str:

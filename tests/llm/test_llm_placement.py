@@ -14,7 +14,7 @@ from compare import compare, duckdb_connection
 from edge_frames import edge_docs, edge_texts, ordered, tuples, words
 from pyspark.sql import functions as F
 
-from tillroll.llm import queries
+from tillroll.llm import common, queries
 from tillroll.llm.decontaminate import ItemIndex, bands, contained_items, decontaminated, hashed, item_blocks
 from tillroll.llm.mixing import leaf_budgets, mixed_documents, with_copies
 from tillroll.llm.sharding import even, min_cost_flow, reshard, reshard_store, resharded_store, stay, write_store
@@ -80,9 +80,10 @@ def test_mixing_edges(spark):
     mixed = mixed_documents(docs, F.lit("d"), share=0.6, max_epochs=3)
     assert mixed.columns == docs.columns
     copies = Counter()
+    names = [c for c in docs.columns if not c.startswith("__")]  # others are the mix's own in ``rows``
     for r in rows.collect():
-        copies[str([r[c] for c in docs.columns])] += r["__copies"]
-    assert Counter(str(list(r)) for r in mixed.collect()) == +copies
+        copies[str([r[c] for c in names])] += r["__copies"]
+    assert Counter(str([r[c] for c in names]) for r in mixed.collect()) == +copies
     assert mixed_documents(edge_docs(spark, []), F.lit("d")).count() == 0
     # With enough budget every row passes max_epochs times.
     assert {r["__copies"] for r in with_copies(docs, F.lit("d"), share=9.0, max_epochs=2).where("__tokens > 0").collect()} == {2}
@@ -156,6 +157,21 @@ def test_candidates_come_from_equal_minima_of_one_window():
     assert index.candidates(hashed(words(4, 2000).encode(), 5)) == set()
 
 
+def test_short_items_inside_longer_texts(spark):
+    """Items of fewer words than a shingle are found wherever their words follow each other."""
+    items = spark.createDataFrame(
+        [("a", "red green blue"), ("b", "Green"), ("c", "blue red"), ("d", ""), ("e", "red green blue")], "item_id string, text string"
+    )
+    rows = [
+        (1, "one two three four RED green\tblue five six seven eight", "en", "s"), (2, "red green", "en", "s"),
+        (3, "red  green blue", "en", "s"), (4, "greens blue red", "en", "s"), (5, None, "en", "s"),
+    ]
+    got = sorted(tuples(contained_items(edge_docs(spark, rows), items), "doc_id", "item_id", "shared", "size"))
+    expected = [(1, "a"), (1, "b"), (1, "e"), (2, "b"), (3, "a"), (3, "b"), (3, "e"), (4, "c")]
+    assert got == [(*x, 1, 1) for x in expected]
+    assert [r["doc_id"] for r in decontaminated(edge_docs(spark, rows), items).collect()] == [5]
+
+
 # Sharding
 
 
@@ -270,6 +286,19 @@ def test_pipeline_stages_take_edges(spark):
         assert corpus_pipeline.STAGES[-1][1](spark, frame, SF).count() == len(rows)
 
 
+def test_intermediates_go_with_their_stage(spark, monkeypatch):
+    removed = []
+    monkeypatch.setattr(common, "remove_path", lambda spark, path: removed.append(path))
+    made = []
+    plain = common.scratch_path
+    monkeypatch.setattr(common, "scratch_path", lambda spark, name: made.append(plain(spark, name)) or made[-1])
+    corpus_pipeline.run(spark, "/root/testdata/sf0.001").count()
+    kept = [p for p in made if p not in removed]
+    last = [n for n, _ in corpus_pipeline.STAGES][-2]
+    own = {"blocks", "assigned", "stored-rows"}
+    assert removed and {os.path.basename(p).rsplit("-", 1)[0] for p in kept} == {last, *own}
+
+
 def test_pipeline_runs_all_stages(spark):
     out = corpus_pipeline.run(spark, SF).toPandas()
     assert 300 < len(out) < 1500 and set(out["shard"]) <= set(range(24))

@@ -7,6 +7,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -14,7 +15,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.session import scratch_path
+from tillroll.session import remove_path, scratch_path
 
 # Words of the contracts: maximal runs of bytes other than space and \x09-\x0D.
 # ``bytes.split()`` splits at exactly those six bytes, and ``bytes.lower()``
@@ -30,11 +31,31 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
+#: Paths that ``written`` made, one list for each ``intermediates`` that is open.
+_MADE: list[list[str]] = []
+
+
+@contextmanager
+def intermediates(spark: SparkSession) -> Iterator[list[str]]:
+    """Collects the paths that ``written`` makes inside, and removes those that are left in the
+    list at the end; on an error they stay."""
+    made: list[str] = []
+    _MADE.append(made)
+    try:
+        yield made
+    finally:
+        _MADE.remove(made)
+    for path in made:
+        remove_path(spark, path)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read back: a lineage cut that survives
     lost executors. The shuffle files behind it are of no more use and go at once."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    for made in _MADE:
+        made.append(path)
     before = spark.conf.get(CLEANUP, "false")
     spark.conf.set(CLEANUP, "true")
     try:

@@ -109,7 +109,9 @@ def with_copies(
     lang_col: str = "lang", source_col: str = "source",
 ) -> DataFrame:
     """``docs`` with __domain, __lang, __source, __tokens and __copies: how often the mix holds
-    the row. The budget is ``share`` of all tokens."""
+    the row. The budget is ``share`` of all tokens. Columns of ``docs`` that have one of these
+    names, or __full or __cut, are left out."""
+    docs = docs.drop("__domain", "__lang", "__source", "__tokens", "__copies", "__full", "__cut")
     leaf = {
         "__domain": F.coalesce(domain, F.lit("")), "__lang": F.coalesce(F.col(lang_col).cast("string"), F.lit("")),
         "__source": F.coalesce(F.col(source_col).cast("string"), F.lit("")),
@@ -129,7 +131,15 @@ def with_copies(
     return rows.join(cuts, list(leaf)).withColumn("__copies", copies.cast("int")).drop("__full", "__cut")
 
 
-def mixed_documents(docs: DataFrame, domain: Column, **how) -> DataFrame:
+def mixed_documents(
+    docs: DataFrame, domain: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
+    source_col: str = "source", **how,
+) -> DataFrame:
     """The mix: rows of ``docs``, each as often as the mix holds it."""
-    rows = with_copies(docs, domain, **how).where("__copies > 0")
-    return rows.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*docs.columns)
+    # The row goes along as one column, so that no other has a name of its own.
+    rows = docs.select(
+        F.struct("*").alias("row"), F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"),
+        F.col(lang_col).alias("lang"), F.col(source_col).alias("source"), domain.alias("of_domain"),
+    )
+    mixed = with_copies(rows, F.col("of_domain"), **how).where("__copies > 0")
+    return mixed.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select("row.*")

@@ -310,6 +310,16 @@ def simhash_dedup(
     """The rows of ``docs`` with one row of each component: that with the least id. Ids
     that have several rows are settled row by row: where more than one of a component
     has the least id, the least in the order of all columns stays."""
+    # Names that no column of this operator has.
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    plain = dict(zip(docs.columns, names, strict=True))
+    kept = _deduped(docs.toDF(*names), shingle, max_bits, plain[id_col], plain[text_col], nodes, most_node)
+    return kept.toDF(*docs.columns)
+
+
+def _deduped(
+    docs: DataFrame, shingle: int, max_bits: int, id_col: str, text_col: str, nodes: int, most_node: int
+) -> DataFrame:
     rows, groups = simhash_groups(docs, shingle, max_bits, id_col, text_col, nodes, most_node)
     groups = written(groups, "groups")
     least = rows.join(groups, "fp").groupBy(F.col("doc_id").alias("__id")).agg(
