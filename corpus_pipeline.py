@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.llm.common import read_table, written
+from tillroll.llm.common import intermediates, read_table, written
 from tillroll.llm.decontaminate import decontaminated
 from tillroll.llm.language_id import language_filter
 from tillroll.llm.mixing import mixed_documents
@@ -57,7 +57,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents")
+    """The last stage's rows. What a stage wrote goes once its result is written, and a
+    stage's result once the next one has it; the last stage's store and tables stay."""
+    docs, last = read_table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), name)
+        with intermediates(spark) as made:
+            docs = written(stage(spark, docs, sf_dir), name)
+            result = made.pop()
+            made += [last] if last else []
+        last = result
     return STAGES[-1][1](spark, docs, sf_dir)
