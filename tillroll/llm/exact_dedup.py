@@ -71,8 +71,10 @@ class DigestIndex:
         fresh = groups.join(known, "digest", "left_anti").withColumn("is_new", F.lit(True))
         again = groups.join(known, "digest", "left_semi").withColumn("is_new", F.lit(False))
         both = fresh.unionByName(again).withColumn("batch", F.lit(batch))
-        # Written in one go, so that a failed batch leaves nothing behind.
-        both.repartition(self.buckets, "digest").write.insertInto(self.table)
+        # Dealt by Spark's own bucket number, so that a bucket is one file of the batch whatever the
+        # number of tasks; written in one go, so that a failed batch leaves nothing behind.
+        bucket = F.pmod(F.hash("digest"), F.lit(self.buckets))
+        both.repartition(self.buckets, bucket).write.insertInto(self.table)
         self.spark.catalog.refreshTable(self.table)
         return self.stored().where((F.col("batch") == batch) & F.col("is_new"))
 
