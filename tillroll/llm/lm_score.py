@@ -465,23 +465,16 @@ def score(rows: DataFrame, model: Model) -> DataFrame:
     id_type = to_arrow_type(rows.schema["doc_id"].dataType)
     kind = rows.schema["doc_id"].dataType.simpleString()
 
-    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Each chunk's rows and words, and its questions to the blocks."""
-        lm = Model(**plain)
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The chunks: their rows and words."""
         held: list[np.ndarray] = []
         ids, held_out, first = [], [], None
 
         def chunk() -> pa.RecordBatch:
-            words, sizes = np.concatenate(held), [len(h) for h in held]
-            each, pairs, *_ = lm.questions(words, np.cumsum([0, *sizes])[:-1])
-            asked = list(lm.asked(each, pairs))
-            blank = [None] * len(asked)
             made = pa.record_batch({
-                "chunk": pa.array([first] * (1 + len(asked)), pa.int64()),
-                "block": pa.array([-1, *(b for b, _ in asked)], pa.int32()),
-                "data": pa.array([chunk_state(sizes, words), *(lm.sent(*q) for q in asked)], pa.binary()),
-                "ids": pa.array([ids, *blank], pa.list_(id_type)),
-                "held": pa.array([held_out, *blank], pa.list_(pa.bool_())),
+                "chunk": pa.array([first], pa.int64()),
+                "data": pa.array([chunk_state([len(h) for h in held], np.concatenate(held))], pa.binary()),
+                "ids": pa.array([ids], pa.list_(id_type)), "held": pa.array([held_out], pa.list_(pa.bool_())),
             })
             for x in (held, ids, held_out):
                 x.clear()
@@ -503,6 +496,18 @@ def score(rows: DataFrame, model: Model) -> DataFrame:
         if held:
             yield chunk()
 
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The questions of chunks to blocks."""
+        lm = Model(**plain)
+        for chunk, data in table_rows(batches):
+            sizes, words = chunk_of(data)
+            each, pairs, *_ = lm.questions(words, np.cumsum([0, *sizes])[:-1])
+            asked = list(lm.asked(each, pairs))
+            yield pa.record_batch({
+                "block": pa.array([b for b, _ in asked], pa.int32()), "chunk": pa.array([chunk] * len(asked), pa.int64()),
+                "data": pa.array([lm.sent(*q) for q in asked], pa.binary()),
+            })
+
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Of blocks to chunks; a block's row comes before the questions to it, and a block
         without an n-gram has no row."""
@@ -554,14 +559,16 @@ def score(rows: DataFrame, model: Model) -> DataFrame:
                 "score": pa.array(np.add.reduceat(p, starts)),
             })
 
-    lists = f"ids array<{kind}>, held array<boolean>"
-    asked = written(rows.mapInArrow(ask, f"chunk bigint, block int, data binary, {lists}"), "lm-questions")
+    # Written without their questions, which are made again where they are shuffled.
+    chunks = written(
+        rows.mapInArrow(cut, f"chunk bigint, data binary, ids array<{kind}>, held array<boolean>"), "lm-chunks"
+    )
     blocks = model.blocks.select("block", F.lit(-1).cast("bigint").alias("chunk"), F.col("bits").alias("data"), "top", "contexts")
-    questions = asked.where("block >= 0").select("block", "chunk", "data")
+    questions = chunks.select("chunk", "data").mapInArrow(ask, "block int, chunk bigint, data binary")
     dealt = blocks.unionByName(questions, allowMissingColumns=True).repartition("block").sortWithinPartitions("block", "chunk")
     # Written, so that the questions' shuffle goes before the chunks' own.
     got = written(dealt.mapInArrow(answer, "chunk bigint, block int, data binary"), "lm-answers")
-    both = asked.where("block = -1").unionByName(got, allowMissingColumns=True)
+    both = chunks.select("chunk", F.lit(-1).alias("block"), "data", "ids", "held").unionByName(got, allowMissingColumns=True)
     dealt = both.repartition("chunk").sortWithinPartitions("chunk", "block")
     result = dealt.mapInArrow(
         scored, f"doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double"
