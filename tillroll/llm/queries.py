@@ -220,8 +220,8 @@ select doc_id, cast(coalesce(n_words, 0) as bigint) as n_words, cast(coalesce(n_
   sha256(coalesce(kept, '')) as kept_sha256 from w left join a using (r)""",
     "op11_suffix_dedup": """
 with d as (select doc_id, row_number() over () as r, hex(encode(coalesce(text, ''))) as x from documents),
-g as (select doc_id, r, i, md5_number(substr(x, 2 * i + 1, 200)) as k from d, unnest(range(0, len(x) // 2 - 99)) as t(i)),
-v as (select r, i from (select r, i, row_number() over (partition by k order by doc_id, i) as place from g) where place > 1),
+g as (select doc_id, r, unnest([{'i': i, 'k': md5_number(substr(x, 2 * i + 1, 200))} for i in range(0, len(x) // 2 - 99)]) as w from d),
+v as (select r, i from (select r, w.i as i, row_number() over (partition by w.k order by doc_id, w.i) as place from g) where place > 1),
 n as (select r, i, i > lag(i) over (partition by r order by i) + 100 as gap from v),
 s as (select r, i, sum(case when gap is null or gap then 1 else 0 end) over (partition by r order by i) as span from n),
 runs as (select r, span, min(i) as a, max(i) + 100 as b from s group by all),
