@@ -47,7 +47,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from tillroll.llm.common import (
-    byte_texts, count_rows, fold_remainder, mixed, slices, with_row_key, word_hashes, written,
+    byte_texts, count_rows, fold_remainder, intermediates, mixed, slices, with_row_key, word_hashes, written,
 )
 
 U64 = np.uint64
@@ -425,10 +425,13 @@ def train(
         F.count("*"), F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum(F.pow(F.lit(base), level)), F.lit(0.0))
     ).first()
     n_words, n_pairs = max(1, -(-types // WORDS_IN_BLOCK)), max(1, -(-tokens // PAIRS_IN_BLOCK))
-    made = written(pair_blocks(pair_parts(rows, n_pairs), n_words, least, base, bits_each, hashes), "pair-blocks")
-    masses = made.where(F.col("bits").isNull()).select("block", "keys", "sums")
-    words = written(word_blocks_of(counts, masses, n_words, least, context_least, base, bits_each, hashes), "word-blocks")
-    blocks = words.unionByName(made.where(F.col("bits").isNotNull()).select(*words.columns))
+    with intermediates(rows.sparkSession) as own:
+        made = written(pair_blocks(pair_parts(rows, n_pairs), n_words, least, base, bits_each, hashes), "pair-blocks")
+        masses = made.where(F.col("bits").isNull()).select("block", "keys", "sums")
+        words = written(word_blocks_of(counts, masses, n_words, least, context_least, base, bits_each, hashes), "word-blocks")
+        pairs = written(made.where(F.col("bits").isNotNull()).select(*words.columns), "pair-bits")
+        del own[1:]  # only the first table goes: the masses are of no more use
+    blocks = words.unionByName(pairs)
     rest = float(tokens - held_tokens) + 1.0
     total = read_back * math.sqrt(base) + rest
     model = Model(
