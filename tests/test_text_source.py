@@ -9,9 +9,10 @@ from frames import frame, rows_of, sale
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from tillroll.plans.inspect import plan_summary
 from tillroll.plans.reports import REPORTS
 from tillroll.schema import FIELD_POSITIONS, MEASURES, RAW_WIDTH, SALES_COLUMNS
-from tillroll.sources import header_line, read_sales_fact, read_sales_text, to_sales_lines, write_sales_fact
+from tillroll.sources import header_line, read_sales_fact, read_sales_text, to_sales_lines, with_headers, write_sales_fact
 
 
 def _write_lines(path: str, lines: list[str]) -> None:
@@ -189,3 +190,18 @@ def test_empty_date_has_no_year_in_both_paths(spark, scratch):
     for sales in (direct, fact):
         out = REPORTS["mobile_completeness"].run(sales, "2016")
         assert sum(r["Count"] for r in out.collect()) == 1
+
+
+def test_every_file_starts_with_its_header(spark, scratch):
+    lines = spark.range(700, numPartitions=7).select(F.concat(F.lit("line,"), F.col("id")).alias("value"))
+    with_headers(lines, "a,header").write.text(scratch + "/headed")
+    written = spark.read.text(scratch + "/headed").select("value", F.input_file_name().alias("file"))
+    files = {}
+    for r in written.collect():
+        files.setdefault(r["file"], []).append(r["value"])
+    assert len(files) == 7  # as many as tasks, not a fixed number
+    assert all(f[0] == "a,header" and "a,header" not in f[1:] for f in files.values())
+    assert sorted(v for f in files.values() for v in f[1:]) == sorted(f"line,{i}" for i in range(700))
+    # The lines stay in their tasks.
+    assert plan_summary(with_headers(lines, "a,header"))["exchanges"] == 0
+    assert with_headers(lines.limit(0), "a,header").count() == 0

@@ -9,6 +9,7 @@ from tillroll.sources.text import (
     read_sales_text,
     rejected_lines,
     to_sales_lines,
+    with_headers,
 )
 
 # O1 under its catalogue name.
@@ -26,6 +27,7 @@ __all__ = [
     "sales_from_tables",
     "stamp",
     "to_sales_lines",
+    "with_headers",
     "write_report",
     "write_reports",
     "write_sales_fact",

@@ -125,6 +125,18 @@ def header_line() -> str:
     return ",".join(names.get(i, f"unused_{i}") for i in range(RAW_WIDTH))
 
 
+def with_headers(lines: DataFrame, header: str) -> DataFrame:
+    """The lines (``value``) as :meth:`DataFrameWriter.text` has to write them so that every file
+    starts with ``header``.
+
+    A task writes one file, so the header goes before the first line of each task; the lines stay
+    where they are, whatever their number, and nothing is shuffled.
+    """
+    row_of_task = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    value = F.col("value")
+    return lines.select(F.when(row_of_task == 0, F.concat(F.lit(f"{header}\n"), value)).otherwise(value).alias("value"))
+
+
 def to_sales_lines(sales: DataFrame) -> DataFrame:
     """The inverse of :func:`parse_sales_lines`: typed sale lines to raw text rows."""
     names = {p: n for n, p in FIELD_POSITIONS.items()}
