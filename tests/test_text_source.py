@@ -9,7 +9,7 @@ from frames import frame, rows_of, sale
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from tillroll.plans.inspect import plan_summary
+from tillroll.plans.inspect import plan_summary, plan_text
 from tillroll.plans.reports import REPORTS
 from tillroll.schema import FIELD_POSITIONS, MEASURES, RAW_WIDTH, SALES_COLUMNS
 from tillroll.sources import header_line, read_sales_fact, read_sales_text, to_sales_lines, with_headers, write_sales_fact
@@ -205,3 +205,12 @@ def test_every_file_starts_with_its_header(spark, scratch):
     # The lines stay in their tasks.
     assert plan_summary(with_headers(lines, "a,header"))["exchanges"] == 0
     assert with_headers(lines.limit(0), "a,header").count() == 0
+
+
+def test_a_line_is_split_and_parsed_once(spark, scratch):
+    path = os.path.join(scratch, "sales.csv")
+    _write_lines(path, [header_line(), _line()])
+    plan = plan_text(REPORTS["daily_quantity"].run(read_sales_text(spark, path), "2016"), "extended")
+    physical = plan[plan.index("== Physical Plan =="):]
+    assert physical.count("split(") == 1 and physical.count("try_to_date") == 1
+    assert physical.count("try_cast(") == len(MEASURES)

@@ -37,42 +37,64 @@ def _measure(raw: Column) -> Column:
     return raw.try_cast(T.LongType())
 
 
-def _unreadable_date(sale_date: Column) -> Column:
+def _once(value: Column) -> Column:
+    """``value`` as a generator of one row, for ``select``.
+
+    The optimizer writes a column's expression into every filter and column above that
+    names it, and a filter evaluates each of these copies for itself. It does so past a
+    projection but not past a generator, so what is costly is evaluated once a line. The
+    code generated for many copies is also too long for the JVM to compile.
+    """
+    return F.explode(F.array(value))
+
+
+def _split_lines(lines: DataFrame, header: str | None) -> DataFrame:
+    """``value, parts, day, *MEASURES``: the lines that are not empty nor the header, their
+    fields, and the parsed ones among them: null for an empty or unreadable field."""
+    value = F.col("value")
+    kept = lines.filter(value != "")
+    if header is not None:
+        kept = kept.filter(value != header)
+    split = kept.select("value", _once(F.split(value, ",", -1)).alias("parts"))
+    parts = F.col("parts")
     # Text after the day, such as a time, is let through, as the source's parser does.
-    return (sale_date != "") & F.try_to_date(F.substring(sale_date, 1, 10), DATE_FORMAT).isNull()
+    day = F.try_to_date(F.substring(_field(parts, FIELD_POSITIONS["sale_date"]), 1, 10), DATE_FORMAT)
+    measures = (_measure(_field(parts, FIELD_POSITIONS[n])).alias(n) for n in MEASURES)
+    return split.select("value", "parts", F.inline(F.array(F.struct(day.alias("day"), *measures))))
+
+
+def _unreadable(name: str, parsed: str) -> Column:
+    """Whether the field is not empty and yet ``parsed`` from it has no value."""
+    return (_field(F.col("parts"), FIELD_POSITIONS[name]) != "") & F.col(parsed).isNull()
 
 
 def _sale_year(sale_date: Column) -> Column:
     # An empty date has no year (null), so the year rule drops the line; this
     # also survives a round trip through a year-partitioned table, where an
     # empty partition value would come back as null anyway.
-    return F.when((sale_date != "") & ~_unreadable_date(sale_date), year_text(sale_date))
+    return F.when((sale_date != "") & F.col("day").isNotNull(), year_text(sale_date))
 
 
-def _bad_fields(parts: Column) -> Column:
-    """Names of the line's unreadable fields, each between commas; null for none."""
-    bad = {n: (raw != "") & _measure(raw).isNull() for n in MEASURES for raw in [_field(parts, FIELD_POSITIONS[n])]}
-    bad["sale_date"] = _unreadable_date(_field(parts, FIELD_POSITIONS["sale_date"]))
-    names = F.concat_ws(",", *(F.when(c, F.lit(n)) for n, c in bad.items()))
-    return F.when(names != "", F.concat(F.lit(","), names, F.lit(",")))
+def _bad_names() -> Column:
+    """Names of the line's unreadable fields, each between commas; one comma for none."""
+    bad = {n: _unreadable(n, n) for n in MEASURES} | {"sale_date": _unreadable("sale_date", "day")}
+    return F.concat_ws("", F.lit(","), *(F.when(c, F.lit(f"{n},")) for n, c in bad.items()))
 
 
 def parse_sales_lines(lines: DataFrame, header: str | None, mode: str = "strict") -> DataFrame:
     """Typed sale lines from a one-column (``value``) DataFrame of raw lines."""
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, got {mode!r}")
-    value = F.col("value")
-    kept = lines.filter(value != "")
-    if header is not None:
-        kept = kept.filter(value != header)
-    parts = F.split(value, ",", -1)
-    columns = []
-    for name, position in FIELD_POSITIONS.items():
-        raw = _field(parts, position)
-        columns.append((_measure(raw) if name in MEASURES else raw).alias(name))
-    bad = _bad_fields(parts) if mode == "strict" else F.lit(None).cast(T.StringType())
-    typed = kept.select(*columns, bad.alias(BAD_FIELDS))
-    return typed.withColumn("sale_year", _sale_year(F.col("sale_date"))).select(*SALES_COLUMNS)
+    split = _split_lines(lines, header)
+    if mode == "strict":
+        split = split.select("parts", "day", *MEASURES, _once(_bad_names()).alias("names"))
+        bad = F.when(F.col("names") != ",", F.col("names"))
+    else:
+        bad = F.lit(None).cast(T.StringType())
+    raw = {name: _field(F.col("parts"), position) for name, position in FIELD_POSITIONS.items()}
+    columns = (name if name in MEASURES else value.alias(name) for name, value in raw.items())
+    year = _sale_year(raw["sale_date"])
+    return split.select(*columns, bad.alias(BAD_FIELDS), year.alias("sale_year")).select(*SALES_COLUMNS)
 
 
 def first_line(lines: DataFrame) -> str | None:
@@ -103,20 +125,11 @@ def rejected_lines(lines: DataFrame, header: str | None) -> DataFrame:
     ``dd-MM-yyyy``), so a run can count or store its rejects next to its
     reports. Distributed like the parse itself; nothing is collected.
     """
-    value = F.col("value")
-    kept = lines.filter(value != "")
-    if header is not None:
-        kept = kept.filter(value != header)
-    parts = F.split(value, ",", -1)
-    reasons = []
-    for name in MEASURES:
-        raw = _field(parts, FIELD_POSITIONS[name])
-        bad = (raw != "") & raw.try_cast(T.LongType()).isNull()
-        reasons.append(F.when(bad, F.lit(f"{name} is not a number")))
-    sale_date = _field(parts, FIELD_POSITIONS["sale_date"])
-    reasons.append(F.when(_unreadable_date(sale_date), F.lit("sale_date is not dd-MM-yyyy")))
+    split = _split_lines(lines, header)
+    reasons = [F.when(_unreadable(name, name), F.lit(f"{name} is not a number")) for name in MEASURES]
+    reasons.append(F.when(_unreadable("sale_date", "day"), F.lit("sale_date is not dd-MM-yyyy")))
     reason = F.concat_ws("; ", *reasons)
-    return kept.select(value, reason.alias("reason")).filter(F.col("reason") != "")
+    return split.select("value", reason.alias("reason")).filter(F.col("reason") != "")
 
 
 def header_line() -> str:
