@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tillroll.plans.inspect import plan_summary, plan_text
 from tillroll.plans.reports import REPORTS
 from tillroll.schema import FIELD_POSITIONS, MEASURES, RAW_WIDTH, SALES_COLUMNS
-from tillroll.sources import header_line, read_sales_fact, read_sales_text, to_sales_lines, with_headers, write_sales_fact
+from tillroll.sources import header_line, parse_sales_lines, read_sales_fact, read_sales_text, to_sales_lines, with_headers, write_sales_fact
 
 
 def _write_lines(path: str, lines: list[str]) -> None:
@@ -214,3 +214,11 @@ def test_a_line_is_split_and_parsed_once(spark, scratch):
     physical = plan[plan.index("== Physical Plan =="):]
     assert physical.count("split(") == 1 and physical.count("try_to_date") == 1
     assert physical.count("try_cast(") == len(MEASURES)
+
+
+def test_rendered_lines_are_made_once_for_the_parse(spark):
+    rows = frame(spark, sale(bill_no="7"), sale(bill_no="8")).withColumn("bill_no", F.concat("bill_no", F.lit("-shown")))
+    parsed = parse_sales_lines(to_sales_lines(rows), header_line())
+    plan = plan_text(parsed, "extended")
+    assert plan[plan.index("== Physical Plan =="):].count("-shown") <= 1
+    assert sorted(r["bill_no"] for r in parsed.collect()) == ["7-shown", "8-shown"]

@@ -160,4 +160,4 @@ def to_sales_lines(sales: DataFrame) -> DataFrame:
             fields.append(F.lit(""))
         else:
             fields.append(F.coalesce(F.col(name).cast(T.StringType()), F.lit("")))
-    return sales.select(F.concat_ws(",", *fields).alias("value"))
+    return sales.select(_once(F.concat_ws(",", *fields)).alias("value"))
