@@ -22,7 +22,7 @@ from tillroll.operators.top_groups import top_items_by
 from tillroll.plans.lattice import NODE_OF, answer, store_lattice
 from tillroll.plans.reports import GEO, REPORTS, named_averages
 from tillroll.session import scratch_path
-from tillroll.sources.tables import read_table, sales_from_tables
+from tillroll.sources.tables import read_table, sales_from_tables, spread_lines
 from tillroll.streaming.events import sessions, window_sums
 from tillroll.streaming.state_stream import AVERAGES
 
@@ -137,14 +137,15 @@ def reconciled_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sketched_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact bills and lines of every zone, and whether the estimates from the sketches kept by
     day are as near as they promise."""
-    sales = sales_from_tables(spark, sf_dir).select("sale_date", "zone", "bill_no", "amount")
+    lines = sales_from_tables(spark, sf_dir)
     path = scratch_path(spark, "sketches")
-    daily_sketches(sales, ("zone",)).write.parquet(path)
+    daily_sketches(lines.select("sale_date", "zone", "bill_no", "amount"), ("zone",)).write.parquet(path)
     kept = spark.read.parquet(path)
     estimates = merged_bills(kept, ("zone",)).withColumnRenamed("bills", "estimate").join(
         merged_quantiles(kept, ("zone",), (0.5,)), "zone"
     )
-    exact = sales.join(estimates, "zone").groupBy("zone").agg(
+    # The estimates have one row per zone. A shuffle by zone would put a zone's lines into one task.
+    exact = spread_lines(lines).join(F.broadcast(estimates), "zone").groupBy("zone").agg(
         F.countDistinct("bill_no").alias("bills"), F.count("amount").alias("lines"),
         F.first("estimate").alias("estimate"), F.first("bound").alias("bound"),
         F.count_if(F.col("amount") < F.col("quantiles")[0]).alias("below"),

@@ -116,3 +116,15 @@ def sales_from_tables(spark: SparkSession, tables_dir: str) -> DataFrame:
     )
     sales = sales.withColumn(BAD_FIELDS, F.lit(None).cast(T.StringType()))
     return sales.withColumn("sale_year", year_text("sale_date")).select(*SALES_COLUMNS)
+
+
+def spread_lines(sales: DataFrame) -> DataFrame:
+    """The same sale lines, dealt anew by bill and item, for aggregates with about one group per line.
+
+    Such an aggregate holds a group for each line of its task. Right after the joins it would share the task
+    with the joins' sorts, and the task's size is measured before the joins widen the lines. Dealt anew,
+    the lines are measured as they are aggregated, and the joins' memory is free by then. No aggregate
+    has both among its keys, so a group holding many lines is still many tasks, and AQE splits
+    what is larger than its advisory size.
+    """
+    return sales.hint("rebalance", "bill_no", "item_code")
