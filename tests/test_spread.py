@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pytest
 from compare import compare
 from frames import frame, rows_of, sale
 
@@ -24,3 +25,11 @@ def test_zones_meet_their_estimates_without_a_shuffle_by_zone(spark, duck):
     # By zone alone only groups are dealt: to be joined, lines would be sorted by it.
     assert "Sort [zone" not in plan_text(df, "simple")
     assert compare(df, duck, entry.oracle_sql()["sketched_zones"]) is None
+
+
+@pytest.mark.parametrize("name", ["zone_item_ranking", "item_ranking"])
+def test_lines_are_dealt_anew_before_many_groups(spark, duck, name):
+    df = entry.queries()[name](spark, SF)
+    plan = plan_text(df)
+    assert plan.count("REBALANCE_PARTITIONS_BY_COL") == 1 and plan.count("ENSURE_REQUIREMENTS") > 1
+    assert compare(df, duck, entry.oracle_sql()[name]) is None

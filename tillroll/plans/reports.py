@@ -67,6 +67,9 @@ REPORTS: dict[str, Report] = {}
 # Reports that are ranked, and so can be cut to their first rows.
 RANKINGS = ("item_ranking", "zone_item_ranking")
 
+# Reports that group by item and place, with about one group per sale line.
+MANY_GROUPS = RANKINGS
+
 
 def _report(
     name: str, description: str, non_empty: tuple[str, ...] = (), year_rule: bool = True, reads: tuple[str, ...] = ()
