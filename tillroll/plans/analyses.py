@@ -66,7 +66,7 @@ def state_query(report: str) -> Query:
 
 def top_items_by_site(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten items with the most sale lines of every site."""
-    return top_items_by(sales_from_tables(spark, sf_dir), GEO, 10)
+    return top_items_by(spread_lines(sales_from_tables(spark, sf_dir)), GEO, 10)
 
 
 def top_items_by_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
