@@ -67,8 +67,8 @@ REPORTS: dict[str, Report] = {}
 # Reports that are ranked, and so can be cut to their first rows.
 RANKINGS = ("item_ranking", "zone_item_ranking")
 
-# Reports that group by item and place, with about one group per sale line.
-MANY_GROUPS = RANKINGS
+# Reports that group by bill or by item and place, with about one group per sale line.
+MANY_GROUPS = (*RANKINGS, "mobile_completeness", "zone_mobile_completeness", "rep_mobile_completeness")
 
 
 def _report(
