@@ -27,7 +27,7 @@ def test_zones_meet_their_estimates_without_a_shuffle_by_zone(spark, duck):
     assert compare(df, duck, entry.oracle_sql()["sketched_zones"]) is None
 
 
-@pytest.mark.parametrize("name", ["zone_item_ranking", "item_ranking", "top_items_by_site", "zone_mobile_completeness", "mobile_completeness", "rep_mobile_completeness"])
+@pytest.mark.parametrize("name", ["zone_item_ranking", "item_ranking", "top_items_by_site", "top_items_by_zone", "zone_mobile_completeness", "mobile_completeness", "rep_mobile_completeness"])
 def test_lines_are_dealt_anew_before_many_groups(spark, duck, name):
     df = entry.queries()[name](spark, SF)
     plan = plan_text(df)

@@ -71,7 +71,7 @@ def top_items_by_site(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def top_items_by_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The three best counts of every zone, with all items that tie."""
-    return top_items_by(sales_from_tables(spark, sf_dir), ("zone",), 3, "all")
+    return top_items_by(spread_lines(sales_from_tables(spark, sf_dir)), ("zone",), 3, "all")
 
 
 def unit_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
